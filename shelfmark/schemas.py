@@ -10,6 +10,12 @@ def _raw(*columns: str) -> T.StructType:
     return T.StructType([*fields, T.StructField("created_at", T.TimestampType())])
 
 
+def _typed(declaration: str) -> dict[str, str]:
+    """Column types of ``name type, ...`` by name."""
+    pairs = (column.split() for column in declaration.split(", "))
+    return {name: sql_type for name, sql_type in pairs}
+
+
 RAW = {
     "raw_customers": _raw(
         "customer_id", "full_name", "email", "phone", "registration_date",
@@ -32,30 +38,31 @@ RAW = {
     ),
 }
 
+# Declared type of every column, in order.
 SILVER = {
-    "dim_customers": T.StructType.fromDDL(
+    "dim_customers": _typed(
         "customer_id string, full_name string, email string, email_valid boolean,"
         " phone string, registration_date date, city string, state string,"
         " country string, birth_date date, age int, data_quality_score decimal(3,2)"
     ),
-    "dim_books": T.StructType.fromDDL(
+    "dim_books": _typed(
         "book_id string, title string, author string, publisher string,"
         " publication_year int, isbn string, category string, price decimal(10,2),"
         " stock_quantity int, pages int, language_code string, avg_rating decimal(2,1),"
         " is_available boolean, data_quality_score decimal(3,2)"
     ),
-    "fact_orders": T.StructType.fromDDL(
+    "fact_orders": _typed(
         "order_id string, customer_id string, order_date date, total_amount decimal(10,2),"
         " payment_method string, order_status string, shipping_cost decimal(10,2),"
         " discount_applied decimal(10,2), net_amount decimal(10,2),"
         " is_valid_order boolean, data_quality_score decimal(3,2)"
     ),
-    "fact_order_items": T.StructType.fromDDL(
+    "fact_order_items": _typed(
         "order_item_id string, order_id string, book_id string, quantity int,"
         " unit_price decimal(10,2), subtotal decimal(10,2),"
         " calculated_subtotal decimal(10,2), subtotal_matches boolean"
     ),
-    "fact_reviews": T.StructType.fromDDL(
+    "fact_reviews": _typed(
         "review_id string, book_id string, customer_id string, rating int,"
         " review_text string, review_date date, helpful_count int,"
         " review_length int, is_valid_review boolean"
@@ -72,13 +79,13 @@ KEYS = {
 }
 
 GOLD = {
-    "agg_daily_metrics": T.StructType.fromDDL(
+    "agg_daily_metrics": _typed(
         "metric_date date, total_orders int, total_revenue decimal(12,2),"
         " total_items_sold int, unique_customers int, avg_order_value decimal(10,2),"
         " total_shipping decimal(10,2), total_discounts decimal(10,2),"
         " net_revenue decimal(12,2)"
     ),
-    "agg_author_performance": T.StructType.fromDDL(
+    "agg_author_performance": _typed(
         "author_id bigint, author_name string, total_books int, total_copies_sold int,"
         " total_revenue decimal(12,2), avg_book_rating decimal(3,2), total_reviews int,"
         " most_popular_book string, most_popular_category string"

@@ -7,18 +7,17 @@ Every write replaces the table, so a run can be repeated.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 LAYERS = ("bronze", "silver", "gold")
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     """Exactly the declared columns, in order, in their declared types."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.select([F.col(name).cast(kind).alias(name) for name, kind in schema.items()])
 
 
 def stamped(df: DataFrame, run_time: dt.datetime) -> DataFrame:
