@@ -33,7 +33,8 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return (
-        df.groupBy(F.col(key).alias("key"))
+        df.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("key"))
         .agg(F.count("*").alias("copies"))
         .where("copies > 1")
     )

@@ -134,9 +134,9 @@ def row_reconciliation(silver: Silver) -> DataFrame:
     )
 
 
-def silver_duplicate_keys(silver: Silver) -> DataFrame:
-    """Business keys that occur more than once in a Silver table."""
-    found = {name: duplicate_keys(df, ID[name]) for name, df in silver.tables().items()}
+def repeated_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Business keys that occur more than once in their table."""
+    found = {name: duplicate_keys(df, ID[name]) for name, df in tables.items()}
     return labelled_union(_named(found), "entidade")
 
 
@@ -285,9 +285,7 @@ def kpis(silver: Silver, gold_outputs: Mapping[str, DataFrame]) -> DataFrame:
         return ratio((part * 100).cast("decimal(20,0)"), whole, 2).cast("decimal(5,2)")
 
     raw_keys = silver.bronze.customers.agg(F.countDistinct("customer_id").alias("keys"))
-    kept = silver.customers.agg(
-        F.count("*").alias("rows"), F.countDistinct("customer_id").alias("keys")
-    )
+    kept = silver.customers.agg(F.count("*").alias("rows"))
     deduplicated = raw_keys.select(
         share(F.col("keys"), kept.select("rows").scalar()).alias("value")
     )

@@ -298,7 +298,8 @@ register("dq_invalid_reasons", lambda x: quality.invalid_order_reasons(x.silver.
 register("dq_score_bands", lambda x: quality.score_bands(x.silver.customers))
 register("dq_gold_counts", lambda x: quality.row_counts(_gold_tables(x), "output"))
 register("dq_kpis", lambda x: quality.kpis(x.silver, _gold_outputs(x)))
-register("dq_duplicate_keys", lambda x: quality.silver_duplicate_keys(x.silver))
+register("dq_duplicate_keys", lambda x: quality.repeated_keys(x.bronze.tables()))
+register("dq_silver_duplicate_keys", lambda x: quality.repeated_keys(x.silver.tables()))
 register("dq_orphans", lambda x: quality.bronze_orphans(x.silver))
 register("dq_issue_profile", lambda x: quality.issue_profile(x.bronze, AS_OF))
 register(

@@ -557,16 +557,20 @@ _IDS = {
     "items": "order_item_id",
     "reviews": "review_id",
 }
-SQL["dq_duplicate_keys"] = compose(
-    _SILVER_ALL,
-    union(
+
+
+def _repeated(tables: dict[str, str]) -> str:
+    return union(
         [
             f"SELECT '{_LABELS[t]}' AS entidade, {_IDS[t]} AS key, count(*) AS copies"
-            f" FROM {_SILVER[t]} GROUP BY {_IDS[t]} HAVING count(*) > 1"
-            for t in _LABELS
+            f" FROM {table} WHERE {_IDS[t]} IS NOT NULL GROUP BY {_IDS[t]} HAVING count(*) > 1"
+            for t, table in tables.items()
         ]
-    ),
-)
+    )
+
+
+SQL["dq_duplicate_keys"] = compose(_RAW, _repeated({t: f"raw_{t}" for t in _LABELS}))
+SQL["dq_silver_duplicate_keys"] = compose(_SILVER_ALL, _repeated(_SILVER))
 _REFS = [
     ("orders", "customers", "customer_id"),
     ("items", "orders", "order_id"),
