@@ -25,7 +25,20 @@ def top_per_group(
     )
 
 
+def best_first(score: Column, *columns: str) -> Column:
+    """Struct whose minimum is the row of highest score; smaller known values win ties.
+
+    ``min`` of it finds a group's best row in one aggregate, folding each
+    task's rows before the shuffle.
+    """
+    ties = []
+    for name in columns:
+        ties += [F.col(name).isNull().alias(f"no_{name}"), F.col(name).alias(name)]
+    return F.struct((-score).alias("rank"), *ties)
+
+
 def most_frequent(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Most frequent value per group; the smaller value wins a tie."""
+    """Most frequent value per group; the smaller known value wins a tie."""
     counted = df.groupBy(group, value).agg(F.count("*").alias("_n"))
-    return top_per_group(counted, [group], [F.desc("_n"), F.asc(value)]).drop("_n")
+    best = F.min(best_first(F.col("_n"), value)).alias("_best")
+    return counted.groupBy(group).agg(best).select(group, F.col(f"_best.{value}").alias(value))

@@ -20,6 +20,7 @@ from ..functions import dates, segments
 from ..functions import fixed_values as fixed
 from ..functions.dates import AsOf
 from ..operators.aggregates import count_where, mean, ratio, scalar, total, total_or_zero
+from ..operators.ranking import best_first
 from ..operators.surrogate import with_ordered_key
 from ..schemas import GOLD
 from ..sources.layers import conform
@@ -394,7 +395,7 @@ def author_performance(books: DataFrame, items: DataFrame, reviews: DataFrame) -
     One chain of groupings: books fold into (author, category), those into
     authors.  Ties go to the smaller title or category.
     """
-    best = F.struct((-F.col("copies")).alias("rank"), "title", "book_id")
+    best = best_first(F.col("copies"), "title", "book_id")
     by_category = (
         _book_performance(books, items, reviews)
         .groupBy("author", "category")
@@ -409,7 +410,7 @@ def author_performance(books: DataFrame, items: DataFrame, reviews: DataFrame) -
         )
     )
     known = F.col("author").isNotNull()
-    main = F.struct((-F.col("books")).alias("rank"), "category")
+    main = best_first(F.col("books"), "category")
     return (
         by_category.groupBy("author")
         .agg(
@@ -445,9 +446,7 @@ def author_performance_table(performance: DataFrame) -> DataFrame:
 def popular_book(books: DataFrame, items: DataFrame) -> DataFrame:
     """Best-selling title per author over all orders."""
     sold = items.groupBy("book_id").agg(F.sum("quantity").alias("copies"))
-    best = F.struct(
-        (-F.coalesce("copies", F.lit(0))).alias("rank"), "title", "book_id"
-    )
+    best = best_first(F.coalesce("copies", F.lit(0)), "title", "book_id")
     return (
         books.select("book_id", "author", "title")
         .join(sold, "book_id", "left")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..functions.dates import AsOf
 from ..operators.aggregates import mean, ratio, total, total_or_zero
+from ..operators.ranking import best_first
 from ..schemas import GOLD
 from ..sources.layers import conform
 from .gold import completed_sales, items_per_order, reviews_per, valid_orders, with_segments
@@ -174,7 +175,7 @@ def author_performance(
 ) -> DataFrame:
     """Per author: items of valid orders, plain mean of the catalogue ratings."""
     copies = F.coalesce("total_copies_sold", F.lit(0))
-    best = F.struct((-copies).alias("rank"), "title", "book_id")
+    best = best_first(copies, "title", "book_id")
     by_category = (
         books.select("book_id", "author", "category", "title", "avg_rating")
         .join(_book_sales(items, valid_orders(orders)), "book_id", "left")
@@ -190,7 +191,7 @@ def author_performance(
             F.min(best).alias("best"),
         )
     )
-    main = F.struct((-F.col("books")).alias("rank"), "category")
+    main = best_first(F.col("books"), "category")
     return (
         by_category.groupBy("author")
         .agg(
