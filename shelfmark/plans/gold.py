@@ -35,12 +35,13 @@ def completed_sales(orders: DataFrame) -> DataFrame:
     return valid_orders(orders).where(F.col("order_status") != fixed.CANCELLED)
 
 
-def _at_least_one(rows: Column) -> Column:
+def at_least_one(rows: Column) -> Column:
     """Rows a key contributes to a left join: one even without a match."""
     return F.greatest(F.coalesce(rows, F.lit(0)), F.lit(1))
 
 
-def _times(amount: Column, factor: Column) -> Column:
+def times(amount: Column, factor: Column) -> Column:
+    """An amount repeated by a row count."""
     return (amount * factor.cast("decimal(10,0)")).cast("decimal(20,2)")
 
 
@@ -59,7 +60,7 @@ def reviews_per(reviews: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _mean_rating() -> Column:
+def mean_rating() -> Column:
     return ratio(F.col("rating_sum").cast("decimal(20,0)"), F.col("rating_rows"), 1)
 
 
@@ -111,23 +112,23 @@ def top_selling_books(
     Copies and revenue count the items of every order and are multiplied by the
     book's reviews; only ``times_ordered`` looks at order validity.
     """
-    repeats = _at_least_one(F.col("review_rows"))
+    repeats = at_least_one(F.col("review_rows"))
     return (
         books.join(_items_per_book(items, completed_sales(orders)), "book_id", "left")
         .join(reviews_per(reviews, "book_id"), "book_id", "left")
         .select(
-            *_BOOK_COLUMNS,
+            *BOOK_COLUMNS,
             F.coalesce("times_ordered", F.lit(0)).alias("times_ordered"),
             F.coalesce(F.col("copies") * repeats, F.lit(0)).alias("total_copies_sold"),
-            F.coalesce(_times(F.col("revenue"), repeats), F.lit(0)).alias("total_revenue"),
-            _mean_rating().alias("customer_avg_rating"),
+            F.coalesce(times(F.col("revenue"), repeats), F.lit(0)).alias("total_revenue"),
+            mean_rating().alias("customer_avg_rating"),
             F.coalesce("total_reviews", F.lit(0)).alias("total_reviews"),
         )
         .where("total_copies_sold > 0")
     )
 
 
-_BOOK_COLUMNS = ("book_id", "title", "author", "category", "price", "avg_rating")
+BOOK_COLUMNS = ("book_id", "title", "author", "category", "price", "avg_rating")
 _CUSTOMER_COLUMNS = ("customer_id", "full_name", "city", "state", "age", "registration_date")
 
 
@@ -146,18 +147,18 @@ def _order_rows(orders: DataFrame, items: DataFrame) -> DataFrame:
     return (
         valid_orders(orders)
         .join(items_per_order(items), "order_id", "left")
-        .withColumn("order_rows", _at_least_one(F.col("item_rows")))
+        .withColumn("order_rows", at_least_one(F.col("item_rows")))
     )
 
 
-def _spend_per_customer(orders: DataFrame, items: DataFrame) -> DataFrame:
+def spend_per_customer(orders: DataFrame, items: DataFrame) -> DataFrame:
     rows = F.col("order_rows")
     return (
         _order_rows(orders, items)
         .groupBy("customer_id")
         .agg(
             F.count("*").alias("total_orders"),
-            total(_times(F.col("total_amount"), rows)).alias("spent"),
+            total(times(F.col("total_amount"), rows)).alias("spent"),
             F.sum(F.when(F.col("total_amount").isNotNull(), rows)).alias("spent_rows"),
             F.sum("item_quantity").alias("quantity"),
             F.max("order_date").alias("last_order_date"),
@@ -182,11 +183,11 @@ def customer_analytics(
     Spend is multiplied by the items of each order and by the customer's
     reviews, quantity by the reviews; cancelled orders count.
     """
-    repeats = _at_least_one(F.col("review_rows"))
-    spent = _times(F.col("spent"), repeats)
+    repeats = at_least_one(F.col("review_rows"))
+    spent = times(F.col("spent"), repeats)
     joined = (
         customers.select(*_CUSTOMER_COLUMNS)
-        .join(_spend_per_customer(orders, items), "customer_id")
+        .join(spend_per_customer(orders, items), "customer_id")
         .join(_books_per_customer(orders, items), "customer_id", "left")
         .join(reviews_per(reviews, "customer_id"), "customer_id", "left")
     )
@@ -199,7 +200,7 @@ def customer_analytics(
         F.coalesce("unique_books_purchased", F.lit(0)).alias("unique_books_purchased"),
         F.coalesce(F.col("quantity") * repeats, F.lit(0)).alias("total_books_quantity"),
         F.coalesce("total_reviews", F.lit(0)).alias("total_reviews_written"),
-        _mean_rating().alias("avg_rating_given"),
+        mean_rating().alias("avg_rating_given"),
         "last_order_date",
         dates.days_since(F.col("last_order_date"), as_of).alias("days_since_last_order"),
     )
@@ -218,7 +219,7 @@ def _sales_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     return (
         completed_sales(orders)
         .join(items_per_order(items), "order_id")
-        .withColumns({f"{a}_rows": _times(F.col(a), rows) for a in amounts})
+        .withColumns({f"{a}_rows": times(F.col(a), rows) for a in amounts})
         .withColumn("amount_rows", F.when(F.col("total_amount").isNotNull(), rows))
     )
 
@@ -300,7 +301,7 @@ def geographic_analysis(customers: DataFrame, orders: DataFrame, items: DataFram
     revenue = total("spent")
     return (
         customers.select("customer_id", "state", "city")
-        .join(_spend_per_customer(orders, items), "customer_id", "left")
+        .join(spend_per_customer(orders, items), "customer_id", "left")
         .groupBy("state", "city")
         .agg(
             people.alias("total_customers"),
@@ -358,16 +359,17 @@ def delivered_orders(orders: DataFrame, month: str) -> DataFrame:
     )
 
 
-def _book_performance(books: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Per book: sales, and how often its row repeats in the author's join."""
-    sold = items.groupBy("book_id").agg(
-        F.count("*").alias("item_rows"),
-        F.sum("quantity").alias("copies"),
-        total("calculated_subtotal").alias("revenue"),
-    )
-    repeats = _at_least_one(F.col("review_rows"))
-    rows = _at_least_one(F.col("item_rows")) * repeats
-    rated = F.col("avg_rating").isNotNull()
+def book_rows(
+    books: DataFrame, sold: DataFrame, reviews: DataFrame, rows: Column, kept: Column
+) -> DataFrame:
+    """Per book: its sales, and how often its row repeats in the author's join.
+
+    ``sold`` has per-book ``copies`` and ``revenue`` for the sums and
+    ``all_copies`` for the choice of the best book; ``rows`` counts the joined
+    item rows; ``kept`` tells whether the book takes part at all.
+    """
+    repeats = at_least_one(F.col("review_rows"))
+    joined = F.when(kept, at_least_one(rows) * repeats)
     return (
         books.select("book_id", "title", "author", "category", "avg_rating")
         .join(sold, "book_id", "left")
@@ -377,50 +379,42 @@ def _book_performance(books: DataFrame, items: DataFrame, reviews: DataFrame) ->
             "category",
             "title",
             "book_id",
-            F.coalesce("copies", F.lit(0)).alias("copies"),
+            kept.cast("int").alias("kept"),
+            F.coalesce("all_copies", F.lit(0)).alias("copies"),
             (F.col("copies") * repeats).alias("joined_copies"),
-            _times(F.col("revenue"), repeats).alias("joined_revenue"),
-            (F.col("avg_rating") * rows.cast("decimal(20,0)"))
+            times(F.col("revenue"), repeats).alias("joined_revenue"),
+            (F.col("avg_rating") * joined.cast("decimal(20,0)"))
             .cast("decimal(30,1)")
             .alias("rating_rows_sum"),
-            F.when(rated, rows).alias("rating_rows"),
-            "total_reviews",
+            F.when(F.col("avg_rating").isNotNull(), joined).alias("rating_rows"),
+            F.when(kept, F.col("total_reviews")).alias("total_reviews"),
         )
     )
 
 
-def author_performance(books: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Per author: sales of all orders multiplied by reviews, best book, main category.
-
-    One chain of groupings: books fold into (author, category), those into
-    authors.  Ties go to the smaller title or category.
-    """
-    best = best_first(F.col("copies"), "title", "book_id")
-    by_category = (
-        _book_performance(books, items, reviews)
-        .groupBy("author", "category")
-        .agg(
-            F.count("*").alias("books"),
-            F.sum("joined_copies").alias("copies"),
-            total("joined_revenue").alias("revenue"),
-            F.sum("rating_rows_sum").alias("rating_rows_sum"),
-            F.sum("rating_rows").alias("rating_rows"),
-            F.sum("total_reviews").alias("reviews"),
-            F.min(best).alias("best"),
-        )
+def fold_into_authors(rows: DataFrame) -> DataFrame:
+    """One chain of groupings: books fold into (author, category), those into authors."""
+    by_category = rows.groupBy("author", "category").agg(
+        F.count("*").alias("books"),
+        F.sum("kept").alias("kept"),
+        F.sum("joined_copies").alias("copies"),
+        total("joined_revenue").alias("revenue"),
+        F.sum("rating_rows_sum").alias("rating_rows_sum"),
+        F.sum("rating_rows").alias("rating_rows"),
+        F.sum("total_reviews").alias("reviews"),
+        F.min(best_first(F.col("copies"), "title", "book_id")).alias("best"),
     )
     known = F.col("author").isNotNull()
-    main = best_first(F.col("books"), "category")
     return (
         by_category.groupBy("author")
         .agg(
-            F.sum("books").alias("total_books"),
+            F.sum("kept").alias("total_books"),
             F.coalesce(F.sum("copies"), F.lit(0)).alias("total_copies_sold"),
             total_or_zero("revenue").alias("total_revenue"),
             ratio(F.sum("rating_rows_sum"), F.sum("rating_rows"), 2).alias("avg_book_rating"),
             F.coalesce(F.sum("reviews"), F.lit(0)).alias("total_reviews"),
             F.min("best").alias("best"),
-            F.min(main).alias("main"),
+            F.min(best_first(F.col("books"), "category")).alias("main"),
         )
         .select(
             F.col("author").alias("author_name"),
@@ -435,6 +429,21 @@ def author_performance(books: DataFrame, items: DataFrame, reviews: DataFrame) -
     )
 
 
+def author_performance(books: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Per author: sales of all orders multiplied by reviews, best book, main category.
+
+    Order validity plays no part.  Ties go to the smaller title or category.
+    """
+    sold = items.groupBy("book_id").agg(
+        F.count("*").alias("item_rows"),
+        F.sum("quantity").alias("copies"),
+        F.sum("quantity").alias("all_copies"),
+        total("calculated_subtotal").alias("revenue"),
+    )
+    rows = book_rows(books, sold, reviews, F.col("item_rows"), F.lit(True))
+    return fold_into_authors(rows)
+
+
 def author_performance_table(performance: DataFrame) -> DataFrame:
     """The stored form: authors numbered by falling revenue."""
     order = [F.desc("total_revenue"), F.asc("author_name")]

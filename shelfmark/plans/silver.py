@@ -11,7 +11,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import canonical, dates, numbers, rules, scores, text
@@ -24,93 +24,143 @@ from ..sources.bronze import Bronze
 from ..sources.layers import PathLayers, conform, stamped
 
 
-def customers(raw: DataFrame, as_of: AsOf) -> DataFrame:
-    """One cleaned row per customer, the earliest one received."""
+Columns = dict[str, Column]
+
+
+def customer_columns(as_of: AsOf) -> Columns:
     c = F.col
     born = dates.birth_date(c("birth_date"))
-    cleaned = keep_first(raw, "customer_id", ["created_at"]).select(
-        "customer_id",
-        text.clean_name(c("full_name")).alias("full_name"),
-        text.clean_email(c("email")).alias("email"),
-        text.is_valid_email(c("email")).alias("email_valid"),
-        text.clean_phone(c("phone")).alias("phone"),
-        dates.registration_date(c("registration_date")).alias("registration_date"),
-        text.sentence_case(c("city")).alias("city"),
-        text.state_code(c("state")).alias("state"),
-        canonical.country(c("country")).alias("country"),
-        born.alias("birth_date"),
-        dates.age_in_years(born, as_of).alias("age"),
-        scores.customer_score(c).alias("data_quality_score"),
-    )
-    return conform(cleaned, SILVER["dim_customers"])
+    return {
+        "customer_id": c("customer_id"),
+        "full_name": text.clean_name(c("full_name")),
+        "email": text.clean_email(c("email")),
+        "email_valid": text.is_valid_email(c("email")),
+        "phone": text.clean_phone(c("phone")),
+        "registration_date": dates.registration_date(c("registration_date")),
+        "city": text.sentence_case(c("city")),
+        "state": text.state_code(c("state")),
+        "country": canonical.country(c("country")),
+        "birth_date": born,
+        "age": dates.age_in_years(born, as_of),
+        "data_quality_score": scores.customer_score(c),
+    }
+
+
+def book_columns(as_of: AsOf, lenient: bool = False) -> Columns:
+    c = F.col
+    return {
+        "book_id": c("book_id"),
+        "title": F.trim("title"),
+        "author": F.trim("author"),
+        "publisher": F.trim("publisher"),
+        "publication_year": numbers.valid_year(c("publication_year"), as_of),
+        "isbn": F.trim("isbn"),
+        "category": canonical.category(c("category")),
+        "price": numbers.non_negative_money(c("price"), lenient),
+        "stock_quantity": numbers.count_or_zero(c("stock_quantity")),
+        "pages": numbers.positive_count_or(c("pages"), None),
+        "language_code": canonical.language(c("language_code")),
+        "avg_rating": numbers.catalogue_rating(c("rating"), lenient),
+        "is_available": rules.is_available(c("stock_quantity"), c("price"), lenient),
+        "data_quality_score": scores.book_score(c, as_of, lenient),
+    }
+
+
+def order_columns(as_of: AsOf, lenient: bool = False) -> Columns:
+    c = F.col
+    amounts = (c("total_amount"), c("shipping_cost"), c("discount_applied"))
+    return {
+        "order_id": c("order_id"),
+        "customer_id": c("customer_id"),
+        "order_date": dates.order_date(c("order_date"), as_of),
+        "total_amount": numbers.non_negative_money(c("total_amount"), lenient),
+        "payment_method": canonical.payment_method(c("payment_method")),
+        "order_status": canonical.order_status(c("order_status")),
+        "shipping_cost": numbers.money_or_zero(c("shipping_cost")),
+        "discount_applied": numbers.money_or_zero(c("discount_applied")),
+        "net_amount": rules.net_amount(*amounts, lenient),
+        "is_valid_order": rules.is_valid_order(
+            c("total_amount"), c("order_date"), as_of, lenient
+        ),
+        "data_quality_score": scores.order_score(c, lenient),
+    }
+
+
+def item_columns(lenient: bool = False) -> Columns:
+    c = F.col
+    priced = (c("quantity"), c("unit_price"))
+    return {
+        "order_item_id": c("order_item_id"),
+        "order_id": c("order_id"),
+        "book_id": c("book_id"),
+        "quantity": numbers.positive_count_or(c("quantity"), 1),
+        "unit_price": numbers.non_negative_money(c("unit_price"), lenient),
+        "subtotal": numbers.non_negative_money(c("subtotal"), lenient),
+        "calculated_subtotal": rules.calculated_subtotal(*priced, lenient),
+        "subtotal_matches": rules.subtotal_matches(c("subtotal"), *priced, lenient),
+    }
+
+
+def review_columns(as_of: AsOf, strict_dates: bool = False) -> Columns:
+    c = F.col
+    read = (c("rating"), c("review_text"), c("review_date"))
+    return {
+        "review_id": c("review_id"),
+        "book_id": c("book_id"),
+        "customer_id": c("customer_id"),
+        "rating": numbers.review_rating(c("rating")),
+        "review_text": F.trim("review_text"),
+        "review_date": dates.review_date(c("review_date"), as_of),
+        "helpful_count": numbers.count_or_zero(c("helpful_count")),
+        "review_length": text.text_length(c("review_text")),
+        "is_valid_review": rules.is_valid_review(*read, as_of if strict_dates else None),
+    }
+
+
+def typed(df: DataFrame, columns: Columns, table: str) -> DataFrame:
+    """The cleaned columns in the declared types of a Silver table."""
+    return conform(df.select([rule.alias(name) for name, rule in columns.items()]), SILVER[table])
+
+
+def known_orders(raw: DataFrame, customers: DataFrame) -> DataFrame:
+    return keep_referenced(raw.where(F.col("order_id").isNotNull()), customers, "customer_id")
+
+
+def known_items(raw: DataFrame, orders: DataFrame, books: DataFrame) -> DataFrame:
+    """Orders are checked last, which leaves the items partitioned by order."""
+    present = raw.where(F.col("order_item_id").isNotNull())
+    return keep_referenced(keep_referenced(present, books, "book_id"), orders, "order_id")
+
+
+def known_reviews(raw: DataFrame, books: DataFrame, customers: DataFrame) -> DataFrame:
+    present = raw.where(F.col("review_id").isNotNull())
+    return keep_referenced(keep_referenced(present, books, "book_id"), customers, "customer_id")
+
+
+def customers(raw: DataFrame, as_of: AsOf) -> DataFrame:
+    """One cleaned row per customer, the earliest one received."""
+    first = keep_first(raw, "customer_id", ["created_at"])
+    return typed(first, customer_columns(as_of), "dim_customers")
 
 
 def books(raw: DataFrame, as_of: AsOf, lenient: bool = False) -> DataFrame:
     """Catalogue; every row with an id is kept."""
-    c = F.col
-    cleaned = raw.where(c("book_id").isNotNull()).select(
-        "book_id",
-        F.trim("title").alias("title"),
-        F.trim("author").alias("author"),
-        F.trim("publisher").alias("publisher"),
-        numbers.valid_year(c("publication_year"), as_of).alias("publication_year"),
-        F.trim("isbn").alias("isbn"),
-        canonical.category(c("category")).alias("category"),
-        numbers.non_negative_money(c("price"), lenient).alias("price"),
-        numbers.count_or_zero(c("stock_quantity")).alias("stock_quantity"),
-        numbers.positive_count_or(c("pages"), None).alias("pages"),
-        canonical.language(c("language_code")).alias("language_code"),
-        numbers.catalogue_rating(c("rating"), lenient).alias("avg_rating"),
-        rules.is_available(c("stock_quantity"), c("price"), lenient).alias("is_available"),
-        scores.book_score(c, as_of, lenient).alias("data_quality_score"),
-    )
-    return conform(cleaned, SILVER["dim_books"])
+    present = raw.where(F.col("book_id").isNotNull())
+    return typed(present, book_columns(as_of, lenient), "dim_books")
 
 
 def orders(
     raw: DataFrame, customers: DataFrame, as_of: AsOf, lenient: bool = False
 ) -> DataFrame:
     """Orders of known customers, invalid ones flagged."""
-    c = F.col
-    money = (c("total_amount"), c("shipping_cost"), c("discount_applied"))
-    known = keep_referenced(raw.where(c("order_id").isNotNull()), customers, "customer_id")
-    cleaned = known.select(
-        "order_id",
-        "customer_id",
-        dates.order_date(c("order_date"), as_of).alias("order_date"),
-        numbers.non_negative_money(c("total_amount"), lenient).alias("total_amount"),
-        canonical.payment_method(c("payment_method")).alias("payment_method"),
-        canonical.order_status(c("order_status")).alias("order_status"),
-        numbers.money_or_zero(c("shipping_cost")).alias("shipping_cost"),
-        numbers.money_or_zero(c("discount_applied")).alias("discount_applied"),
-        rules.net_amount(*money, lenient).alias("net_amount"),
-        rules.is_valid_order(c("total_amount"), c("order_date"), as_of, lenient).alias(
-            "is_valid_order"
-        ),
-        scores.order_score(c, lenient).alias("data_quality_score"),
-    )
-    return conform(cleaned, SILVER["fact_orders"])
+    return typed(known_orders(raw, customers), order_columns(as_of, lenient), "fact_orders")
 
 
 def order_items(
     raw: DataFrame, orders: DataFrame, books: DataFrame, lenient: bool = False
 ) -> DataFrame:
     """Items of known orders and known books."""
-    c = F.col
-    priced = (c("quantity"), c("unit_price"))
-    present = raw.where(c("order_item_id").isNotNull())
-    known = keep_referenced(keep_referenced(present, books, "book_id"), orders, "order_id")
-    cleaned = known.select(
-        "order_item_id",
-        "order_id",
-        "book_id",
-        numbers.positive_count_or(c("quantity"), 1).alias("quantity"),
-        numbers.non_negative_money(c("unit_price"), lenient).alias("unit_price"),
-        numbers.non_negative_money(c("subtotal"), lenient).alias("subtotal"),
-        rules.calculated_subtotal(*priced, lenient).alias("calculated_subtotal"),
-        rules.subtotal_matches(c("subtotal"), *priced, lenient).alias("subtotal_matches"),
-    )
-    return conform(cleaned, SILVER["fact_order_items"])
+    return typed(known_items(raw, orders, books), item_columns(lenient), "fact_order_items")
 
 
 def reviews(
@@ -121,24 +171,8 @@ def reviews(
     strict_dates: bool = False,
 ) -> DataFrame:
     """Reviews of known books by known customers."""
-    c = F.col
-    present = raw.where(c("review_id").isNotNull())
-    known = keep_referenced(keep_referenced(present, books, "book_id"), customers, "customer_id")
-    strict_as_of = as_of if strict_dates else None
-    cleaned = known.select(
-        "review_id",
-        "book_id",
-        "customer_id",
-        numbers.review_rating(c("rating")).alias("rating"),
-        F.trim("review_text").alias("review_text"),
-        dates.review_date(c("review_date"), as_of).alias("review_date"),
-        numbers.count_or_zero(c("helpful_count")).alias("helpful_count"),
-        text.text_length(c("review_text")).alias("review_length"),
-        rules.is_valid_review(
-            c("rating"), c("review_text"), c("review_date"), strict_as_of
-        ).alias("is_valid_review"),
-    )
-    return conform(cleaned, SILVER["fact_reviews"])
+    known = known_reviews(raw, books, customers)
+    return typed(known, review_columns(as_of, strict_dates), "fact_reviews")
 
 
 @dataclass

@@ -50,11 +50,12 @@ def _cents(amount: Column) -> Column:
     return F.round(amount * 100).cast("bigint")
 
 
-def _money_text(cents: Column) -> Column:
-    """Cents as ``units.cc``."""
-    whole = F.floor(cents / 100).cast("bigint")
+def _money_text(cents: str) -> Column:
+    """A column of cents as ``units.cc``."""
     return F.concat(
-        whole.cast("string"), F.lit("."), F.lpad((cents - whole * 100).cast("string"), 2, "0")
+        F.expr(f"{cents} div 100").cast("string"),
+        F.lit("."),
+        F.lpad(F.expr(f"{cents} % 100").cast("string"), 2, "0"),
     )
 
 
@@ -148,8 +149,11 @@ def raw_books(part: DataFrame) -> DataFrame:
     category = F.lit(OTHER_CATEGORY)
     for kind, name in reversed(CATEGORY_OF_TYPE.items()):
         category = F.when(F.col("p_type") == kind, F.lit(name)).otherwise(category)
-    price = _money_text(_cents(F.col("p_retailprice")))
-    df = part.select(
+    price = F.col("price_text")
+    priced = part.withColumn("cents", _cents(F.col("p_retailprice"))).withColumn(
+        "price_text", _money_text("cents")
+    )
+    df = priced.select(
         F.concat(F.lit("B"), text_key).alias("book_id"),
         F.concat(F.lit(" "), "p_name", F.lit(" "), text_key).alias("title"),
         F.when(_every(key, 89), F.lit("")).otherwise(F.concat("p_brand", F.lit(" "))).alias(
@@ -221,7 +225,7 @@ def raw_orders(orders: DataFrame) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", _pick(key, [F.lit("Em Transito"), F.lit("em trânsito")]))
         .otherwise(_pick(key, [F.lit("processando"), F.lit("CANCELADO"), F.lit("Devolvido")]))
     )
-    df = orders.select(
+    df = orders.withColumn("cents", _cents(F.col("o_totalprice"))).select(
         F.concat(F.lit("O"), key.cast("string")).alias("order_id"),
         F.when(_every(key, 97), F.lit("C-unknown"))
         .otherwise(F.concat(F.lit("C"), F.col("o_custkey").cast("string")))
@@ -235,7 +239,7 @@ def raw_orders(orders: DataFrame) -> DataFrame:
         .when(_every(key, 53), F.lit(None).cast("string"))
         .when(_every(key, 57), F.lit("-5.00"))
         .when(_every(key, 71), F.lit("abc"))
-        .otherwise(_money_text(_cents(F.col("o_totalprice"))))
+        .otherwise(_money_text("cents"))
         .alias("total_amount"),
         F.when(_every(key, 83), F.lit("")).otherwise(payment).alias("payment_method"),
         F.when(~_every(key, 101), status).alias("order_status"),
@@ -254,12 +258,24 @@ def raw_orders(orders: DataFrame) -> DataFrame:
 
 def raw_order_items(lineitem: DataFrame) -> DataFrame:
     order, part, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-    count = F.col("l_quantity").cast("bigint")
-    unit = F.floor(_cents(F.col("l_extendedprice")) / count).cast("bigint")
     mark = order + line
+    # Shared values are columns of their own, so that each is computed once.
+    priced = (
+        lineitem.withColumns(
+            {
+                "count": F.col("l_quantity").cast("bigint"),
+                "extended": _cents(F.col("l_extendedprice")),
+            }
+        )
+        .withColumn("unit", F.expr("extended div count"))
+        .withColumn(
+            "line_total", F.expr("unit * count") + F.when(_every(mark, 29), 500).otherwise(0)
+        )
+        .withColumn("unit_text", _money_text("unit"))
+    )
     parts = [order, part, F.col("l_suppkey"), line]
     row_id = F.concat_ws("-", *[p.cast("string") for p in parts])
-    df = lineitem.select(
+    df = priced.select(
         F.concat(F.lit("I"), row_id).alias("order_item_id"),
         F.when(_every(order + part, 103), F.lit("O-unknown"))
         .otherwise(F.concat(F.lit("O"), order.cast("string")))
@@ -270,15 +286,14 @@ def raw_order_items(lineitem: DataFrame) -> DataFrame:
         F.when(_every(mark, 37), F.lit("0"))
         .when(_every(mark, 41), F.lit("two"))
         .when(_every(mark, 43), F.lit(None).cast("string"))
-        .otherwise(count.cast("string"))
+        .otherwise(F.col("count").cast("string"))
         .alias("quantity"),
-        F.when(_every(mark, 47), F.concat(F.lit("-"), _money_text(unit)))
+        F.when(_every(mark, 47), F.concat(F.lit("-"), "unit_text"))
         .when(_every(mark, 53), F.lit(""))
-        .otherwise(_money_text(unit))
+        .otherwise(F.col("unit_text"))
         .alias("unit_price"),
         F.when(_every(mark, 59), F.lit("n/a"))
-        .when(_every(mark, 29), _money_text(unit * count + 500))
-        .otherwise(_money_text(unit * count))
+        .otherwise(_money_text("line_total"))
         .alias("subtotal"),
         F.lit(_LOADED).alias("created_at"),
     )

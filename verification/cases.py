@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from shelfmark.functions import canonical, dates, numbers, rules, scores, segments, text
 from shelfmark.operators import aggregates, dedup, ranking, surrogate
-from shelfmark.plans import gold, gold_by_grain, quality
+from shelfmark.plans import gold, gold_by_grain, originals, quality
 from shelfmark.plans.silver import Silver
 from shelfmark.session import configure, shared_folder
 from shelfmark.sources.bronze import Bronze
@@ -266,6 +266,46 @@ register(
     ),
 )
 
+# --- first generation --------------------------------------------------------------
+register(
+    "dim_customers_original", lambda x: originals.customers(x.bronze.customers, AS_OF)
+)
+register("dim_books_original", lambda x: originals.books(x.bronze.books, AS_OF))
+register(
+    "fact_orders_original",
+    lambda x: originals.orders(x.bronze.orders, x.silver.customers, AS_OF),
+)
+register(
+    "fact_order_items_original",
+    lambda x: originals.order_items(x.bronze.items, x.silver.orders, x.silver.books),
+)
+register(
+    "fact_reviews_original",
+    lambda x: originals.reviews(x.bronze.reviews, x.silver.books, x.silver.customers, AS_OF),
+)
+register(
+    "top_selling_books_original",
+    lambda x: originals.top_selling_books(
+        x.silver.books, x.silver.items, x.silver.orders, x.silver.reviews
+    ),
+)
+register(
+    "customer_analytics_original",
+    lambda x: originals.customer_analytics(
+        x.silver.customers, x.silver.orders, x.silver.items, x.silver.reviews, AS_OF
+    ),
+)
+register(
+    "geographic_analysis_original",
+    lambda x: originals.geographic_analysis(x.silver.customers, x.silver.orders, x.silver.items),
+)
+register(
+    "author_performance_original",
+    lambda x: originals.author_performance(
+        x.silver.books, x.silver.items, x.silver.orders, x.silver.reviews
+    ),
+)
+
 # --- quality -----------------------------------------------------------------------------
 
 

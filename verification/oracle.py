@@ -426,6 +426,93 @@ SQL["author_performance_grain_safe"] = compose(
     modal=_MODAL,
 )
 
+# --- first generation --------------------------------------------------------------------
+_OLD_SCORE = b.score(
+    w20_1="coalesce(customer_id <> '', false)",
+    w20_2=b.VALID_EMAIL,
+    w20_3="coalesce(phone <> '', false)",
+    w20_4="registration_date IS NOT NULL",
+    w20_5="birth_date IS NOT NULL",
+)
+SQL["dim_customers_original"] = compose(
+    "raw_customers",
+    f"""SELECT DISTINCT customer_id, {b.CLEAN_NAME} AS full_name, {b.CLEAN_EMAIL} AS email,
+    {b.VALID_EMAIL} AS email_valid, trim(phone) AS phone, ({b.REG_DAY})::VARCHAR AS registration_date,
+    {b.CITY} AS city, {b.STATE} AS state, {b.COUNTRY_OF} AS country, ({b.BIRTH_DAY})::VARCHAR AS birth_date,
+    {b.age(b.BIRTH_DAY)} AS age, {units(_OLD_SCORE)} AS data_quality_score
+    FROM raw_customers WHERE customer_id IS NOT NULL""",
+)
+_OLD_CATEGORY = b.lookup("r.category", {**b.CATEGORY, "Ficção": ("ficcao",)}, "trim(r.category)")
+SQL["dim_books_original"] = compose(
+    "raw_books dim_books",
+    f"""SELECT d.* EXCLUDE (score) REPLACE ({units('d.price')} AS price, d.avg_rating::DOUBLE / 10 AS avg_rating,
+      {_OLD_CATEGORY} AS category, coalesce(TRY_CAST(r.stock_quantity AS INTEGER) > 0
+      AND {b.cents('r.price')} > 0, false) AS is_available), {units('d.score')} AS data_quality_score
+    FROM dim_books d JOIN raw_books r USING (book_id)""",
+)
+
+
+def _old_charge(x: str) -> str:
+    return units(f"greatest(coalesce({b.cents(x)}, 0), 0)")
+
+
+SQL["fact_orders_original"] = compose(
+    "raw_orders fact_orders",
+    f"""SELECT d.* EXCLUDE (score) REPLACE (d.order_date::VARCHAR AS order_date,
+      {units('d.total_amount')} AS total_amount, {_old_charge('r.shipping_cost')} AS shipping_cost,
+      {_old_charge('r.discount_applied')} AS discount_applied, {units('d.net_amount')} AS net_amount,
+      coalesce(r.total_amount <> '' AND {b.cents('r.total_amount')} > 0
+        AND try_strptime(r.order_date, '%Y-%m-%d')::DATE <= {AS_OF}, false) AS is_valid_order),
+      {units('d.score')} AS data_quality_score
+    FROM fact_orders d JOIN raw_orders r USING (order_id)""",
+)
+_OLD_PRODUCT = f"(TRY_CAST(r.quantity AS INTEGER) * {b.cents('r.unit_price')})"
+SQL["fact_order_items_original"] = compose(
+    "raw_items fact_items",
+    f"""SELECT d.* REPLACE ({units('d.unit_price')} AS unit_price, {units('d.subtotal')} AS subtotal,
+      {units(_OLD_PRODUCT)} AS calculated_subtotal,
+      coalesce(abs({b.cents('r.subtotal')} - {_OLD_PRODUCT}) < 1, false) AS subtotal_matches)
+    FROM fact_items d JOIN raw_items r USING (order_item_id)""",
+)
+SQL["fact_reviews_original"] = compose(
+    "raw_reviews fact_reviews",
+    """SELECT d.* REPLACE (d.review_date::VARCHAR AS review_date,
+      (d.rating IS NOT NULL AND coalesce(trim(r.review_text) <> '', false)
+       AND r.review_date IS NOT NULL) AS is_valid_review)
+    FROM fact_reviews d JOIN raw_reviews r USING (review_id)""",
+)
+_SOLD_CHAIN = f"""
+SELECT bk.*, i.quantity, i.calculated_subtotal, o.order_id AS counted_order, r.review_id, r.rating
+FROM dim_books bk JOIN fact_items i ON i.book_id = bk.book_id
+JOIN (SELECT order_id FROM fact_orders WHERE {_COMPLETED}) o ON o.order_id = i.order_id
+LEFT JOIN fact_reviews r ON r.book_id = bk.book_id"""
+SQL["top_selling_books_original"] = compose(
+    _BOOKS, TOP_BOOKS.split("HAVING")[0], book_chain=_SOLD_CHAIN
+)
+SQL["customer_analytics_original"] = compose(
+    _ALL,
+    CUSTOMERS.replace("coalesce(sum(quantity), 0)::BIGINT", "sum(quantity)::BIGINT"),
+    customer_chain=_CUSTOMER_CHAIN,
+)
+SQL["geographic_analysis_original"] = compose(
+    "dim_customers fact_items",
+    PLACES.replace("coalesce(sum(quantity), 0)::BIGINT", "sum(quantity)::BIGINT"),
+    place_chain=_PLACE_CHAIN + " WHERE o.order_id IS NOT NULL",
+)
+SQL["author_performance_original"] = compose(
+    _BOOKS,
+    AUTHORS,
+    popular=_POPULAR,
+    modal=_MODAL,
+    author_chain="""
+SELECT bk.author, bk.book_id, bk.avg_rating, i.quantity, i.calculated_subtotal, r.review_id
+FROM dim_books bk
+LEFT JOIN fact_items i ON i.book_id = bk.book_id
+LEFT JOIN fact_orders o ON o.order_id = i.order_id
+LEFT JOIN fact_reviews r ON r.book_id = bk.book_id
+WHERE o.is_valid_order OR o.order_id IS NULL""",
+)
+
 # --- quality ---------------------------------------------------------------------------
 _LABELS = {
     "customers": "Clientes",
