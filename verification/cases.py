@@ -7,6 +7,7 @@ Where the cluster names no such folder they are views over the raw feeds.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -19,9 +20,11 @@ from shelfmark.operators import aggregates, dedup, ranking, surrogate
 from shelfmark.plans import gold, gold_by_grain, originals, quality
 from shelfmark.plans.silver import Silver
 from shelfmark.session import configure, shared_folder
+from shelfmark.sources import commerce
 from shelfmark.sources.bronze import Bronze
-from shelfmark.sources.commerce import AS_OF, bronze_from
+from shelfmark.sources.commerce import AS_OF, bronze_from, read_table
 from shelfmark.sources.layers import PathLayers
+from shelfmark.streaming import ingest
 
 c = F.col
 _LAYERS: dict[tuple[str, str], Silver] = {}
@@ -356,3 +359,60 @@ register(
 )
 register("dq_rating_distribution", lambda x: quality.rating_distribution(x.silver.reviews))
 register("dq_row_reconciliation", lambda x: quality.row_reconciliation(x.silver))
+
+# --- streams ------------------------------------------------------------------------------
+
+
+def _streamed(x: Context, table: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run a stream over one given table to its end and read what it wrote."""
+    shared = shared_folder(x.spark)
+    if shared is None:
+        raise RuntimeError("streams need spark.checkpoint.dir")
+    schema = read_table(x.spark, x.folder, table).schema
+    arriving = ingest.read_stream(
+        x.spark, schema, x.folder, "parquet", pathGlobFilter=f"{table}.parquet"
+    )
+    run = f"{shared}/streams/{uuid.uuid4()}"
+    stream = build(arriving)
+    ingest.append_available(stream, f"{run}/table", f"{run}/progress")
+    return x.spark.read.schema(stream.schema).parquet(f"{run}/table")
+
+
+register(
+    "stream_raw_reviews",
+    lambda x: _streamed(x, "events", commerce.raw_reviews).drop("created_at"),
+)
+register(
+    "stream_fact_orders",
+    lambda x: _streamed(
+        x,
+        "orders",
+        lambda s: ingest.cleaned_orders(commerce.raw_orders(s), x.silver.customers, AS_OF),
+    ),
+)
+register(
+    "stream_fact_reviews",
+    lambda x: _streamed(
+        x,
+        "events",
+        lambda s: ingest.cleaned_reviews(
+            commerce.raw_reviews(s), x.silver.books, x.silver.customers, AS_OF
+        ),
+    ),
+)
+register(
+    "stream_customer_keys",
+    lambda x: _streamed(
+        x,
+        "customer",
+        lambda s: ingest.first_arrivals(
+            commerce.raw_customers(
+                s,
+                read_table(x.spark, x.folder, "nation"),
+                read_table(x.spark, x.folder, "region"),
+            ),
+            "customer_id",
+            "3 days",
+        ).select("customer_id"),
+    ),
+)

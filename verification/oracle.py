@@ -499,18 +499,15 @@ SQL["geographic_analysis_original"] = compose(
     PLACES.replace("coalesce(sum(quantity), 0)::BIGINT", "sum(quantity)::BIGINT"),
     place_chain=_PLACE_CHAIN + " WHERE o.order_id IS NOT NULL",
 )
-SQL["author_performance_original"] = compose(
-    _BOOKS,
-    AUTHORS,
-    popular=_POPULAR,
-    modal=_MODAL,
-    author_chain="""
+_VALID_AUTHOR_CHAIN = """
 SELECT bk.author, bk.book_id, bk.avg_rating, i.quantity, i.calculated_subtotal, r.review_id
 FROM dim_books bk
 LEFT JOIN fact_items i ON i.book_id = bk.book_id
 LEFT JOIN fact_orders o ON o.order_id = i.order_id
 LEFT JOIN fact_reviews r ON r.book_id = bk.book_id
-WHERE o.is_valid_order OR o.order_id IS NULL""",
+WHERE o.is_valid_order OR o.order_id IS NULL"""
+SQL["author_performance_original"] = compose(
+    _BOOKS, AUTHORS, **{**_AUTHOR_PARTS, "author_chain": _VALID_AUTHOR_CHAIN}
 )
 
 # --- quality ---------------------------------------------------------------------------
@@ -762,3 +759,11 @@ SQL["dq_row_reconciliation"] = compose(
     )
     + ")",
 )
+
+# --- streams: the same rows as the batch builds -----------------------------------------
+SQL["stream_raw_reviews"] = SQL["raw_reviews"]
+SQL["stream_fact_orders"] = SQL["fact_orders"]
+SQL["stream_fact_reviews"] = SQL["fact_reviews"]
+SQL["stream_customer_keys"] = compose(
+    "first_customers", "SELECT customer_id FROM first_customers"
+)
