@@ -15,6 +15,7 @@ from .dates import AsOf, day
 from .text import has_text
 
 MONEY = "decimal(10,2)"
+_LEADING_DIGITS = r"^\s*([0-9]+)"
 _LEADING_NUMBER = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+))"
 
 
@@ -31,16 +32,22 @@ def to_count(value: Column) -> Column:
     return F.when(value.rlike(fixed.DIGITS), value.try_cast("int"))
 
 
-def valid_year(value: Column, as_of: AsOf) -> Column:
+def valid_year(value: Column, as_of: AsOf, lenient: bool = False) -> Column:
     """Publication year from 1000 up to the year of ``as_of``."""
-    year = value.try_cast("int")
+    text = F.regexp_extract(value, _LEADING_DIGITS, 1) if lenient else value
+    year = text.try_cast("int")
     return F.when(year.between(F.lit(fixed.OLDEST_PUBLICATION_YEAR), F.year(day(as_of))), year)
 
 
 def non_negative_money(value: Column, lenient: bool = False) -> Column:
-    """Amount of zero or more; empty, negative or unreadable text is null."""
+    """Amount of zero or more; negative or unreadable text is null."""
     amount = to_decimal(value, lenient=lenient)
-    return F.when(has_text(value) & (amount >= 0), amount)
+    return F.when(amount >= 0, amount)
+
+
+def money_if_present(value: Column, lenient: bool = False) -> Column:
+    """Like ``non_negative_money``, but empty text is null even when lenient."""
+    return F.when(has_text(value), non_negative_money(value, lenient))
 
 
 def money_or_zero(value: Column) -> Column:

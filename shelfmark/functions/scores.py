@@ -45,7 +45,7 @@ def book_score(c, as_of: AsOf, lenient: bool = False) -> Column:
             (c("book_id").isNotNull(), w),
             (has_text(c("title")), w),
             (has_text(c("author")), w),
-            (valid_year(c("publication_year"), as_of).isNotNull(), w),
+            (valid_year(c("publication_year"), as_of, lenient).isNotNull(), w),
             (has_text(c("isbn")), fixed.BOOK_ISBN_WEIGHT),
             (to_decimal(c("price"), lenient=lenient) > 0, w),
             (catalogue_rating(c("rating"), lenient).isNotNull(), w),

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Wide enough for any money total, small enough that a quotient of two keeps
-# far more digits than are ever reported.
-_TOTAL = "decimal(20,2)"
+# Wide enough for the total of any fact, also when rows are multiplied by those
+# of another, and small enough that a quotient keeps far more digits than are
+# ever reported.
+TOTAL = "decimal(28,2)"
+WHOLE_TOTAL = "decimal(28,0)"
 
 
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
@@ -17,11 +19,11 @@ def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
 
 def total(value: Column) -> Column:
     """Exact sum of amounts."""
-    return F.sum(value).cast(_TOTAL)
+    return F.sum(value).cast(TOTAL)
 
 
 def total_or_zero(value: Column) -> Column:
-    return F.coalesce(total(value), F.lit(0).cast(_TOTAL))
+    return F.coalesce(total(value), F.lit(0).cast(TOTAL))
 
 
 def mean(value: Column, digits: int) -> Column:
@@ -34,8 +36,9 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def money(value: Column, precision: int = 20) -> Column:
-    return F.round(value, 2).cast(f"decimal({precision},2)")
+def times(value: Column, rows: Column, kind: str = TOTAL) -> Column:
+    """A value repeated on ``rows`` rows; wide, since both may be very large."""
+    return (value.cast(kind) * rows.cast("decimal(19,0)")).cast(kind)
 
 
 def scalar(df: DataFrame, column: str) -> Column:

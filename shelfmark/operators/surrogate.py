@@ -32,11 +32,11 @@ def _number_within(df: DataFrame, bucket: str, order: Sequence[Column], name: st
     )
 
 
-def with_surrogate_key(df: DataFrame, name: str, key: str, buckets: int = 4096) -> DataFrame:
+def with_surrogate_key(df: DataFrame, name: str, key: str, buckets: int = 65536) -> DataFrame:
     """Number rows 1..N in a stable order derived from the business key.
 
     The same rows get the same numbers on every run.  The number of buckets
-    bounds the gathered offsets; a bucket holds about 1/4096 of the rows.
+    bounds both the gathered offsets and the share of the rows in one task.
     """
     ties = [F.col(c) for c in df.columns if c != key]
     hashed = df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))

@@ -19,7 +19,16 @@ from pyspark.sql import functions as F
 from ..functions import dates, segments
 from ..functions import fixed_values as fixed
 from ..functions.dates import AsOf
-from ..operators.aggregates import count_where, mean, ratio, scalar, total, total_or_zero
+from ..operators.aggregates import (
+    WHOLE_TOTAL,
+    count_where,
+    mean,
+    ratio,
+    scalar,
+    times,
+    total,
+    total_or_zero,
+)
 from ..operators.ranking import best_first
 from ..operators.surrogate import with_ordered_key
 from ..schemas import GOLD
@@ -40,9 +49,8 @@ def at_least_one(rows: Column) -> Column:
     return F.greatest(F.coalesce(rows, F.lit(0)), F.lit(1))
 
 
-def times(amount: Column, factor: Column) -> Column:
-    """An amount repeated by a row count."""
-    return (amount * factor.cast("decimal(10,0)")).cast("decimal(20,2)")
+def _or_zero(value: Column) -> Column:
+    return F.coalesce(value, F.lit(0))
 
 
 def items_per_order(items: DataFrame) -> DataFrame:
@@ -100,7 +108,7 @@ def _items_per_book(items: DataFrame, counted_orders: DataFrame) -> DataFrame:
         F.count("counted").alias("times_ordered"),
         F.sum("item_rows").alias("item_rows"),
         F.sum("copies").alias("copies"),
-        F.sum("revenue").cast("decimal(20,2)").alias("revenue"),
+        total("revenue").alias("revenue"),
     )
 
 
@@ -119,8 +127,8 @@ def top_selling_books(
         .select(
             *BOOK_COLUMNS,
             F.coalesce("times_ordered", F.lit(0)).alias("times_ordered"),
-            F.coalesce(F.col("copies") * repeats, F.lit(0)).alias("total_copies_sold"),
-            F.coalesce(times(F.col("revenue"), repeats), F.lit(0)).alias("total_revenue"),
+            _or_zero(times(F.col("copies"), repeats, WHOLE_TOTAL)).alias("total_copies_sold"),
+            _or_zero(times(F.col("revenue"), repeats)).alias("total_revenue"),
             mean_rating().alias("customer_avg_rating"),
             F.coalesce("total_reviews", F.lit(0)).alias("total_reviews"),
         )
@@ -198,7 +206,7 @@ def customer_analytics(
         ratio(F.col("spent"), F.col("spent_rows"), 2).alias("avg_order_value"),
         ratio(spent, F.col("total_orders"), 2).alias("avg_per_order"),
         F.coalesce("unique_books_purchased", F.lit(0)).alias("unique_books_purchased"),
-        F.coalesce(F.col("quantity") * repeats, F.lit(0)).alias("total_books_quantity"),
+        _or_zero(times(F.col("quantity"), repeats, WHOLE_TOTAL)).alias("total_books_quantity"),
         F.coalesce("total_reviews", F.lit(0)).alias("total_reviews_written"),
         mean_rating().alias("avg_rating_given"),
         "last_order_date",
@@ -369,7 +377,7 @@ def book_rows(
     item rows; ``kept`` tells whether the book takes part at all.
     """
     repeats = at_least_one(F.col("review_rows"))
-    joined = F.when(kept, at_least_one(rows) * repeats)
+    joined = F.when(kept, times(at_least_one(rows), repeats, WHOLE_TOTAL))
     return (
         books.select("book_id", "title", "author", "category", "avg_rating")
         .join(sold, "book_id", "left")
@@ -381,11 +389,9 @@ def book_rows(
             "book_id",
             kept.cast("int").alias("kept"),
             F.coalesce("all_copies", F.lit(0)).alias("copies"),
-            (F.col("copies") * repeats).alias("joined_copies"),
+            times(F.col("copies"), repeats, WHOLE_TOTAL).alias("joined_copies"),
             times(F.col("revenue"), repeats).alias("joined_revenue"),
-            (F.col("avg_rating") * joined.cast("decimal(20,0)"))
-            .cast("decimal(30,1)")
-            .alias("rating_rows_sum"),
+            (F.col("avg_rating") * joined).cast("decimal(28,1)").alias("rating_rows_sum"),
             F.when(F.col("avg_rating").isNotNull(), joined).alias("rating_rows"),
             F.when(kept, F.col("total_reviews")).alias("total_reviews"),
         )
@@ -409,9 +415,13 @@ def fold_into_authors(rows: DataFrame) -> DataFrame:
         by_category.groupBy("author")
         .agg(
             F.sum("kept").alias("total_books"),
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("total_copies_sold"),
+            _or_zero(F.sum("copies").cast(WHOLE_TOTAL)).alias("total_copies_sold"),
             total_or_zero("revenue").alias("total_revenue"),
-            ratio(F.sum("rating_rows_sum"), F.sum("rating_rows"), 2).alias("avg_book_rating"),
+            ratio(
+                F.sum("rating_rows_sum").cast("decimal(28,1)"),
+                F.sum("rating_rows").cast(WHOLE_TOTAL),
+                2,
+            ).alias("avg_book_rating"),
             F.coalesce(F.sum("reviews"), F.lit(0)).alias("total_reviews"),
             F.min("best").alias("best"),
             F.min(best_first(F.col("books"), "category")).alias("main"),

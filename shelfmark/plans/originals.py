@@ -14,7 +14,7 @@ from ..functions import canonical, scores, text
 from ..functions import fixed_values as fixed
 from ..functions.dates import AsOf, day
 from ..functions.numbers import MONEY, to_decimal
-from ..operators.aggregates import ratio, total
+from ..operators.aggregates import WHOLE_TOTAL, ratio, times, total
 from ..operators.dedup import distinct_rows
 from . import gold
 from .silver import (
@@ -142,7 +142,7 @@ def top_selling_books(
     per_book = per_order.groupBy("book_id").agg(
         F.count("*").alias("times_ordered"),
         F.sum("copies").alias("copies"),
-        F.sum("revenue").cast("decimal(20,2)").alias("revenue"),
+        total("revenue").alias("revenue"),
     )
     repeats = gold.at_least_one(F.col("review_rows"))
     return (
@@ -151,8 +151,8 @@ def top_selling_books(
         .select(
             *gold.BOOK_COLUMNS,
             "times_ordered",
-            (F.col("copies") * repeats).alias("total_copies_sold"),
-            gold.times(F.col("revenue"), repeats).alias("total_revenue"),
+            times(F.col("copies"), repeats, WHOLE_TOTAL).alias("total_copies_sold"),
+            times(F.col("revenue"), repeats).alias("total_revenue"),
             gold.mean_rating().alias("customer_avg_rating"),
             F.coalesce("total_reviews", F.lit(0)).alias("total_reviews"),
         )

@@ -53,7 +53,7 @@ def book_columns(as_of: AsOf, lenient: bool = False) -> Columns:
         "title": F.trim("title"),
         "author": F.trim("author"),
         "publisher": F.trim("publisher"),
-        "publication_year": numbers.valid_year(c("publication_year"), as_of),
+        "publication_year": numbers.valid_year(c("publication_year"), as_of, lenient),
         "isbn": F.trim("isbn"),
         "category": canonical.category(c("category")),
         "price": numbers.non_negative_money(c("price"), lenient),
@@ -73,7 +73,7 @@ def order_columns(as_of: AsOf, lenient: bool = False) -> Columns:
         "order_id": c("order_id"),
         "customer_id": c("customer_id"),
         "order_date": dates.order_date(c("order_date"), as_of),
-        "total_amount": numbers.non_negative_money(c("total_amount"), lenient),
+        "total_amount": numbers.money_if_present(c("total_amount"), lenient),
         "payment_method": canonical.payment_method(c("payment_method")),
         "order_status": canonical.order_status(c("order_status")),
         "shipping_cost": numbers.money_or_zero(c("shipping_cost")),

@@ -78,16 +78,18 @@ KEYS = {
     "fact_reviews": ("review_key", "review_id"),
 }
 
+# Counts and totals are wider than a small shop needs: they must not overflow.
 GOLD = {
     "agg_daily_metrics": _typed(
-        "metric_date date, total_orders int, total_revenue decimal(12,2),"
-        " total_items_sold int, unique_customers int, avg_order_value decimal(10,2),"
-        " total_shipping decimal(10,2), total_discounts decimal(10,2),"
-        " net_revenue decimal(12,2)"
+        "metric_date date, total_orders bigint, total_revenue decimal(28,2),"
+        " total_items_sold bigint, unique_customers bigint, avg_order_value decimal(10,2),"
+        " total_shipping decimal(28,2), total_discounts decimal(28,2),"
+        " net_revenue decimal(28,2)"
     ),
     "agg_author_performance": _typed(
-        "author_id bigint, author_name string, total_books int, total_copies_sold int,"
-        " total_revenue decimal(12,2), avg_book_rating decimal(3,2), total_reviews int,"
+        "author_id bigint, author_name string, total_books bigint,"
+        " total_copies_sold decimal(28,0), total_revenue decimal(28,2),"
+        " avg_book_rating decimal(3,2), total_reviews bigint,"
         " most_popular_book string, most_popular_category string"
     ),
 }

@@ -84,7 +84,13 @@ ONE_INPUT = {
     ),
     "lenient_money": (
         lambda c: numbers.non_negative_money(c, lenient=True),
-        {"12abc": D("12.00"), "abc": D("0.00"), "-3x": None, "": None, None: None, " 7.25 R$": D("7.25")},
+        {"12abc": D("12.00"), "abc": D("0.00"), "-3x": None, "": D("0.00"), None: None, " 7.25 R$": D("7.25")},
+    ),
+    "lenient_total": (
+        lambda c: numbers.money_if_present(c, lenient=True), {"12abc": D("12.00"), "": None, None: None},
+    ),
+    "lenient_year": (
+        lambda c: numbers.valid_year(c, AS_OF, lenient=True), {"1999.5": 1999, "1999abc": 1999, "x": None, None: None},
     ),
     "money_or_zero": (
         numbers.money_or_zero,

@@ -125,7 +125,7 @@ ORIGINALS = {
         {"place_chain": oracle._PLACE_CHAIN + " WHERE o.order_id IS NOT NULL"},
         lambda t: originals.geographic_analysis(t["dim_customers"], t["fact_orders"], t["fact_items"])),
     "customer_analytics": (
-        oracle.CUSTOMERS.replace("coalesce(sum(quantity), 0)::BIGINT", "sum(quantity)::BIGINT"), {},
+        oracle.CUSTOMERS.replace("coalesce(sum(quantity), 0)::DOUBLE", "sum(quantity)::DOUBLE"), {},
         lambda t: originals.customer_analytics(t["dim_customers"], t["fact_orders"], t["fact_items"], t["fact_reviews"], AS_OF)),
     "author_performance": (oracle.AUTHORS, {"author_chain": oracle._VALID_AUTHOR_CHAIN},
         lambda t: originals.author_performance(t["dim_books"], t["fact_items"], t["fact_orders"], t["fact_reviews"])),

@@ -141,7 +141,7 @@ LEFT JOIN (SELECT order_id FROM fact_orders WHERE {_COMPLETED}) o ON o.order_id
 LEFT JOIN fact_reviews r ON r.book_id = bk.book_id"""
 TOP_BOOKS = f"""
 SELECT book_id, title, author, category, {units('price')} AS price, avg_rating::DOUBLE / 10 AS avg_rating,
-  count(DISTINCT counted_order) AS times_ordered, coalesce(sum(quantity), 0)::BIGINT AS total_copies_sold,
+  count(DISTINCT counted_order) AS times_ordered, coalesce(sum(quantity), 0)::DOUBLE AS total_copies_sold,
   {units('coalesce(sum(calculated_subtotal), 0)')} AS total_revenue,
   {rounded('sum(rating)', 'count(rating)', 1)} AS customer_avg_rating,
   count(DISTINCT review_id) AS total_reviews
@@ -189,7 +189,7 @@ SELECT customer_id, full_name, city, state, age, registration_date::VARCHAR AS r
   {rounded('sum(total_amount)', 'count(total_amount)', 2, 100)} AS avg_order_value,
   {rounded('sum(total_amount)', 'count(DISTINCT order_id)', 2, 100)} AS avg_per_order,
   count(DISTINCT book_id) AS unique_books_purchased,
-  coalesce(sum(quantity), 0)::BIGINT AS total_books_quantity,
+  coalesce(sum(quantity), 0)::DOUBLE AS total_books_quantity,
   count(DISTINCT review_id) AS total_reviews_written,
   {rounded('sum(rating)', 'count(rating)', 1)} AS avg_rating_given,
   max(order_date)::VARCHAR AS last_order_date,
@@ -229,20 +229,10 @@ FROM sales_chain GROUP BY yearmonth, year, month, month_name"""
 SQL["sales_over_time"] = compose("fact_items", OVER_TIME, sales_chain=_SALES_CHAIN)
 
 
-def _as_int(period: str) -> str:
-    return (
-        period.replace("AS total_orders", "AS n_orders")
-        .replace("AS unique_customers", "AS n_customers")
-        .replace("AS total_items_sold", "AS n_items")
-    )
-
-
 def _daily(source: str, period: str) -> str:
     return f"""
-SELECT * EXCLUDE (n_orders, n_customers, n_items), n_orders::INTEGER AS total_orders,
-  n_customers::INTEGER AS unique_customers, n_items::INTEGER AS total_items_sold
-FROM (SELECT order_date::VARCHAR AS metric_date, {_as_int(period)} AS total_revenue
-      FROM {source} GROUP BY {source}.order_date)"""
+SELECT order_date::VARCHAR AS metric_date, {period} AS total_revenue
+FROM {source} GROUP BY {source}.order_date"""
 
 
 SQL["daily_metrics"] = compose(
@@ -318,7 +308,7 @@ AUTHORS = f"""
 SELECT author AS author_name, total_books, total_copies_sold, total_revenue, avg_book_rating,
   total_reviews, most_popular_book, most_popular_category
 FROM (SELECT author, count(DISTINCT book_id) AS total_books,
-        coalesce(sum(quantity), 0)::BIGINT AS total_copies_sold,
+        coalesce(sum(quantity), 0)::DOUBLE AS total_copies_sold,
         {units('coalesce(sum(calculated_subtotal), 0)')} AS total_revenue,
         {rounded('sum(avg_rating)', 'count(avg_rating)', 2, 10)} AS avg_book_rating,
         count(DISTINCT review_id) AS total_reviews
@@ -329,8 +319,8 @@ SQL["author_performance"] = compose(_BOOKS, AUTHORS, **_AUTHOR_PARTS)
 SQL["author_performance_table"] = compose(
     _BOOKS,
     """SELECT row_number() OVER (ORDER BY total_revenue DESC, author_name) AS author_id, author_name,
-    total_books::INTEGER AS total_books, total_copies_sold::INTEGER AS total_copies_sold, total_revenue,
-    avg_book_rating, total_reviews::INTEGER AS total_reviews, most_popular_book, most_popular_category
+    total_books, total_copies_sold, total_revenue, avg_book_rating, total_reviews, most_popular_book,
+    most_popular_category
     FROM authors""",
     **_AUTHOR_PARTS,
     authors=AUTHORS,
@@ -491,7 +481,7 @@ SQL["top_selling_books_original"] = compose(
 )
 SQL["customer_analytics_original"] = compose(
     _ALL,
-    CUSTOMERS.replace("coalesce(sum(quantity), 0)::BIGINT", "sum(quantity)::BIGINT"),
+    CUSTOMERS.replace("coalesce(sum(quantity), 0)::DOUBLE", "sum(quantity)::DOUBLE"),
     customer_chain=_CUSTOMER_CHAIN,
 )
 SQL["geographic_analysis_original"] = compose(
