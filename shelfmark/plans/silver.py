@@ -21,7 +21,7 @@ from ..operators.referential import keep_referenced
 from ..operators.surrogate import with_surrogate_key
 from ..schemas import KEYS, SILVER
 from ..sources.bronze import Bronze
-from ..sources.layers import PathLayers, conform, stamped
+from ..sources.layers import CatalogLayers, PathLayers, conform, stamped
 
 
 Columns = dict[str, Column]
@@ -186,10 +186,13 @@ class Silver:
 
     bronze: Bronze
     as_of: dt.date
-    layers: PathLayers | None = None
+    layers: PathLayers | CatalogLayers | None = None
+    layer: str = "silver"
+    lenient: bool = False
+    strict_review_dates: bool = False
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
-        return df if self.layers is None else self.layers.write("silver", name, df)
+        return df if self.layers is None else self.layers.write(self.layer, name, df)
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -197,21 +200,22 @@ class Silver:
 
     @cached_property
     def books(self) -> DataFrame:
-        return self._stored("dim_books", books(self.bronze.books, self.as_of))
+        return self._stored("dim_books", books(self.bronze.books, self.as_of, self.lenient))
 
     @cached_property
     def orders(self) -> DataFrame:
-        built = orders(self.bronze.orders, self.customers, self.as_of)
+        built = orders(self.bronze.orders, self.customers, self.as_of, self.lenient)
         return self._stored("fact_orders", built)
 
     @cached_property
     def items(self) -> DataFrame:
-        built = order_items(self.bronze.items, self.orders, self.books)
+        built = order_items(self.bronze.items, self.orders, self.books, self.lenient)
         return self._stored("fact_order_items", built)
 
     @cached_property
     def reviews(self) -> DataFrame:
-        built = reviews(self.bronze.reviews, self.books, self.customers, self.as_of)
+        parents = (self.books, self.customers)
+        built = reviews(self.bronze.reviews, *parents, self.as_of, self.strict_review_dates)
         return self._stored("fact_reviews", built)
 
     def tables(self) -> dict[str, DataFrame]:

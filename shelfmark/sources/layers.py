@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LAYERS = ("bronze", "silver", "gold")
+LAYERS = ("bronze", "staging", "silver", "gold")
 
 
 def conform(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
@@ -48,7 +48,7 @@ class PathLayers:
 
 
 class CatalogLayers:
-    """Tables in catalog databases ``<prefix>bronze``, ``silver`` and ``gold``."""
+    """Tables in one catalog database per layer, named ``<prefix><layer>``."""
 
     def __init__(self, spark: SparkSession, prefix: str = ""):
         self.spark = spark
@@ -85,7 +85,7 @@ class CatalogLayers:
         return self.spark.table(self.name(layer, table))
 
 
-def publish_views(outputs: dict[str, DataFrame]) -> None:
+def publish_views(outputs: Mapping[str, DataFrame]) -> None:
     """Create or replace one session view per output."""
     for name, df in outputs.items():
         df.createOrReplaceTempView(name)

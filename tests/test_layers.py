@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.plans import gold
+from shelfmark.plans.rebuild import rebuild
 from shelfmark.plans.silver import Silver, keyed
 from shelfmark.schemas import KEYS, RAW, SILVER
 from shelfmark.sources import bronze
@@ -73,6 +76,22 @@ def test_stored_silver_equals_the_views_and_can_be_rebuilt(spark, tmp_path):
     assert layers.read("silver", "fact_orders").count() == 12
 
 
+@pytest.mark.parametrize("kind", ["path", "catalog"])
+def test_whole_run_can_be_repeated(spark, tmp_path, kind):
+    run_time = dt.datetime(2025, 6, 30, 2)
+    raw = small_bronze(spark)
+    for _ in range(2):
+        where = PathLayers(spark, str(tmp_path)) if kind == "path" else CatalogLayers(spark, "run_")
+        stored = rebuild(raw, rows.AS_OF, run_time, where)
+    assert where.read("silver", "dim_customers").count() == 10
+    authors = where.read("gold", "agg_author_performance")
+    assert authors.where("author_id = 1").first().author_name == "J.R.R. Tolkien"
+    assert authors.columns[-2:] == ["created_at", "updated_at"]
+    assert stored["agg_daily_metrics"].count() == 10
+    assert spark.table("vw_customer_analytics").count() == 8
+    assert spark.sql("SELECT sum(total_revenue) FROM vw_sales_by_category").first()[0] == Decimal("1293.00")
+
+
 def test_keyed_table_has_dense_keys_and_audit_columns(spark):
     run_time = dt.datetime(2025, 6, 30, 1)
     silver = Silver(small_bronze(spark), rows.AS_OF)
