@@ -5,8 +5,9 @@ Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default
 builds start from the given tables; Gold and quality queries start from the
 stored Silver tables.
 
-``python bench.py --chains`` also times the literal join chains that the
-pre-aggregated outputs replace.
+``--chains`` also times the literal join chains that the pre-aggregated outputs
+replace.  ``--skew`` also times the outputs on tables in which one book, one
+order and one customer own a third of each fact.
 """
 
 from __future__ import annotations
@@ -70,9 +71,30 @@ CHAINS = {
 }
 
 
+def skewed(tables):
+    """The Silver tables with a third of each fact moved to one key."""
+    from pyspark.sql import functions as F
+
+    def moved(df, column, salt):
+        third = F.pmod(F.xxhash64(df.columns[0], F.lit(salt)), F.lit(3)) == 0
+        hot = df.select(column).limit(1).scalar()
+        return df.withColumn(column, F.when(third, hot).otherwise(F.col(column)))
+
+    items, reviews = tables["items"], tables["reviews"]
+    return {
+        **tables,
+        "items": moved(moved(items, "book_id", 1), "order_id", 2),
+        "reviews": moved(moved(reviews, "book_id", 1), "customer_id", 2),
+        "orders": moved(tables["orders"], "customer_id", 1),
+    }
+
+
 def main() -> None:
     from pyspark.sql import SparkSession
 
+    from shelfmark.plans import gold
+    from shelfmark.sources.layers import PathLayers
+
     from shelfmark.plans.silver import Silver
     from shelfmark.session import configure
     from shelfmark.sources.commerce import AS_OF, bronze_from
@@ -85,6 +107,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", str(CPUS))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -116,6 +139,25 @@ def main() -> None:
             df.createOrReplaceTempView(name)
         for name, sql in CHAINS.items():
             took[name] = timed(lambda s=sql: spark.sql(s))
+    if "--skew" in sys.argv:
+        layers = PathLayers(spark, f"{spark.conf.get('spark.checkpoint.dir')}/bench-skew")
+        t = {n: layers.write("silver", n, df) for n, df in skewed(stored).items()}
+        customers, books, orders, items, reviews = t.values()
+        took |= {
+            "skew_sales_by_category": timed(lambda: gold.sales_by_category(items, orders, books)),
+            "skew_top_selling_books": timed(
+                lambda: gold.top_selling_books(books, items, orders, reviews)
+            ),
+            "skew_customer_analytics": timed(
+                lambda: gold.customer_analytics(customers, orders, items, reviews, AS_OF)
+            ),
+            "skew_author_performance": timed(
+                lambda: gold.author_performance(books, items, reviews)
+            ),
+            "skew_geographic_analysis": timed(
+                lambda: gold.geographic_analysis(customers, orders, items)
+            ),
+        }
     print(
         json.dumps(
             {
