@@ -456,13 +456,15 @@ SQL["fact_orders_original"] = compose(
       {units('d.score')} AS data_quality_score
     FROM fact_orders d JOIN raw_orders r USING (order_id)""",
 )
-_OLD_PRODUCT = f"(TRY_CAST(r.quantity AS INTEGER) * {b.cents('r.unit_price')})"
+_OLD_PRODUCT = f"(TRY_CAST(quantity AS INTEGER) * {b.cents('unit_price')})"
+# From the raw rows: item ids need not be unique, so the cleaned table cannot be joined back.
 SQL["fact_order_items_original"] = compose(
-    "raw_items fact_items",
-    f"""SELECT d.* REPLACE ({units('d.unit_price')} AS unit_price, {units('d.subtotal')} AS subtotal,
-      {units(_OLD_PRODUCT)} AS calculated_subtotal,
-      coalesce(abs({b.cents('r.subtotal')} - {_OLD_PRODUCT}) < 1, false) AS subtotal_matches)
-    FROM fact_items d JOIN raw_items r USING (order_item_id)""",
+    "raw_items fact_orders dim_books",
+    f"""SELECT order_item_id, order_id, book_id, {b.QUANTITY} AS quantity, {units(b.UNIT)} AS unit_price,
+      {units(b.SUBTOTAL)} AS subtotal, {units(_OLD_PRODUCT)} AS calculated_subtotal,
+      coalesce(abs({b.cents('subtotal')} - {_OLD_PRODUCT}) < 1, false) AS subtotal_matches
+    FROM raw_items WHERE order_id IN (SELECT order_id FROM fact_orders)
+      AND book_id IN (SELECT book_id FROM dim_books)""",
 )
 SQL["fact_reviews_original"] = compose(
     "raw_reviews fact_reviews",
