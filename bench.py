@@ -77,7 +77,7 @@ def skewed(tables):
 
     def moved(df, column, salt):
         third = F.pmod(F.xxhash64(df.columns[0], F.lit(salt)), F.lit(3)) == 0
-        hot = df.select(column).limit(1).scalar()
+        hot = df.agg(F.min(column)).scalar()
         return df.withColumn(column, F.when(third, hot).otherwise(F.col(column)))
 
     items, reviews = tables["items"], tables["reviews"]

@@ -58,9 +58,21 @@ def review_date(value: Column, as_of: AsOf) -> Column:
     return parse_date(value, fixed.REVIEW_DATES, not_after=as_of)
 
 
+def whole_years(start: Column, end: Column) -> Column:
+    """Completed years from one date to another, negative when it lies before.
+
+    Counted in calendar fields, so that no time zone plays a part: a month is
+    complete when its day is reached, and twelve of them make a year.
+    """
+    months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
+    days = F.dayofmonth(end) - F.dayofmonth(start)
+    unfinished = F.when((months > 0) & (days < 0), 1).when((months < 0) & (days > 0), -1)
+    return ((months - F.coalesce(unfinished, F.lit(0))) / 12).cast("int")
+
+
 def age_in_years(birth: Column, as_of: AsOf) -> Column:
     """Completed years between a birth date and ``as_of``."""
-    return F.timestamp_diff("YEAR", birth, day(as_of)).cast("int")
+    return whole_years(birth, day(as_of))
 
 
 def days_since(date: Column, as_of: AsOf) -> Column:

@@ -301,9 +301,9 @@ def kpis(silver: Silver, gold_outputs: Mapping[str, DataFrame]) -> DataFrame:
     valid = silver.orders.agg(
         share(count_where(F.col("is_valid_order")), F.count("*")).alias("value")
     )
-    filled = row_counts(
-        {k: df.select(F.lit(1).alias("one")).limit(1) for k, df in gold_outputs.items()}, "output"
-    ).agg(share(F.sum("total"), F.count("*")).alias("value"))
+    filled = row_counts(gold_outputs, "output").agg(
+        share(count_where(F.col("total") > 0), F.count("*")).alias("value")
+    )
     categories = silver.books.select("category").distinct()
     consistent = categories.agg(
         share(F.countDistinct(text.fold(F.col("category"))), F.count("category")).alias("value")

@@ -68,7 +68,10 @@ ONE_INPUT = {
     ),
     "age_in_years": (
         lambda c: dates.age_in_years(c.cast("date"), AS_OF),
-        {"2000-06-30": 25, "2000-07-01": 24, "2000-02-29": 25, None: None},
+        {
+            "2000-06-30": 25, "2000-07-01": 24, "2000-02-29": 25, "2025-06-30": 0, "2024-07-01": 0,
+            "2030-06-30": -5, "2030-06-29": -4, "2030-01-01": -4, "2026-06-29": 0, None: None,
+        },
     ),
     "leap_day_age": (
         lambda c: dates.age_in_years(c.cast("date"), "2025-02-28"), {"2000-02-29": 24, "2000-02-28": 25},
