@@ -14,15 +14,7 @@ from ..functions.dates import AsOf
 from ..sources.bronze import Bronze
 from ..sources.layers import CatalogLayers, PathLayers, publish_views, stamped
 from . import gold
-from .silver import Silver, keyed
-
-TABLES = {
-    "dim_customers": "customers",
-    "dim_books": "books",
-    "fact_orders": "orders",
-    "fact_order_items": "items",
-    "fact_reviews": "reviews",
-}
+from .silver import STORED_AS, Silver, keyed
 
 
 def gold_views(silver: dict[str, DataFrame], as_of: AsOf) -> dict[str, DataFrame]:
@@ -67,7 +59,7 @@ def rebuild(
     staged = Silver(bronze, as_of, layers, layer="staging", lenient=lenient)
     stored = {
         name: layers.write("silver", name, keyed(name, getattr(staged, short), run_time))
-        for name, short in TABLES.items()
+        for short, name in STORED_AS.items()
     }
     for name, df in gold_tables(stored).items():
         stored[name] = layers.write("gold", name, stamped(df, run_time))

@@ -11,6 +11,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,6 +176,15 @@ def reviews(
     return typed(known, review_columns(as_of, strict_dates), "fact_reviews")
 
 
+STORED_AS = {
+    "customers": "dim_customers",
+    "books": "dim_books",
+    "orders": "fact_orders",
+    "items": "fact_order_items",
+    "reviews": "fact_reviews",
+}
+
+
 @dataclass
 class Silver:
     """The five Silver tables, each built when first asked for.
@@ -218,6 +228,16 @@ class Silver:
         built = reviews(self.bronze.reviews, *parents, self.as_of, self.strict_review_dates)
         return self._stored("fact_reviews", built)
 
+    def is_intact(self) -> bool:
+        """Whether every table stored so far can still be read."""
+        try:
+            for short, table in STORED_AS.items():
+                if self.layers is not None and short in self.__dict__:
+                    self.layers.read(self.layer, table)
+        except AnalysisException:
+            return False
+        return True
+
     def tables(self) -> dict[str, DataFrame]:
         return {
             "customers": self.customers,

@@ -92,6 +92,14 @@ def test_whole_run_can_be_repeated(spark, tmp_path, kind):
     assert spark.sql("SELECT sum(total_revenue) FROM vw_sales_by_category").first()[0] == Decimal("1293.00")
 
 
+def test_a_lost_stored_table_is_noticed(spark, tmp_path):
+    silver = Silver(small_bronze(spark), rows.AS_OF, PathLayers(spark, str(tmp_path / "a")))
+    assert silver.is_intact()
+    assert silver.orders.count() == 12 and silver.is_intact()
+    silver.layers = PathLayers(spark, str(tmp_path / "elsewhere"))
+    assert not silver.is_intact()
+
+
 def test_keyed_table_has_dense_keys_and_audit_columns(spark):
     run_time = dt.datetime(2025, 6, 30, 1)
     silver = Silver(small_bronze(spark), rows.AS_OF)

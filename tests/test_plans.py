@@ -105,6 +105,37 @@ def test_facts_are_grouped_before_they_are_joined(spark, silver):
         assert "HashAggregate" in following or "Filter isnotnull(customer_id" in following
 
 
+SPLIT_SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "30000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "30000",
+}
+
+
+def test_hot_parent_key_is_split_in_reference_checks(spark):
+    """A third of the children name one parent, another third a missing one."""
+    from shelfmark.operators.referential import keep_referenced, orphans
+
+    n = 60_000
+    pick = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.lit("lost"))
+    children = (
+        spark.range(n)
+        .select(
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+            pick.otherwise(F.concat(F.lit("k"), F.col("id") % 900)).alias("k"),
+        )
+        .repartition(16)
+    )
+    parents = spark.range(900).select(F.concat(F.lit("k"), "id").alias("k"))
+    parents = parents.unionByName(spark.createDataFrame([("hot",)], "k string")).repartition(4)
+    with conf(spark, **SPLIT_SMALL):
+        kept, lost = keep_referenced(children, parents, "k"), orphans(children, parents, "k")
+        assert "skew=true" in final_plan(kept) and "skew=true" in final_plan(lost)
+        assert kept.count() == 2 * n // 3 and lost.count() == n // 3
+
+
 def test_hot_join_key_is_split_and_the_result_stays_whole(spark):
     """A third of all items share one order."""
     n = 60_000
@@ -122,16 +153,7 @@ def test_hot_join_key_is_split_and_the_result_stays_whole(spark):
         (F.col("id") % 2 == 0).alias("is_valid_order"),
         F.lit("Entregue").alias("order_status"),
     )
-    with conf(
-        spark,
-        **{
-            "spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "30000",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "30000",
-        },
-    ):
+    with conf(spark, **SPLIT_SMALL):
         sales = gold._items_per_book(items.repartition(16), gold.completed_sales(orders))
         plan = final_plan(sales)
         assert "skew=true" in plan

@@ -27,7 +27,7 @@ from shelfmark.sources.layers import PathLayers
 from shelfmark.streaming import ingest
 
 c = F.col
-_LAYERS: dict[tuple[str, str], Silver] = {}
+_LAYERS: dict[tuple[str, str | None, str], Silver] = {}
 
 
 @dataclass
@@ -39,9 +39,9 @@ class Context:
 
     @property
     def silver(self) -> Silver:
-        key = (self.spark.sparkContext.applicationId, self.folder)
-        if key not in _LAYERS:
-            shared = shared_folder(self.spark)
+        shared = shared_folder(self.spark)
+        key = (self.spark.sparkContext.applicationId, shared, self.folder)
+        if key not in _LAYERS or not _LAYERS[key].is_intact():
             name = f"{key[0]}/{self.folder.strip('/').replace('/', '_')}"
             layers = PathLayers(self.spark, f"{shared}/{name}") if shared else None
             _LAYERS[key] = Silver(bronze_from(self.spark, self.folder), AS_OF, layers)
