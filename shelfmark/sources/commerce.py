@@ -104,7 +104,13 @@ def raw_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) ->
         ).alias("email"),
         _pick(
             key + F.col("copy"),
-            [F.lit(None).cast("string"), F.lit(""), F.lit("  "), phone, F.concat(phone, F.lit(" "))],
+            [
+                F.lit(None).cast("string"),
+                F.lit(""),
+                F.lit("  "),
+                phone,
+                F.concat(phone, F.lit(" ")),
+            ],
         ).alias("phone"),
         _pick(
             key,
@@ -220,10 +226,13 @@ def raw_orders(orders: DataFrame) -> DataFrame:
         payment = F.when(priority == digit, _pick(key, [F.lit(s) for s in spelled])).otherwise(
             payment
         )
+    delivered = [F.lit("ENTREGUE"), F.lit("entregue ")]
+    moving = [F.lit("Em Transito"), F.lit("em trânsito")]
+    other = [F.lit("processando"), F.lit("CANCELADO"), F.lit("Devolvido")]
     status = (
-        F.when(F.col("o_orderstatus") == "F", _pick(key, [F.lit("ENTREGUE"), F.lit("entregue ")]))
-        .when(F.col("o_orderstatus") == "O", _pick(key, [F.lit("Em Transito"), F.lit("em trânsito")]))
-        .otherwise(_pick(key, [F.lit("processando"), F.lit("CANCELADO"), F.lit("Devolvido")]))
+        F.when(F.col("o_orderstatus") == "F", _pick(key, delivered))
+        .when(F.col("o_orderstatus") == "O", _pick(key, moving))
+        .otherwise(_pick(key, other))
     )
     df = orders.withColumn("cents", _cents(F.col("o_totalprice"))).select(
         F.concat(F.lit("O"), key.cast("string")).alias("order_id"),

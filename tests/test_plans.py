@@ -88,6 +88,21 @@ def test_items_cross_the_network_once_for_book_sales(spark, silver):
     assert sorted(keys) == ["book_id", "order_id", "order_id"]
 
 
+def test_category_sales_count_orders_on_the_order_join(spark, silver):
+    with conf(
+        spark,
+        **{
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.enabled": "false",
+        },
+    ):
+        plan = physical(gold.sales_by_category(silver.items, silver.orders, silver.books))
+    keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert sorted(re.sub(r"#\d+", "", k) for k in keys) == [
+        "book_id", "book_id", "category", "order_id", "order_id",
+    ]
+
+
 def test_facts_are_grouped_before_they_are_joined(spark, silver):
     """No join of the customer output sees item rows next to review rows."""
     with conf(
