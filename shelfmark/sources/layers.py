@@ -48,16 +48,16 @@ class PathLayers:
 
 
 class CatalogLayers:
-    """Tables in one catalog database per layer, named ``<prefix><layer>``."""
+    """Tables in one catalog database per layer, e.g. ``silver_layer.fact_orders``."""
 
-    def __init__(self, spark: SparkSession, prefix: str = ""):
+    def __init__(self, spark: SparkSession, naming: str = "{layer}_layer"):
         self.spark = spark
-        self.prefix = prefix
+        self.naming = naming
         for layer in LAYERS:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {naming.format(layer=layer)}")
 
     def name(self, layer: str, table: str) -> str:
-        return f"{self.prefix}{layer}.{table}"
+        return f"{self.naming.format(layer=layer)}.{table}"
 
     def write(
         self,

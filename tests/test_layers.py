@@ -81,7 +81,7 @@ def test_whole_run_can_be_repeated(spark, tmp_path, kind):
     run_time = dt.datetime(2025, 6, 30, 2)
     raw = small_bronze(spark)
     for _ in range(2):
-        where = PathLayers(spark, str(tmp_path)) if kind == "path" else CatalogLayers(spark, "run_")
+        where = PathLayers(spark, str(tmp_path)) if kind == "path" else CatalogLayers(spark)
         stored = rebuild(raw, rows.AS_OF, run_time, where)
     assert where.read("silver", "dim_customers").count() == 10
     authors = where.read("gold", "agg_author_performance")
@@ -90,6 +90,11 @@ def test_whole_run_can_be_repeated(spark, tmp_path, kind):
     assert stored["agg_daily_metrics"].count() == 10
     assert spark.table("vw_customer_analytics").count() == 8
     assert spark.sql("SELECT sum(total_revenue) FROM vw_sales_by_category").first()[0] == Decimal("1293.00")
+    if kind == "catalog":
+        invalid = spark.sql("SELECT order_id FROM silver_layer.fact_orders WHERE is_valid_order = FALSE")
+        assert {r.order_id for r in invalid.collect()} == {"ORD005", "ORD007"}
+        top = spark.sql("SELECT * FROM gold_layer.agg_author_performance ORDER BY author_id LIMIT 5")
+        assert [r.author_id for r in top.collect()] == [1, 2, 3, 4, 5]
 
 
 def test_a_lost_stored_table_is_noticed(spark, tmp_path):
@@ -114,7 +119,7 @@ def test_keyed_table_has_dense_keys_and_audit_columns(spark):
 
 def test_catalog_tables_partitioned_and_bucketed(spark):
     silver = Silver(small_bronze(spark), rows.AS_OF)
-    catalog = CatalogLayers(spark, "test_")
+    catalog = CatalogLayers(spark, "test_{layer}")
     month = F.date_format("order_date", "yyyy-MM").alias("order_month")
     by_month = catalog.write(
         "silver", "orders_by_month", silver.orders.select("*", month), partition_by=["order_month"]
