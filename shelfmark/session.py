@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Adaptive execution sizes partitions and splits hot join keys at run time.
 # Splitting is worth one more shuffle wherever a later step wanted the
@@ -24,6 +25,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stored_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of all files below a folder; only their lengths are looked at."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.agg(F.sum("length").alias("bytes")).first().bytes or 0
+
+
+def size_shuffles(
+    spark: SparkSession, input_bytes: int, bytes_per_partition: int = 64 * 1024 * 1024
+) -> None:
+    """Give shuffles enough partitions for the input.
+
+    The setting is only ever raised: adaptive execution merges partitions that
+    turn out small, but starts no more than were asked for.
+    """
+    wanted = -(-input_bytes // bytes_per_partition)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder all executors can reach, or None where the cluster names none.
 

@@ -19,7 +19,7 @@ from shelfmark.functions import canonical, dates, numbers, rules, scores, segmen
 from shelfmark.operators import aggregates, dedup, ranking, surrogate
 from shelfmark.plans import gold, gold_by_grain, originals, quality
 from shelfmark.plans.silver import Silver
-from shelfmark.session import configure, shared_folder
+from shelfmark.session import configure, shared_folder, size_shuffles, stored_bytes
 from shelfmark.sources import commerce
 from shelfmark.sources.bronze import Bronze
 from shelfmark.sources.commerce import AS_OF, bronze_from, read_table
@@ -44,6 +44,7 @@ class Context:
         if key not in _LAYERS or not _LAYERS[key].is_intact():
             name = f"{key[0]}/{self.folder.strip('/').replace('/', '_')}"
             layers = PathLayers(self.spark, f"{shared}/{name}") if shared else None
+            size_shuffles(self.spark, stored_bytes(self.spark, self.folder))
             _LAYERS[key] = Silver(bronze_from(self.spark, self.folder), AS_OF, layers)
         return _LAYERS[key]
 
