@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import language_id, quality_rules
-from shelfmark.llm.common import held_out, read_table
+from shelfmark.llm import language_id, packing, quality_rules, repair_files
+from shelfmark.llm.common import held_out, read_table, working_path
+
+SEQUENCE = 1024  # tokens of a packed sequence
+SEQUENCE_END = 2
+FILE_END = 1
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,6 +27,17 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = working_path(spark, "token-files")
+    repair_files.write(read_table(spark, folder, "documents"), path, tokenizer_path("word_bpe_49k.json"), FILE_END)
+    return repair_files.read(spark, path)
+
+
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return packing.packed_documents(docs, tokenizer_path("byte_bpe_50k.json"), SEQUENCE_END, SEQUENCE)
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality_rules.ledger(read_table(spark, folder, "documents"))
     base_failed = ~quality_rules.passes("base")
@@ -30,6 +51,8 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_token_files": op2_token_files,
+    "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
 }
 SQL: dict[str, str] = {}
