@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import language_id, packing, quality_rules, repair_files
+from shelfmark.llm import decontamination, language_id, packing, quality_rules, repair_files, substring_dedup
 from shelfmark.llm.common import held_out, read_table, working_path
 
 SEQUENCE = 1024  # tokens of a packed sequence
@@ -49,10 +49,27 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that hold a passage found in other documents as well."""
+    found = substring_dedup.documents(read_table(spark, folder, "documents"))
+    return found.where(F.col("longest_shared") >= substring_dedup.MIN_WORDS).select(
+        "doc_id", "n_passages", "longest_shared", "repeated_words", "removed_words"
+    )
+
+
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The test items that each document leaks."""
+    return decontamination.leaks(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_files": op2_token_files,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op9_decontamination": op9_decontamination,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 SQL: dict[str, str] = {}
