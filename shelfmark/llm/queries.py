@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontamination, language_id, packing, quality_rules, repair_files, substring_dedup
+from shelfmark.llm import decontamination, language_id, near_dedup, packing, quality_rules, repair_files, substring_dedup
 from shelfmark.llm.common import held_out, read_table, working_path
 
 SEQUENCE = 1024  # tokens of a packed sequence
@@ -57,6 +57,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, folder, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """The test items that each document leaks."""
     return decontamination.leaks(
@@ -69,6 +73,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op8_near_dedup": op8_near_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -47,6 +47,14 @@ def spaced_chunks(text: str) -> list[str]:
 CHUNKERS: dict[str, Callable[[str], list[str]]] = {"words": word_chunks, "spaced": spaced_chunks}
 
 
+def lower_word(chunk: str) -> str:
+    """For tokenizers that ignore case: plain letters may be lowered beforehand."""
+    return chunk.lower() if chunk.isascii() and chunk.isalpha() else chunk
+
+
+PLAIN: dict[str, Callable[[str], str]] = {"words": lower_word, "spaced": str}
+
+
 class ChunkEncoder:
     """Ids of texts by way of their chunks."""
 
@@ -56,19 +64,42 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.chunks = CHUNKERS[kind]
+        self.plain = PLAIN[kind]
         self._forget()
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.used = 0
+        self.used = self.known = 0
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
 
     def _learn(self, chunks: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        """Encode new chunks.  A letter word with a mark behind it is always cut before
+        the mark, so its ids are put together from both parts' ids."""
+        split = {}
+        for chunk in chunks:
+            if chunk[-1:] in (".", ",") and chunk[:-1].removeprefix(" ").isalpha():
+                split[chunk] = (self.plain(chunk[:-1]), chunk[-1])
+            elif (plain := self.plain(chunk)) != chunk:
+                split[chunk] = (plain, "")
+        needed = {part for parts in split.values() for part in parts}
+        needed.update(c for c in chunks if c not in split)
+        fresh = [c for c in needed if c not in self.index]
+        self._add(fresh, [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)])
+        for chunk, (word, mark) in split.items():
+            if not mark:
+                self.index[chunk] = self.index[word]
+        marked = [c for c, (_, mark) in split.items() if mark and c not in self.index]
+        self._add(marked, [np.concatenate([self._ids(x) for x in split[c]]) for c in marked])
+
+    def _ids(self, chunk: str) -> np.ndarray:
+        k = self.index[chunk]
+        return self.flat[self.starts[k] : self.starts[k] + self.lengths[k]]
+
+    def _add(self, chunks: list[str], found: list) -> None:
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        total, n = int(lengths.sum()), len(self.index)
+        total, n = int(lengths.sum()), self.known
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while n + len(found) > len(self.starts):
@@ -78,19 +109,18 @@ class ChunkEncoder:
         self.starts[n : n + len(found)] = self.used + np.cumsum(lengths) - lengths
         self.lengths[n : n + len(found)] = lengths
         self.used += total
+        self.known += len(found)
         self.index.update(zip(chunks, range(n, n + len(found))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""
         parts = [self.chunks(t) for t in texts]
-        places = [list(map(self.index.get, part)) for part in parts]
-        if any(None in at for at in places):
-            missing = {c for part, at in zip(parts, places) if None in at for c, k in zip(part, at) if k is None}
-            if len(self.index) + len(missing) > REMEMBERED:
-                self._forget()
-                missing = set().union(*parts)
-            self._learn(list(missing))
-            places = [list(map(self.index.__getitem__, part)) for part in parts]
+        wanted = set().union(*parts)
+        if len(self.index) + len(wanted) > REMEMBERED:
+            self._forget()
+        if missing := [c for c in wanted if c not in self.index]:
+            self._learn(missing)
+        places = [list(map(self.index.__getitem__, part)) for part in parts]
         counts = np.fromiter(map(len, places), np.int64, len(places))
         at = np.fromiter(chain.from_iterable(places), np.int64, int(counts.sum()))
         lengths = self.lengths[at]
