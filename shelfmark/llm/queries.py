@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontamination, language_id, near_dedup, packing, quality_rules, repair_files, substring_dedup
+from shelfmark.llm import decontamination, language_id, near_dedup, packing, quality_rules, repair_files, substring_dedup, toxicity
 from shelfmark.llm.common import held_out, read_table, working_path
 
 SEQUENCE = 1024  # tokens of a packed sequence
@@ -33,6 +33,18 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return repair_files.read(spark, path)
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    trained = docs.where(~held_out(F.col("doc_id")))
+    model = toxicity.fit(trained, read_table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return packing.packed_documents(docs, tokenizer_path("byte_bpe_50k.json"), SEQUENCE_END, SEQUENCE)
@@ -71,6 +83,7 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_files": op2_token_files,
+    "op3_toxicity": op3_toxicity,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
     "op8_near_dedup": op8_near_dedup,

@@ -86,31 +86,34 @@ class ChunkEncoder:
         needed = {part for parts in split.values() for part in parts}
         needed.update(c for c in chunks if c not in split)
         fresh = [c for c in needed if c not in self.index]
-        self._add(fresh, [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)])
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self._add(fresh, lengths, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())))
         for chunk, (word, mark) in split.items():
             if not mark:
                 self.index[chunk] = self.index[word]
         marked = [c for c, (_, mark) in split.items() if mark and c not in self.index]
-        self._add(marked, [np.concatenate([self._ids(x) for x in split[c]]) for c in marked])
+        parts = chain.from_iterable(split[c] for c in marked)
+        at = np.fromiter(map(self.index.__getitem__, parts), np.int64, 2 * len(marked))
+        self._add(marked, self.lengths[at].reshape(-1, 2).sum(axis=1), self._ids(at))
 
-    def _ids(self, chunk: str) -> np.ndarray:
-        k = self.index[chunk]
-        return self.flat[self.starts[k] : self.starts[k] + self.lengths[k]]
+    def _ids(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the chunks at these places, in a row."""
+        return self.flat[ragged(self.starts[at], self.lengths[at])]
 
-    def _add(self, chunks: list[str], found: list) -> None:
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        total, n = int(lengths.sum()), self.known
-        while self.used + total > len(self.flat):
+    def _add(self, chunks: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        n = self.known
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(found) > len(self.starts):
+        while n + len(chunks) > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
-        self.starts[n : n + len(found)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[n : n + len(found)] = lengths
-        self.used += total
-        self.known += len(found)
-        self.index.update(zip(chunks, range(n, n + len(found))))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[n : n + len(chunks)] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[n : n + len(chunks)] = lengths
+        self.used += len(ids)
+        self.known += len(chunks)
+        self.index.update(zip(chunks, range(n, n + len(chunks))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""
@@ -123,9 +126,8 @@ class ChunkEncoder:
         places = [list(map(self.index.__getitem__, part)) for part in parts]
         counts = np.fromiter(map(len, places), np.int64, len(places))
         at = np.fromiter(chain.from_iterable(places), np.int64, int(counts.sum()))
-        lengths = self.lengths[at]
-        ids = self.flat[ragged(self.starts[at], lengths)]
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+        ids = self._ids(at)
+        ends = np.concatenate([[0], np.cumsum(self.lengths[at])])[np.concatenate([[0], np.cumsum(counts)])]
         return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
