@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontamination, language_id, near_dedup, packing, quality_rules, repair_files, substring_dedup, toxicity
+from shelfmark.llm import decontamination, language_id, near_dedup, packing, personal_data, quality_rules, repair_files, substring_dedup, toxicity
 from shelfmark.llm.common import held_out, read_table, working_path
 
 SEQUENCE = 1024  # tokens of a packed sequence
@@ -69,6 +69,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.find(read_table(spark, folder, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, folder, "documents"))
 
@@ -86,6 +90,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_personal_data": op7_personal_data,
     "op8_near_dedup": op8_near_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
