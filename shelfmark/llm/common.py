@@ -16,11 +16,15 @@ FOLDS = 5
 BLOCK_CHARS = 1_000_000  # characters handled at once inside a task
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A given table.  Python workers started from now on also look for this package
-    where the driver has it; a cluster has it installed or gets it by ``--py-files``."""
+def make_importable(spark: SparkSession) -> None:
+    """Python workers started from now on also look for this package where the driver
+    has it; a cluster has it installed or gets it by ``--py-files``."""
     home = str(Path(__file__).resolve().parents[2])
     spark.sparkContext.environment.setdefault("PYTHONPATH", home)
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    make_importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -41,6 +45,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: its lineage ends there,
     so a lost executor costs no more than the tasks that run on it."""
     spark = df.sparkSession
+    make_importable(spark)
     path = working_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -222,27 +222,51 @@ class Searcher:
         return out
 
 
-def leaks(
-    df: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    item_id: str = "item_id", item_text: str = "text",
-) -> DataFrame:
-    """Leaked items per document: doc_id, item_id, score, question_overlap, answer_overlap."""
-    items = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).alias("text")).where(
+def indexes(items: DataFrame, item_id: str = "item_id", text: str = "text") -> list[Index]:
+    """The items' index in parts of at most about PART_WORDS words, so that each can be
+    sent to every task."""
+    items = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(text).alias("text")).where(
         "text IS NOT NULL"
     )
-    docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-total // (PART_WORDS * 6)))
-    out = None
+    out = []
     for part in range(count):
         mine = items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(count)) == part)
-        # At most about PART_WORDS words, so the part can be sent to every task.
-        index = build([(r.item_id, r.text) for r in mine.sort("item_id", "text").collect()])
-        found = docs.mapInArrow(_search_with(index), SCHEMA)
-        out = found if out is None else out.unionByName(found)
+        out.append(build([(r.item_id, r.text) for r in mine.sort("item_id", "text").collect()]))
+    return out
+
+
+def leaks(
+    df: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
+    item_id: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """Leaked items per document: doc_id, item_id, score, question_overlap, answer_overlap."""
+    docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    parts = [docs.mapInArrow(_search_with(index), SCHEMA) for index in indexes(items, item_id, item_text)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 
+def without_leaks(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text leaks no item; nothing is shuffled."""
+    for index in indexes(items, item_id, item_text):
+        df = df.where(~_leaks_with(index)(F.col(text)))
+    return df
+
+
+def _leaks_with(index: Index):
+    @F.arrow_udf("boolean")
+    def leaking(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        searcher = Searcher(index)
+        for array in batches:
+            yield pa.array([bool(searcher.search(x.as_py())) for x in array], pa.bool_())
+
+    return leaking
+
+
 SCHEMA = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double"
 
 

@@ -104,8 +104,8 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return (values ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def sketches(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, digest of the set (two halves) and its sketch, smallest first."""
+def sketches(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """doc_id, row, n_shingles, digest of the set (two halves) and its sketch, smallest first."""
 
     def scan(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,16 +116,21 @@ def sketches(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        part.column(2),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([(d >> 64) - (1 << 63) for d in digests], pa.int64()),
                         pa.array([(d & (1 << 64) - 1) - (1 << 63) for d in digests], pa.int64()),
                         pa.array([_signed(s[:SKETCH]) for s in sets], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "high", "low", "sketch"],
+                    ["doc_id", "row", "n_shingles", "high", "low", "sketch"],
                 )
 
-    return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        scan, "doc_id bigint, n_shingles bigint, high bigint, low bigint, sketch array<bigint>"
+    return df.select(
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        F.col(text).alias("text"),
+        (F.col(row) if row else F.lit(None)).cast("bigint").alias("row"),
+    ).mapInArrow(
+        scan, "doc_id bigint, row bigint, n_shingles bigint, high bigint, low bigint, sketch array<bigint>"
     )
 
 
@@ -257,34 +262,43 @@ def _residual_links(left: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
     """Per row of ``df``: doc_id, n_shingles, component_id (the smallest doc_id reachable
-    by links, its own included) and kept (doc_id = component_id)."""
-    rows = stored(sketches(df, doc_id, text), "sketches")
+    by links, its own included) and kept (doc_id = component_id).
+
+    With ``row``, a column that numbers the rows, that number and ``stays`` come along:
+    true for one row of each component, the first by doc_id and number."""
+    rows = stored(sketches(df, doc_id, text, row), "sketches")
     full = rows.where("n_shingles > 0")
     # One class per set.  Nodes are numbered by class, as ids may repeat or be null.
     classes = stored(
         full.groupBy("high", "low")
         .agg(
             F.min("doc_id").alias("doc_id"),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"),
             F.first("n_shingles").alias("n"),
             F.first("sketch").alias("sketch"),
         )
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    links, texts = _links(df, classes, doc_id, text)
+    links = _links(df, classes, doc_id, text)
     parts = stored(components(links), "components")
-    named = classes.select("high", "low", "node", F.col("doc_id").alias("least")).join(parts, "node", "left")
+    named = classes.select("high", "low", "node", "doc_id", "first").join(parts, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("high", "low", "component_id")
-    found = full.join(named, ["high", "low"]).select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return found.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min("first").alias("first"))
+    named = named.drop("first").join(least, "component").select("high", "low", "component_id", "first.row")
+    found = full.join(named.withColumnRenamed("row", "_first"), ["high", "low"]).select(
+        "doc_id", "row", "n_shingles", "component_id", F.col("row").eqNullSafe(F.col("_first")).alias("stays")
+    )
+    alone = rows.where("n_shingles = 0").select(
+        "doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays")
+    )
+    out = found.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out if row else out.drop("row", "stays")
 
 
-def _links(df: DataFrame, classes: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+def _links(df: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Links between classes: all that lie in cold lists, and enough in hot ones that
     every class is in its component."""
     values = classes.select("node", F.posexplode("sketch").alias("place", "value"))
@@ -315,13 +329,13 @@ def _links(df: DataFrame, classes: DataFrame, doc_id: str, text: str) -> tuple[D
     for number in range(ROUNDS):
         left = stored(_left_over(_with_components(members, links)), f"left-{number}")
         if left.isEmpty():
-            return links, texts
+            return links
         found = verified(_estimated(_centre_pairs(left, number), classes), texts)
         links = stored(links.unionByName(found), f"links-{number}")
     left = stored(_left_over(_with_components(members, links)), "left")
     if not left.isEmpty():
         links = stored(links.unionByName(_residual_links(left, texts)), "links")
-    return links, texts
+    return links
 
 
 def _texts(df: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
