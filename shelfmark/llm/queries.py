@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontamination, language_id, near_dedup, packing, personal_data, quality_rules, repair_files, substring_dedup, toxicity
+from shelfmark.llm import (
+    decontamination,
+    language_id,
+    near_dedup,
+    packing,
+    perplexity,
+    personal_data,
+    quality_rules,
+    repair_files,
+    substring_dedup,
+    toxicity,
+)
 from shelfmark.llm.common import held_out, read_table, working_path
 
 SEQUENCE = 1024  # tokens of a packed sequence
@@ -45,6 +56,11 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_perplexity(spark: SparkSession, folder: str) -> DataFrame:
+    labels = read_table(spark, folder, "labels")
+    return perplexity.judge(read_table(spark, folder, "documents"), labels.where("quality = 1").select("doc_id"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return packing.packed_documents(docs, tokenizer_path("byte_bpe_50k.json"), SEQUENCE_END, SEQUENCE)
@@ -88,6 +104,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_files": op2_token_files,
     "op3_toxicity": op3_toxicity,
+    "op4_perplexity": op4_perplexity,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_personal_data": op7_personal_data,
