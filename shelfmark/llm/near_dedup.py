@@ -7,18 +7,20 @@ filters, and the Jaccard similarity of the whole sets decides.
 
 * Documents with the same set are one class, found by digest and represented by one row,
   so exact copies never meet.
-* Values in at most ``COLD`` lists' worth of classes are cold.  Two similar classes share
-  some value among their ``LISTED`` smallest; when one of these is cold, its list gives
-  the pair.  A list of at most COLD members yields all of its pairs.
-* A pair that only shares hot values has at least ``HOT`` hot values on both sides (of
-  SKETCH expected shares of three quarters, HOT is 5 standard deviations away), so other
-  documents never enter the hot lists.  Those that do form large groups.  There, members
-  are first compared with a few centres per list, round by round, which ties most of a
-  group together with a number of comparisons proportional to its size.  What is left
-  outside the largest component of its list is then compared, on whole sets, with all
-  members of the list in other components: blocks of members pass by the left-over ones
-  inside tasks, and only links come out.  So nothing is dropped, and pairs that are
-  already connected are not compared again.
+* Values kept by at most ``COLD`` classes are cold.  The list of a cold value gives all of
+  its pairs, for the ``LISTED`` smallest values of a class, and for all values of classes
+  that are kept whole.
+* Similar classes that share no cold value in these lists share hot ones.  Both then have
+  many: three quarters of their values where sets are kept whole, and otherwise, up to 5
+  standard deviations, HOT of SKETCH.  No other class enters the hot lists.  Those that do
+  form large groups.  There, a class stands in the lists of its HOT_LISTED smallest hot
+  values, of which a similar one shares three quarters or more.  Members are first compared
+  with a few centres per list, round by round, which ties most of a group together with a
+  number of comparisons proportional to its size.  What is left outside the largest
+  component of its list is then compared, on whole sets, with all members of the list in
+  other components: blocks of members pass by the left-over ones inside tasks, and only
+  links come out.  So nothing is dropped, and pairs that are already connected are not
+  compared again.
 
 Null texts, empty texts and texts of white space have an empty set and are linked with
 nothing.  A document with fewer than five words has its whole sequence as one shingle.
@@ -42,12 +44,15 @@ from shelfmark.llm.components import components
 SHINGLE = 5
 PERCENT = 75
 SKETCH = 64
-LISTED = 16
+LISTED = 24
 COLD = 32
 HOT = 27
+WHOLE = 48  # sets up to this size, and all that are similar to them, are kept whole
 LEAST_ESTIMATE = 0.45  # 5.5 standard deviations below 0.75 for SKETCH values
-CENTRES = 4
-ROUNDS = 3
+HOT_LISTED = 13  # smallest hot values of a class whose lists it enters
+STAR_LISTED = 4  # of these, the lists in which it is compared with centres
+CENTRES = 2
+ROUNDS = 4
 BLOCK = 128  # members of a list that are compared at once
 PARTNERS = 64  # partners of one document that follow it in a task
 
@@ -301,11 +306,11 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
 def _links(df: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Links between classes: all that lie in cold lists, and enough in hot ones that
     every class is in its component."""
-    values = classes.select("node", F.posexplode("sketch").alias("place", "value"))
+    values = classes.select("node", "n", F.posexplode("sketch").alias("place", "value"))
     counts = values.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
-    lists = stored(values.join(counts, "value").select("value", "node", "place", (F.col("size") > COLD).alias("hot")), "lists")
+    lists = stored(values.join(counts, "value").select("value", "node", "n", "place", (F.col("size") > COLD).alias("hot")), "lists")
 
-    cold = lists.where(f"NOT hot AND place < {LISTED}").select("value", "node")
+    cold = lists.where(f"NOT hot AND (place < {LISTED} OR n <= {SKETCH})").select("value", "node")
     pairs = (
         cold.join(cold.withColumnRenamed("node", "b"), "value")
         .where("node > b")
@@ -314,9 +319,15 @@ def _links(df: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFra
     )
     pairs = stored(_estimated(pairs, classes), "cold-pairs")
 
-    hot_nodes = lists.where("hot").groupBy("node").agg(F.count("*").alias("n_hot")).where(f"n_hot >= {HOT}")
+    enough = F.when(F.col("n") <= WHOLE, 100 * F.col("n_hot") >= PERCENT * F.col("n")).otherwise(F.col("n_hot") >= HOT)
+    hot_nodes = lists.where("hot").groupBy("node", "n").agg(F.count("*").alias("n_hot")).where(enough).select("node")
     members = stored(
-        lists.where("hot").join(hot_nodes, "node").where(f"place < {LISTED}").select("value", "node"), "hot-members"
+        lists.where("hot")
+        .join(hot_nodes, "node")
+        .withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("place")))
+        .where(f"rank <= {HOT_LISTED}")
+        .select("value", "node", "rank"),
+        "hot-members",
     )
     wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).unionByName(
         members.select(F.col("node").alias("a"))
@@ -327,9 +338,10 @@ def _links(df: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFra
     links = stored(verified(pairs, texts), "cold-links")
 
     for number in range(ROUNDS):
-        left = stored(_left_over(_with_components(members, links)), f"left-{number}")
+        near = members.where(f"rank <= {STAR_LISTED}")
+        left = stored(_left_over(_with_components(near, links)), f"left-{number}")
         if left.isEmpty():
-            return links
+            break
         found = verified(_estimated(_centre_pairs(left, number), classes), texts)
         links = stored(links.unionByName(found), f"links-{number}")
     left = stored(_left_over(_with_components(members, links)), "left")
