@@ -75,6 +75,7 @@ DELIVERED = "Entregue"
 
 # --- limits -----------------------------------------------------------------
 OLDEST_PUBLICATION_YEAR = 1000
+LARGEST_COUNT = 2_147_483_647
 SUBTOTAL_TOLERANCE = Decimal("0.01")
 
 # --- quality weights ----------------------------------------------------------

@@ -28,8 +28,18 @@ def to_decimal(value: Column, sql_type: str = MONEY, lenient: bool = False) -> C
 
 
 def to_count(value: Column) -> Column:
-    """Whole number written with digits only, else null."""
-    return F.when(value.rlike(fixed.DIGITS), value.try_cast("int"))
+    """Whole number written with digits only, else null.
+
+    A number beyond the declared column's range is null as well; it never
+    turns into a rule's default (see ``too_wide``).
+    """
+    number = F.when(value.rlike(fixed.DIGITS), value.try_cast("bigint"))
+    return F.when(number <= fixed.LARGEST_COUNT, number.cast("int"))
+
+
+def too_wide(value: Column) -> Column:
+    """Whether a whole number is written that no count column can hold."""
+    return value.rlike(fixed.DIGITS) & to_count(value).isNull()
 
 
 def valid_year(value: Column, as_of: AsOf, lenient: bool = False) -> Column:
@@ -64,13 +74,15 @@ def signed_money_or_zero(value: Column, lenient: bool = False) -> Column:
 
 
 def count_or_zero(value: Column) -> Column:
-    return F.coalesce(to_count(value), F.lit(0))
+    """Whole number as written, zero for other text, null for one too wide."""
+    return F.when(value.rlike(fixed.DIGITS), to_count(value)).otherwise(F.lit(0))
 
 
 def positive_count_or(value: Column, default: int | None) -> Column:
-    """Whole number above zero, else ``default``."""
+    """Whole number above zero, else ``default``; null for one too wide."""
     count = to_count(value)
-    return F.when(count > 0, count).otherwise(F.lit(default).cast("int"))
+    other = F.when(~F.coalesce(too_wide(value), F.lit(False)), F.lit(default).cast("int"))
+    return F.when(count > 0, count).otherwise(other)
 
 
 def catalogue_rating(value: Column, lenient: bool = False) -> Column:

@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from ..functions.dates import AsOf
+from ..session import sized_shuffles
 from ..sources.bronze import Bronze
 from ..sources.layers import CatalogLayers, PathLayers, publish_views, stamped
 from . import gold
@@ -51,11 +52,27 @@ def rebuild(
     run_time: dt.datetime,
     layers: PathLayers | CatalogLayers,
     lenient: bool = False,
+    input_bytes: int = 0,
 ) -> dict[str, DataFrame]:
     """Write Silver (keyed and stamped) and the Gold tables, publish the views.
 
     Cleaned tables are staged first: numbering rows reads its input twice.
+    ``input_bytes``, the stored size of the raw tables, sizes the shuffles.
     """
+    with sized_shuffles(layers.spark, input_bytes):
+        stored = _written(bronze, as_of, run_time, layers, lenient)
+    views = gold_views({name: stored[name] for name in STORED_AS.values()}, as_of)
+    publish_views(views)
+    return stored | views
+
+
+def _written(
+    bronze: Bronze,
+    as_of: dt.date,
+    run_time: dt.datetime,
+    layers: PathLayers | CatalogLayers,
+    lenient: bool,
+) -> dict[str, DataFrame]:
     staged = Silver(bronze, as_of, layers, layer="staging", lenient=lenient)
     stored = {
         name: layers.write("silver", name, keyed(name, getattr(staged, short), run_time))
@@ -63,6 +80,4 @@ def rebuild(
     }
     for name, df in gold_tables(stored).items():
         stored[name] = layers.write("gold", name, stamped(df, run_time))
-    views = gold_views(stored, as_of)
-    publish_views(views)
-    return stored | views
+    return stored

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,10 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Beyond this, a larger input means larger partitions: the driver tracks a block for
+# every pair of a map task and a partition.
+MOST_PARTITIONS = 20_000
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the jobs here rely on."""
@@ -31,19 +37,45 @@ def stored_bytes(spark: SparkSession, folder: str) -> int:
     return files.agg(F.sum("length").alias("bytes")).first().bytes or 0
 
 
-def size_shuffles(
-    spark: SparkSession, input_bytes: int, bytes_per_partition: int = 64 * 1024 * 1024
-) -> None:
+def listing(spark: SparkSession, folder: str) -> tuple:
+    """What identifies the present files below a folder: their number, bytes, last
+    change and names."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    names = F.sum(F.xxhash64("path", "length").cast("decimal(20)"))
+    return tuple(
+        files.agg(F.count("*"), F.sum("length"), F.max("modificationTime"), names).first()
+    )
+
+
+def wanted_partitions(
+    input_bytes: int, bytes_per_partition: int = 64 * 1024 * 1024, most: int = MOST_PARTITIONS
+) -> int:
+    """Shuffle partitions for so much input, within what one driver can track."""
+    return min(most, max(1, -(-input_bytes // bytes_per_partition)))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
     """Give shuffles enough partitions for the input.
 
     The setting is only ever raised: adaptive execution merges partitions that
     turn out small, but starts no more than were asked for.
     """
-    wanted = -(-input_bytes // bytes_per_partition)
+    wanted = wanted_partitions(input_bytes)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """``size_shuffles`` for the jobs started inside; the caller's value returns."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size_shuffles(spark, input_bytes)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder all executors can reach, or None where the cluster names none.
 

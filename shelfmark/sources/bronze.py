@@ -63,11 +63,15 @@ def read_raw(
 ) -> DataFrame:
     """Read delivered files (csv, json, parquet, orc) as a raw table.
 
-    Text formats are read with the declared schema, so nothing is inferred and
-    a value of any form survives.
+    Nothing is inferred and a value of any form survives.  Delimited files with a
+    header bring their own column names, in any order; columns they lack are
+    null and others are left out.  Without a header the declared order counts.
+    Rows that are too short end in nulls, and what is beyond the last column of
+    a row that is too long is left out; no row is rejected.
     """
     reader = spark.read.format(format).options(**options)
-    if format in ("csv", "json", "text"):
+    named = format == "csv" and options.get("header", "false").lower() == "true"
+    if format in ("csv", "json", "text") and not named:
         reader = reader.schema(text_schema(table))
     return as_landed(reader.load(path), table, load_time)
 

@@ -52,21 +52,29 @@ ORDERS = [
     ("ORD011", "C003", "2024-07-08", "84.00", "PIX", "Entregue", "12.00", "8.00"),
     ("ORD012", "C001", "2024-07-22", "62.00", "cartao", "Processando", "10.00", "0"),
 ]
-# Order, book and quantity of each item; price and subtotal follow from the book.
-_ITEMS = [
-    ("OI001", "ORD001", "B001", 1), ("OI002", "ORD001", "B002", 1), ("OI003", "ORD002", "B001", 1),
-    ("OI004", "ORD003", "B002", 2), ("OI005", "ORD003", "B003", 2), ("OI006", "ORD003", "B004", 1),
-    ("OI007", "ORD004", "B003", 1), ("OI008", "ORD004", "B004", 1), ("OI009", "ORD006", "B006", 2),
-    ("OI010", "ORD006", "B007", 1), ("OI011", "ORD006", "B008", 1), ("OI012", "ORD007", "B009", 2),
-    ("OI013", "ORD007", "B010", 1), ("OI014", "ORD008", "B001", 1), ("OI015", "ORD008", "B004", 1),
-    ("OI016", "ORD009", "B012", 1), ("OI017", "ORD010", "B012", 2), ("OI018", "ORD010", "B001", 1),
-    ("OI019", "ORD010", "B003", 1), ("OI020", "ORD011", "B006", 1), ("OI021", "ORD011", "B007", 1),
-    ("OI022", "ORD012", "B010", 2),
-]
-_PRICE = {b[0]: b[7] for b in BOOKS}
 ITEMS = [
-    (item, order, book, str(n), _PRICE[book], f"{n * round(float(_PRICE[book]) * 100) / 100:.2f}")
-    for item, order, book, n in _ITEMS
+    ("OI001", "ORD001", "B001", "1", "89.90", "89.90"),
+    ("OI002", "ORD001", "B002", "1", "45.50", "45.50"),
+    ("OI003", "ORD002", "B001", "1", "89.90", "89.90"),
+    ("OI004", "ORD003", "B002", "2", "45.50", "91.00"),
+    ("OI005", "ORD003", "B003", "2", "35.00", "70.00"),
+    ("OI006", "ORD003", "B004", "1", "28.90", "28.90"),
+    ("OI007", "ORD004", "B003", "1", "35.00", "35.00"),
+    ("OI008", "ORD004", "B004", "1", "28.90", "28.90"),
+    ("OI009", "ORD006", "B006", "2", "52.00", "104.00"),
+    ("OI010", "ORD006", "B007", "1", "39.90", "39.90"),
+    ("OI011", "ORD006", "B008", "1", "34.90", "34.90"),
+    ("OI012", "ORD007", "B009", "2", "42.00", "84.00"),
+    ("OI013", "ORD007", "B010", "1", "29.90", "29.90"),
+    ("OI014", "ORD008", "B001", "1", "89.90", "89.90"),
+    ("OI015", "ORD008", "B004", "1", "28.90", "28.90"),
+    ("OI016", "ORD009", "B012", "1", "79.90", "79.90"),
+    ("OI017", "ORD010", "B012", "2", "79.90", "159.80"),
+    ("OI018", "ORD010", "B001", "1", "89.90", "89.90"),
+    ("OI019", "ORD010", "B003", "1", "35.00", "35.00"),
+    ("OI020", "ORD011", "B006", "1", "52.00", "52.00"),
+    ("OI021", "ORD011", "B007", "1", "39.90", "39.90"),
+    ("OI022", "ORD012", "B010", "2", "29.90", "59.80"),
 ]
 REVIEWS = [
     ("R001", "B001", "C001", "5", "Obra-prima da fantasia! Simplesmente incrível.", "2024-02-01", "45"),

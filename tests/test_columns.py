@@ -99,9 +99,9 @@ ONE_INPUT = {
         numbers.money_or_zero,
         {"12.5": D("12.50"), "-3": D("0.00"), "": D("0.00"), None: D("0.00"), "1.": D("0.00"), "x": D("0.00")},
     ),
-    "count_or_zero": (numbers.count_or_zero, {"7": 7, "-1": 0, "1.5": 0, "": 0, None: 0, "none": 0}),
-    "pages": (lambda c: numbers.positive_count_or(c, None), {"0": None, "12": 12, "x": None, None: None}),
-    "quantity": (lambda c: numbers.positive_count_or(c, 1), {"0": 1, "12": 12, "x": 1, None: 1, "-2": 1}),
+    "count_or_zero": (numbers.count_or_zero, {"7": 7, "-1": 0, "1.5": 0, "": 0, None: 0, "none": 0, "2147483647": 2147483647, "3000000000": None, "9" * 30: None}),
+    "pages": (lambda c: numbers.positive_count_or(c, None), {"0": None, "12": 12, "x": None, None: None, "3000000000": None}),
+    "quantity": (lambda c: numbers.positive_count_or(c, 1), {"0": 1, "12": 12, "x": 1, None: 1, "-2": 1, "3000000000": None, "9" * 30: None}),
     "catalogue_rating": (
         numbers.catalogue_rating,
         {"0": D("0.0"), "5.0": D("5.0"), "5.1": None, "-0.1": None, "bad": None, None: None},

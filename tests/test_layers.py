@@ -154,3 +154,22 @@ def test_conform_and_stamp(spark):
     done = stamped(conform(df, {"a": "int", "b": "decimal(3,1)"}), LOADED)
     assert [t for _, t in done.dtypes] == ["int", "decimal(3,1)", "timestamp", "timestamp"]
     assert done.columns == ["a", "b", "created_at", "updated_at"]
+
+
+def test_delimited_files_land_by_column_name(spark, tmp_path):
+    """Another column order, a missing and an unknown column, short and over-long rows."""
+    (tmp_path / "items.csv").write_text(
+        "order_id,quantity,surprise,book_id,order_item_id\n"
+        "O1,2,s,B1,I1\n"
+        "O2,3\n"
+        "O3,4,s,B3,I3,beyond,more\n"
+    )
+    landed = bronze.read_raw(spark, "raw_order_items", str(tmp_path), LOADED, "csv", header="true")
+    assert landed.columns == [*bronze.text_schema("raw_order_items").names, "created_at"]
+    got = landed.select("order_item_id", "order_id", "book_id", "quantity").collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == [
+        ("I1", "O1", "B1", "2"),
+        (None, "O2", None, "3"),
+        ("I3", "O3", "B3", "4"),
+    ]
+    assert all(r[0] is None for r in landed.select("unit_price").collect())

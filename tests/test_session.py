@@ -15,8 +15,11 @@ def test_shuffles_are_sized_by_the_input_and_only_raised(spark):
     try:
         session.size_shuffles(spark, size)
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        with session.sized_shuffles(spark, 2**32):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
         session.size_shuffles(spark, 100 * 2**40)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == str(100 * 2**40 // 2**26)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(session.MOST_PARTITIONS)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 

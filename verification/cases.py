@@ -19,7 +19,7 @@ from shelfmark.functions import canonical, dates, numbers, rules, scores, segmen
 from shelfmark.operators import aggregates, dedup, ranking, surrogate
 from shelfmark.plans import gold, gold_by_grain, originals, quality
 from shelfmark.plans.silver import Silver
-from shelfmark.session import configure, shared_folder, size_shuffles, stored_bytes
+from shelfmark.session import configure, listing, shared_folder, size_shuffles
 from shelfmark.sources import commerce
 from shelfmark.sources.bronze import Bronze
 from shelfmark.sources.commerce import AS_OF, bronze_from, read_table
@@ -27,7 +27,7 @@ from shelfmark.sources.layers import PathLayers
 from shelfmark.streaming import ingest
 
 c = F.col
-_LAYERS: dict[tuple[str, str | None, str], Silver] = {}
+_LAYERS: dict[tuple, Silver] = {}
 
 
 @dataclass
@@ -40,11 +40,13 @@ class Context:
     @property
     def silver(self) -> Silver:
         shared = shared_folder(self.spark)
-        key = (self.spark.sparkContext.applicationId, shared, self.folder)
+        # A folder whose files have changed since is another input.
+        files = listing(self.spark, self.folder)
+        key = (self.spark.sparkContext.applicationId, shared, self.folder, files)
         if key not in _LAYERS or not _LAYERS[key].is_intact():
-            name = f"{key[0]}/{self.folder.strip('/').replace('/', '_')}"
+            name = f"{key[0]}/{self.folder.strip('/').replace('/', '_')}-{uuid.uuid4().hex}"
             layers = PathLayers(self.spark, f"{shared}/{name}") if shared else None
-            size_shuffles(self.spark, stored_bytes(self.spark, self.folder))
+            size_shuffles(self.spark, files[1] or 0)
             _LAYERS[key] = Silver(bronze_from(self.spark, self.folder), AS_OF, layers)
         return _LAYERS[key]
 
@@ -370,9 +372,8 @@ def _streamed(x: Context, table: str, build: Callable[[DataFrame], DataFrame]) -
     if shared is None:
         raise RuntimeError("streams need spark.checkpoint.dir")
     schema = read_table(x.spark, x.folder, table).schema
-    arriving = ingest.read_stream(
-        x.spark, schema, x.folder, "parquet", pathGlobFilter=f"{table}.parquet"
-    )
+    # As a pattern the path may be one file or a folder of part files.
+    arriving = ingest.read_stream(x.spark, schema, f"{x.folder}/{table}.parque[t]", "parquet")
     run = f"{shared}/streams/{uuid.uuid4()}"
     stream = build(arriving)
     ingest.append_available(stream, f"{run}/table", f"{run}/progress")
