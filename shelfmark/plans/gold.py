@@ -62,7 +62,7 @@ def items_per_order(items: DataFrame) -> DataFrame:
 def reviews_per(reviews: DataFrame, key: str) -> DataFrame:
     return reviews.groupBy(key).agg(
         F.count("*").alias("review_rows"),
-        F.count("review_id").alias("total_reviews"),
+        F.countDistinct("review_id").alias("total_reviews"),
         F.sum("rating").alias("rating_sum"),
         F.count("rating").alias("rating_rows"),
     )
@@ -169,7 +169,7 @@ def spend_per_customer(orders: DataFrame, items: DataFrame) -> DataFrame:
         _order_rows(orders, items)
         .groupBy("customer_id")
         .agg(
-            F.count("*").alias("total_orders"),
+            F.countDistinct("order_id").alias("total_orders"),
             total(times(F.col("total_amount"), rows)).alias("spent"),
             F.sum(F.when(F.col("total_amount").isNotNull(), rows)).alias("spent_rows"),
             F.sum("item_quantity").alias("quantity"),
@@ -238,7 +238,7 @@ def _sales_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def _period_measures(revenue: str) -> list[Column]:
     return [
-        F.count("*").alias("total_orders"),
+        F.countDistinct("order_id").alias("total_orders"),
         F.countDistinct("customer_id").alias("unique_customers"),
         F.sum("item_quantity").alias("total_items_sold"),
         total("total_amount_rows").alias(revenue),
@@ -282,14 +282,14 @@ def daily_metrics(orders: DataFrame, items: DataFrame) -> DataFrame:
 def payment_analysis(orders: DataFrame) -> DataFrame:
     """Completed sales per payment method, with shares of all valid orders."""
     everything = valid_orders(orders).agg(
-        F.count("*").alias("orders"), total("total_amount").alias("revenue")
+        F.countDistinct("order_id").alias("orders"), total("total_amount").alias("revenue")
     )
     hundred = F.lit(100).cast("decimal(3,0)")
     return (
         completed_sales(orders)
         .groupBy("payment_method")
         .agg(
-            F.count("*").alias("total_orders"),
+            F.countDistinct("order_id").alias("total_orders"),
             total("total_amount").alias("total_revenue"),
             mean(F.col("total_amount"), 2).alias("avg_order_value"),
             total("discount_applied").alias("total_discounts"),
