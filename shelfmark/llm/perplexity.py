@@ -5,15 +5,17 @@ tables (discounted probability and back-off weight per n-gram of each order) are
 grouping and joining counts.  Documents are scored in shards, runs of neighbouring rows:
 each shard asks for the probabilities of its distinct n-grams, requests meet the tables
 in joins, and the answers go to where the shard's texts are.  So what scoring gathers
-grows with the corpus, and no task holds the model.  A document is kept if its perplexity
-is at most the ``QUANTILE`` of its language's trusted documents, times ``MARGIN``.
+grows with the corpus, and no task holds the model.  One trusted document in five is not
+trained on; a document is kept if its perplexity is at most the ``QUANTILE`` of these in
+its language, times ``MARGIN``.
 
 At most ``TRUSTED`` trusted ids, those with the smallest hashes, are used for training;
 they are sent to all tasks.  All documents are scored, on whole texts.
 
 Null and empty texts have no perplexity and are not kept.  Documents without a language,
-or in one without trusted documents, go by the quantile over all trusted ones; without
-any trusted text there is no model, and all documents with text are kept.  Repeated rows
+or in one without held-out trusted documents, go by the quantile over all held-out ones,
+or over all trusted ones where none is held out; without any trusted text there is no
+model, and all documents with text are kept.  Repeated rows
 are scored one by one.
 """
 
@@ -27,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import blocks, code_points, partitions, stored
+from shelfmark.llm.common import blocks, code_points, held_out, partitions, stored
 
 ORDER = 4
 BITS = 16  # of a symbol within an n-gram's number
@@ -252,7 +254,7 @@ def judge(
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     # At most TRUSTED ids.
     trusted = docs.join(F.broadcast(ids), docs["doc_id"] == ids["_id"], "left_semi")
-    top = stored(counts(trusted.where("text IS NOT NULL")), "counts")
+    top = stored(counts(trusted.where("text IS NOT NULL").where(~held_out(F.col("doc_id")))), "counts")
     numbered = docs.withColumn("row", F.monotonically_increasing_id())
     scores = stored(perplexities(numbered, tables(top)), "perplexities")
     rows = numbered.select("row", "doc_id", "lang").join(scores, "row")
@@ -260,8 +262,11 @@ def judge(
     rows = stored(rows, "scored")
     marked = rows.where("trusted AND perplexity IS NOT NULL")
     limit = F.percentile_approx("perplexity", QUANTILE, 10_000) * MARGIN
-    whole = marked.agg(limit.alias("t")).first().t
-    by_lang = marked.where("lang IS NOT NULL").groupBy("lang").agg(limit.alias("threshold"))
+    unseen = marked.where(held_out(F.col("doc_id")))
+    whole = unseen.agg(limit.alias("t")).first().t
+    if whole is None:
+        whole = marked.agg(limit.alias("t")).first().t
+    by_lang = unseen.where("lang IS NOT NULL").groupBy("lang").agg(limit.alias("threshold"))
     return (
         rows.join(by_lang, "lang", "left")
         .withColumn("threshold", F.coalesce("threshold", F.lit(whole if whole is not None else float("inf"))))

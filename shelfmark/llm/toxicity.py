@@ -13,7 +13,8 @@ their ids and read whole.
 
 Null and empty texts have all features 0 and the score that belongs to them; without
 labels of both kinds every score is the share of toxic labels, or 0.  Texts are read
-whole.  Repeated rows are scored one by one.
+whole.  Repeated rows are scored one by one.  A text's features are its best values, so
+the more words a text has, the likelier one of them resembles an insult by chance.
 """
 
 from __future__ import annotations
