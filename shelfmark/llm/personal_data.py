@@ -54,6 +54,8 @@ CONTEXT = 24  # characters before a span in which words are looked for
 LABELERS = ["strict", "valid", "gazetteer", "cue", "against"]
 SHAPES = ["spaced", "marked", "long"]
 ROUNDS = 12
+MATCH_BLOCK = 256
+MATCHES = "array<struct<start: int, end: int, value: string, before: string>>"
 ACCEPT = 0.5
 
 SPAN = "struct<start: int, kind: int, end: int, strict: boolean, votes: array<int>, shape: array<int>>"
@@ -67,7 +69,7 @@ def _matches(text: Column, pattern: str) -> Column:
         F.slice(gaps, F.lit(1), F.size(found)), found,
         lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("length"), m.alias("value"), g.alias("before")),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start: int, end: int, value: string, before: string>>").alias("spans"))
+    none = F.array().cast(MATCHES)
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["gap"]
@@ -77,7 +79,19 @@ def _matches(text: Column, pattern: str) -> Column:
         )
         return F.struct((begin + x["length"]).alias("at"), F.concat(acc["spans"], F.array(one)).alias("spans"))
 
-    return F.aggregate(pairs, start, step)["spans"]
+    # In blocks, as each step copies what its block has gathered.
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(found) - 1) / MATCH_BLOCK).cast("int")),
+        lambda k: F.slice(pairs, k * MATCH_BLOCK + 1, F.lit(MATCH_BLOCK)),
+    )
+
+    def block_step(acc: Column, block: Column) -> Column:
+        done = F.aggregate(block, F.struct(acc["at"].alias("at"), none.alias("spans")), step)
+        return F.struct(done["at"].alias("at"), F.concat(acc["spans"], F.array(done["spans"])).alias("spans"))
+
+    outer = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{MATCHES}>").alias("spans"))
+    gathered = F.flatten(F.aggregate(blocks, outer, block_step)["spans"])
+    return F.when(F.size(found) > 0, gathered).otherwise(none)
 
 
 def _digits(value: Column) -> Column:
