@@ -18,7 +18,8 @@ def shingles(text: str | None) -> frozenset:
     return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if words else frozenset()
 
 
-def expected(rows: list[tuple]) -> list[tuple]:
+def groups(rows: list[tuple]) -> list[int]:
+    """A number for each row, equal for rows of one component."""
     sets = [shingles(r[1]) for r in rows]
     parent = list(range(len(rows)))
 
@@ -32,11 +33,15 @@ def expected(rows: list[tuple]) -> list[tuple]:
             common = len(sets[i] & sets[j])
             if sets[i] and 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common):
                 parent[find(i)] = find(j)
-    out = []
-    for i, row in enumerate(rows):
-        ids = [rows[j][0] for j in range(len(rows)) if find(j) == find(i) and rows[j][0] is not None]
+    return [find(i) for i in range(len(rows))]
+
+
+def expected(rows: list[tuple]) -> list[tuple]:
+    group, out = groups(rows), []
+    for mine, row in zip(group, rows):
+        ids = [r[0] for g, r in zip(group, rows) if g == mine and r[0] is not None]
         least = min(ids) if ids else None
-        out.append((row[0], len(sets[i]), least, row[0] == least))
+        out.append((row[0], len(shingles(row[1])), least, row[0] == least))
     return out
 
 
