@@ -3,11 +3,14 @@
 Items are cut into segments of at most ``HALF`` words, which an inverted index holds.
 Every passage of every training text, 2 * HALF words at steps of HALF, is a query.  A
 segment's score is the share of its own BM25 mass that the passage's words reach.  All
-segments from ``THRESHOLD`` are retrieved by block-max WAND; a passage is only walked if
-the rare words it holds can lift some segment to the threshold, which is an exact bound.
+segments from ``THRESHOLD`` are retrieved by block-max WAND.  Each segment has key words:
+its rare ones and, where what is left could reach the threshold, its next rarest until it
+can't.  A passage is only walked if the key words it holds, with all the other words of
+their segment, can lift the segment to the threshold, which is an exact bound.
 A retrieved item is a leak if its question and its answer are both found near the passage.
 
-The index is split into parts of at most ``PART_WORDS`` item words; texts are run against
+The index holds each distinct item text once, with all its ids.  It is split into parts of
+at most ``PART_WORDS`` item words, weighted by the words of all parts; texts are run against
 each part, so a broadcast part has a fixed size bound.
 
 Null and empty texts, and items without words, leak nothing.  Repeated documents each
@@ -31,6 +34,7 @@ HALF = 64
 THRESHOLD = 0.6
 OVERLAP = 0.6  # share of the word triples of a question, or of an answer, to be found
 PART_WORDS = 2_000_000
+BLOCK_HITS = 500_000  # postings of key words gathered at once
 BLOCK = 32  # segments whose largest impact is kept together
 K1, B = 1.2, 0.75
 RARE_SHARE = 0.02  # words in at most this share of the segments are looked up first
@@ -79,28 +83,51 @@ class Index:
     terms: dict[str, int] = field(default_factory=dict)
     postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
     block_max: list[dict[int, float]] = field(default_factory=list)
-    rare: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
-    common_mass: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    keys: list[np.ndarray] = field(default_factory=list)  # of each posting, whether it is a key
+    rest: np.ndarray = field(default_factory=lambda: np.zeros(0))  # mass of a segment's other words
+    ids: list[list[int | None]] = field(default_factory=list)  # of each text
 
 
-def build(texts: list[tuple[int, str]]) -> Index:
-    """Index of (item id, text) pairs."""
-    index = Index([], texts)
+@dataclass
+class Statistics:
+    """Of the segments of all parts: number, words, and segments of each word."""
+
+    segments: int = 0
+    words: int = 0
+    spread: Counter = field(default_factory=Counter)
+
+    def add(self, counts: list[Counter]) -> None:
+        self.segments += len(counts)
+        for c in counts:
+            self.words += sum(c.values())
+            self.spread.update(c.keys())
+
+
+def segments_of(text: str) -> list[Counter]:
+    words = words_of(text)
+    return [Counter(words[start : start + HALF]) for start in range(0, len(words), HALF)]
+
+
+def build(texts: list[tuple[int, str]], over: Statistics | None = None) -> Index:
+    """Index of (item id, text) pairs, weighted by the statistics of all parts, its own
+    if none are given."""
+    index = Index([], texts, ids=[[i] for i, _ in texts])
     counts: list[Counter] = []
     for k, (_, text) in enumerate(texts):
-        words = words_of(text)
-        for start in range(0, len(words), HALF):
-            counts.append(Counter(words[start : start + HALF]))
-            index.items.append(k)
+        mine = segments_of(text)
+        counts += mine
+        index.items += [k] * len(mine)
     if not counts:
         return index
-    spread = Counter(w for c in counts for w in c)
-    mean = sum(sum(c.values()) for c in counts) / len(counts)
+    if over is None:
+        over = Statistics()
+        over.add(counts)
+    spread, total_segments, mean = over.spread, over.segments, over.words / over.segments
     impacts: dict[str, list[tuple[int, float]]] = {}
     for s, c in enumerate(counts):
         length = sum(c.values())
         own = {
-            w: math.log(1 + (len(counts) - spread[w] + 0.5) / (spread[w] + 0.5))
+            w: math.log(1 + (total_segments - spread[w] + 0.5) / (spread[w] + 0.5))
             * n * (K1 + 1) / (n + K1 * (1 - B + B * length / mean))
             for w, n in c.items()
         }
@@ -108,8 +135,7 @@ def build(texts: list[tuple[int, str]]) -> Index:
         for w, impact in own.items():
             impacts.setdefault(w, []).append((s, impact / total))
     most = max(1, int(RARE_SHARE * len(counts)))
-    index.rare = np.zeros(len(impacts), bool)
-    index.common_mass = np.zeros(len(counts))
+    index.rest = np.zeros(len(counts))
     for t, (word, found) in enumerate(sorted(impacts.items())):
         index.terms[word] = t
         segments = np.array([s for s, _ in found], np.int64)
@@ -119,12 +145,29 @@ def build(texts: list[tuple[int, str]]) -> Index:
         for s, v in found:
             tops[s // BLOCK] = max(tops.get(s // BLOCK, 0.0), v)
         index.block_max.append(tops)
-        index.rare[t] = len(found) <= most
-        if not index.rare[t]:
-            index.common_mass[segments] += values
+        index.keys.append(np.full(len(found), len(found) <= most))
+        if len(found) > most:
+            index.rest[segments] += values
+    _add_keys(index)
     return index
 
 
+def _add_keys(index: Index) -> None:
+    """Make keys of the next rarest words of segments whose other words could reach the
+    threshold alone."""
+    short = index.rest >= THRESHOLD - 1e-6
+    others: dict[int, list[tuple[int, int, int]]] = {s: [] for s in np.flatnonzero(short).tolist()}
+    for t, ((segments, _), keys) in enumerate(zip(index.postings, index.keys)):
+        for place in np.flatnonzero(short[segments] & ~keys).tolist():
+            others[int(segments[place])].append((len(segments), t, place))
+    for s, words in others.items():
+        for _, t, place in sorted(words):
+            if index.rest[s] < THRESHOLD - 1e-6:
+                break
+            index.keys[t][place] = True
+            index.rest[s] -= index.postings[t][1][place]
+
+
 def block_max_wand(index: Index, terms: list[int], threshold: float) -> list[tuple[int, float]]:
     """All segments that the distinct terms lift to the threshold, with their scores."""
     cursors = [[int(index.postings[t][0][0]), 0, t, float(index.postings[t][1].max())] for t in terms]
@@ -171,28 +214,36 @@ class Searcher:
 
     def __init__(self, index: Index) -> None:
         self.index = index
-        self.sizes = np.array([len(p[0]) for p in index.postings], np.int64)
+        self.sizes = np.array([int(k.sum()) for k in index.keys], np.int64)
         if len(self.sizes):
-            self.segments = np.concatenate([p[0] for p in index.postings])
-            self.values = np.concatenate([p[1] for p in index.postings])
+            self.segments = np.concatenate([p[0][k] for p, k in zip(index.postings, index.keys)])
+            self.values = np.concatenate([p[1][k] for p, k in zip(index.postings, index.keys)])
             self.begins = np.cumsum(self.sizes) - self.sizes
         self.parts = [question_and_answer(text) for _, text in index.texts]
 
     def candidates(self, terms: np.ndarray, halves: np.ndarray) -> np.ndarray:
-        """Passages that can reach the threshold for some segment, by their rare words
-        and all that the segment's common words could add."""
-        rare = self.index.rare[terms]
-        hits = np.unique(np.stack([np.concatenate([halves[rare], halves[rare] - 1]), np.concatenate([terms[rare]] * 2)]), axis=1)
+        """Passages that can reach the threshold for some segment, by its key words and
+        all that its other words could add."""
+        key = self.sizes[terms] > 0
+        hits = np.unique(np.stack([np.concatenate([halves[key], halves[key] - 1]), np.concatenate([terms[key]] * 2)]), axis=1)
         passage, term = hits
         passage, term = passage[passage >= 0], term[passage >= 0]
         if not len(term):
             return np.zeros(0, np.int64)
+        # Whole passages with about BLOCK_HITS postings at a time, as key words may be frequent.
+        piece = np.cumsum(self.sizes[term]) // BLOCK_HITS
+        begins = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+        cuts = begins[np.append(True, piece[begins][1:] != piece[begins][:-1])].tolist()
+        found = [self._reaching(passage[a:b], term[a:b]) for a, b in zip(cuts, [*cuts[1:], len(term)])]
+        return np.concatenate(found)
+
+    def _reaching(self, passage: np.ndarray, term: np.ndarray) -> np.ndarray:
         sizes = self.sizes[term]
         at = np.arange(int(sizes.sum())) + np.repeat(self.begins[term] - (np.cumsum(sizes) - sizes), sizes)
         key = np.repeat(passage, sizes) * len(self.index.items) + self.segments[at]
         keys, place = np.unique(key, return_inverse=True)
         mass = np.bincount(place, self.values[at])
-        reach = mass + self.index.common_mass[keys % len(self.index.items)]
+        reach = mass + self.index.rest[keys % len(self.index.items)]
         return np.unique(keys[reach >= THRESHOLD - 1e-9] // len(self.index.items))
 
     def search(self, text: str | None) -> dict[int, tuple[float, float, float]]:
@@ -207,7 +258,7 @@ class Searcher:
         last = max(0, (len(words) - 1) // HALF - 1)
         out: dict[int, tuple[float, float, float]] = {}
         # A passage is two neighbouring halves; the last half alone is none unless it is the only one.
-        for p in self.candidates(terms, halves).tolist() if (len(self.index.common_mass)) else []:
+        for p in self.candidates(terms, halves).tolist():
             p = min(p, last)
             inside = terms[(halves >= p) & (halves <= p + 1)]
             for segment, score in block_max_wand(self.index, np.unique(inside).tolist(), THRESHOLD):
@@ -223,17 +274,28 @@ class Searcher:
 
 
 def indexes(items: DataFrame, item_id: str = "item_id", text: str = "text") -> list[Index]:
-    """The items' index in parts of at most about PART_WORDS words, so that each can be
-    sent to every task."""
-    items = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(text).alias("text")).where(
-        "text IS NOT NULL"
+    """The index of the distinct item texts in parts of at most about PART_WORDS words, so
+    that each can be sent to every task."""
+    items = (
+        items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(text).alias("text"))
+        .where("text IS NOT NULL")
+        .groupBy("text")
+        .agg(F.sort_array(F.collect_set(F.struct("item_id"))).alias("ids"))
     )
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-total // (PART_WORDS * 6)))
+    rows = [
+        items.where(F.pmod(F.xxhash64("text"), F.lit(count)) == part).sort("text").collect() for part in range(count)
+    ]
+    over = Statistics()
+    for part in rows:
+        for row in part:
+            over.add(segments_of(row.text))
     out = []
-    for part in range(count):
-        mine = items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(count)) == part)
-        out.append(build([(r.item_id, r.text) for r in mine.sort("item_id", "text").collect()]))
+    for part in rows:
+        index = build([(place, row.text) for place, row in enumerate(part)], over)
+        index.ids = [[i.item_id for i in row.ids] for row in part]
+        out.append(index)
     return out
 
 
@@ -277,7 +339,7 @@ def _search_with(index: Index):
             rows: list[tuple] = []
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for k, shown in sorted(searcher.search(value.as_py()).items()):
-                    rows.append((name, index.texts[k][0], *shown))
+                    rows += [(name, item, *shown) for item in index.ids[k]]
             if rows:
                 types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays(

@@ -59,6 +59,42 @@ def test_planted_items_are_found_and_clean_documents_left(spark):
     assert clean.count() == len(rows) - sum(r[0] in {d for d, _ in found} for r in rows)
 
 
+def test_repeated_items_are_found_each_by_its_own_id(spark):
+    """A third of the items are copies of one, and every item comes in two spellings."""
+    rng = random.Random(22)
+    held = items(rng, 40)
+    held += [(100 + i, text.upper()) for i, text in held]
+    held += [(200 + k, held[0][1]) for k in range(40)] + [(None, held[0][1])]
+    rows = [(i, f"{prose(rng, 30)} {held[i][1]} {prose(rng, 200)}", None, None, None) for i in range(40)]
+    benchmark = spark.createDataFrame(held, "item_id long, text string")
+    got = decontamination.leaks(documents(spark, rows), benchmark).collect()
+    found = {(r.doc_id, r.item_id) for r in got}
+    assert len(got) == len(found)
+    assert {(i, i) for i in range(40)} | {(i, 100 + i) for i in range(40)} <= found
+    assert {(0, 200 + k) for k in range(40)} | {(0, None)} <= found
+    assert decontamination.without_leaks(documents(spark, rows), benchmark).count() == 0
+
+
+def test_candidates_hold_every_passage_that_reaches_the_threshold(monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_HITS", 50)
+    rng = random.Random(23)
+    words = [prose(rng, 1) for _ in range(40)]  # every word is in many segments
+    held = [(i, " ".join(rng.choices(words, k=rng.randint(5, 150)))) for i in range(60)]
+    index = decontamination.build(held)
+    searcher = decontamination.Searcher(index)
+    for _ in range(60):
+        text = [index.terms[w] for w in decontamination.words_of(" ".join(rng.choices(words, k=rng.randint(1, 400))))]
+        terms, halves = np.array(text), np.arange(len(text)) // decontamination.HALF
+        expected = set()
+        for p in range(int(halves[-1]) + 1):
+            mass = np.zeros(len(index.items))
+            for t in set(terms[(halves >= p) & (halves <= p + 1)].tolist()):
+                np.add.at(mass, index.postings[t][0], index.postings[t][1])
+            if (mass >= decontamination.THRESHOLD).any():
+                expected.add(p)
+        assert expected <= set(searcher.candidates(terms, halves).tolist())
+
+
 def test_index_in_parts_finds_the_same(spark, monkeypatch):
     rng = random.Random(17)
     held = items(rng, 40)
