@@ -24,7 +24,8 @@ filters, and the Jaccard similarity of the whole sets decides.
 
 Null texts, empty texts and texts of white space have an empty set and are linked with
 nothing.  A document with fewer than five words has its whole sequence as one shingle.
-Rows with equal ids are each linked by their own set.  Sets are made of whole texts.
+Rows are numbered, and a class's text is that of the row with its number, so rows with
+equal or null ids are each linked by their own set.  Sets are made of whole texts.
 """
 
 from __future__ import annotations
@@ -109,7 +110,7 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return (values ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def sketches(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+def sketches(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str = "row") -> DataFrame:
     """doc_id, row, n_shingles, digest of the set (two halves) and its sketch, smallest first."""
 
     def scan(batches) -> Iterator[pa.RecordBatch]:
@@ -133,7 +134,7 @@ def sketches(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str
     return df.select(
         F.col(doc_id).cast("bigint").alias("doc_id"),
         F.col(text).alias("text"),
-        (F.col(row) if row else F.lit(None)).cast("bigint").alias("row"),
+        F.col(row).cast("bigint").alias("row"),
     ).mapInArrow(
         scan, "doc_id bigint, row bigint, n_shingles bigint, high bigint, low bigint, sketch array<bigint>"
     )
@@ -273,6 +274,15 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
 
     With ``row``, a column that numbers the rows, that number and ``stays`` come along:
     true for one row of each component, the first by doc_id and number."""
+    numbered = row is not None
+    if not numbered:  # stored, as a number has to mean the same row whenever it is read
+        df = stored(
+            df.select(
+                F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row")
+            ),
+            "numbered",
+        )
+        doc_id, text, row = "doc_id", "text", "row"
     rows = stored(sketches(df, doc_id, text, row), "sketches")
     full = rows.where("n_shingles > 0")
     # One class per set.  Nodes are numbered by class, as ids may repeat or be null.
@@ -287,7 +297,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    links = _links(df, classes, doc_id, text)
+    links = _links(df, classes, text, row)
     parts = stored(components(links), "components")
     named = classes.select("high", "low", "node", "doc_id", "first").join(parts, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
@@ -300,10 +310,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
         "doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays")
     )
     out = found.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return out if row else out.drop("row", "stays")
+    return out if numbered else out.drop("row", "stays")
 
 
-def _links(df: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _links(df: DataFrame, classes: DataFrame, text: str, row: str) -> DataFrame:
     """Links between classes: all that lie in cold lists, and enough in hot ones that
     every class is in its component."""
     values = classes.select("node", "n", F.posexplode("sketch").alias("place", "value"))
@@ -332,9 +342,9 @@ def _links(df: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFra
     wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).unionByName(
         members.select(F.col("node").alias("a"))
     ).distinct()
-    # The texts of the classes that are compared, each from the row of its smallest id.
-    chosen = classes.join(wanted.withColumnRenamed("a", "node"), "node").select("node", F.col("doc_id").alias("_doc"), "high", "low")
-    texts = _texts(df, chosen, doc_id, text)
+    # The texts of the classes that are compared, each from its first row.
+    chosen = classes.join(wanted.withColumnRenamed("a", "node"), "node").select("node", F.col("first.row").alias("_row"))
+    texts = _texts(df, chosen, text, row)
     links = stored(verified(pairs, texts), "cold-links")
 
     for number in range(ROUNDS):
@@ -350,9 +360,7 @@ def _links(df: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFra
     return links
 
 
-def _texts(df: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _texts(df: DataFrame, chosen: DataFrame, text: str, row: str) -> DataFrame:
     """node and text of the chosen classes, one row each."""
-    docs = df.select(F.col(doc_id).cast("bigint").alias("_doc"), F.col(text).alias("text")).where("text IS NOT NULL")
-    return stored(
-        docs.join(chosen, docs["_doc"].eqNullSafe(chosen["_doc"])).select("node", "text").dropDuplicates(["node"]), "texts"
-    )
+    docs = df.select(F.col(row).cast("bigint").alias("_row"), F.col(text).alias("text"))
+    return stored(docs.join(chosen, "_row").select("node", "text"), "texts")

@@ -86,6 +86,17 @@ def test_groups_of_near_copies_and_shared_passages(spark, monkeypatch, cold):
     check(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
 
 
+def test_near_copies_under_equal_and_null_ids(spark):
+    rng = random.Random(24)
+    rows = []
+    for ids in ([None] * 12, [5] * 12, list(range(100, 112))):
+        for k, i in enumerate(ids):
+            text = prose(random.Random(k), 100)
+            rows.append((i, " ".join([*text.split()[:-1], prose(rng, 1)]), None, None, None))
+    rng.shuffle(rows)
+    check(spark, rows)
+
+
 def test_one_row_of_each_group_stays(spark):
     df = documents(spark).selectExpr("*", "monotonically_increasing_id() AS row")
     got = near_dedup.near_duplicates(df, row="row").where("stays").collect()
