@@ -1,17 +1,23 @@
 """Repeated passages found by content-defined chunks.
 
-A gear rolling hash over the bytes of a text sets chunk ends where its top bits are zero,
-moved on to the next white space, so that an insertion changes only the chunks around
-it.  Chunks are deduplicated by digest: the first place of a digest, by document and
-place, is kept and every later one is a repeat.  Runs of neighbouring repeated chunks of
-at least ``MIN_WORDS`` words are repeated passages.
-
-Null and empty texts have no chunks.  Rows with equal ids count as one document read
-again; null ids come first.  Texts are read whole and of any length.
+A gear rolling hash over the bytes of a text sets chunk ends where it is smaller than
+``RADIUS`` values to both sides, moved on to the next white space.  So an end depends on the
+bytes around it alone, not on the chunk before, and an insertion changes only the chunks
+around it.  Chunks are deduplicated by digest: the first place of a digest, by document and
+place, is kept and every later one is a repeat.  Runs of neighbouring repeated chunks are
+anchors: each is extended to both sides by the equal words around the first place of its
+outer chunk (the last place, where it is the first itself), up to the next run or
+``CONTEXT`` bytes.  Runs that meet are one.  Those of at least ``MIN_WORDS`` words are
+repeated passages.
+
+Null and empty texts have no chunks.  Rows are numbered and each is a document of its own,
+whether ids are equal or null; the smallest id comes first, null ids before all others.
+Texts are read whole and of any length.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,12 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_BITS = 5  # a boundary after 2 ** 5 bytes on average, before it is moved to a white space
-MIN_CHUNK = 24  # bytes
+from shelfmark.llm.common import stored
+
+RADIUS = 16  # bytes; chunks have twice as many on average
 MAX_CHUNK = 1024
 MIN_WORDS = 20  # of a passage; single repeated lines such as licences are shorter
+CONTEXT = 384  # bytes to each side in which an anchor is extended
 WINDOW = 32  # bytes that a 32-bit gear hash looks back on
 
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 GEAR = np.random.Generator(np.random.PCG64(271828)).integers(0, 1 << 32, 256, np.uint32)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -48,7 +57,7 @@ def chunk_ends(data: np.ndarray) -> list[int]:
     if not len(data):
         return []
     spaces = np.flatnonzero(_SPACE[data]) + 1
-    marks = np.flatnonzero(gear_hashes(data) >> np.uint32(32 - CHUNK_BITS) == 0) + 1
+    marks = np.flatnonzero(_local_minima(gear_hashes(data))) + 1
     at = np.searchsorted(spaces, marks)
     moved = np.append(spaces, len(data))[at]
     ends: list[int] = []
@@ -57,23 +66,39 @@ def chunk_ends(data: np.ndarray) -> list[int]:
         while end - last > MAX_CHUNK:  # text without a boundary for long
             last = last + MAX_CHUNK
             ends.append(last)
-        if end - last >= MIN_CHUNK:
+        if end > last:
             ends.append(end)
             last = end
-    if not ends or ends[-1] != len(data):
-        ends.append(len(data))
     return ends
 
 
-def chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All chunks: doc_id, start and length in bytes, n_words, and the digest's halves."""
+def _local_minima(hashes: np.ndarray) -> np.ndarray:
+    """Where a value is below the RADIUS values before it and not above those behind."""
+    least = np.pad(hashes, RADIUS, constant_values=np.iinfo(hashes.dtype).max)
+    reach = 1
+    while reach < RADIUS:  # least[i] is of RADIUS values from i on, a power of two
+        least = np.minimum(least[:-reach], least[reach:])
+        reach *= 2
+    n = len(hashes)
+    return (hashes < least[:n]) & (hashes <= least[RADIUS + 1 : RADIUS + 1 + n])
+
+
+def numbered(df: DataFrame, doc_id: str, text: str, row: str | None) -> DataFrame:
+    """doc_id, row and text; without a column that numbers the rows of ``df``, which has
+    to be a stored table then, each gets the number that Spark gives it."""
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), number.cast("bigint").alias("row"))
+
+
+def chunks(df: DataFrame) -> DataFrame:
+    """All chunks of numbered texts: doc_id, row, start and length in bytes, n_words, and the digest's halves."""
 
     def cut(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in range(0, batch.num_rows, 256):
                 part = batch.slice(piece, 256)
-                rows: list[list] = [[], [], [], [], [], []]
-                for name, value in zip(part.column(0).to_pylist(), part.column(1)):
+                rows: list[list] = [[] for _ in NAMES]
+                for name, value, number in zip(part.column(0).to_pylist(), part.column(1), part.column(2).to_pylist()):
                     raw = (value.as_py() or "").encode("utf-8", "surrogatepass")
                     data = np.frombuffer(raw, np.uint8)
                     ends = chunk_ends(data)
@@ -88,7 +113,7 @@ def chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                     for column, values in zip(
                         rows,
                         (
-                            [name] * len(ends), starts, np.diff([0, *ends]).tolist(),
+                            [name] * len(ends), [number] * len(ends), starts, np.diff([0, *ends]).tolist(),
                             np.diff(words, prepend=0).tolist(),
                             [(d >> 64) - (1 << 63) for d in digests], [(d & (1 << 64) - 1) - (1 << 63) for d in digests],
                         ),
@@ -96,77 +121,259 @@ def chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                         column += values
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, TYPES)], NAMES)
 
-    return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        cut, "doc_id bigint, start bigint, length int, n_words int, high bigint, low bigint"
+    return df.select("doc_id", "text", "row").mapInArrow(
+        cut, "doc_id bigint, row bigint, start bigint, length int, n_words int, high bigint, low bigint"
     )
 
 
-NAMES = ["doc_id", "start", "length", "n_words", "high", "low"]
-TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+NAMES = ["doc_id", "row", "start", "length", "n_words", "high", "low"]
+TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
 
 
 def repeated_chunks(parts: DataFrame) -> DataFrame:
-    """The chunks whose digest occurs more than once, with ``is_first`` for the kept place
-    and ``across`` where more than one document has the digest.
+    """The chunks whose digest occurs more than once, with ``is_first`` for the kept place,
+    ``across`` where more than one document has the digest, and ``partner``, the first
+    place or, for that, the last.
 
     Digests meet as one pre-aggregated row per task; only digests seen twice are joined
     back, and a frequent digest's chunks are split among tasks by the skew join."""
-    place = F.struct("doc_id", "start")
-    seen = parts.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.max("doc_id").alias("last"))
+    place = F.struct("doc_id", "row", "start", "length")
+    seen = parts.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last"))
     seen = seen.where("n > 1").select(
-        "high", "low", "first", (~F.col("first.doc_id").eqNullSafe(F.col("last"))).alias("across")
+        "high", "low", "first", "last", (F.col("first.row") != F.col("last.row")).alias("across")
     )
-    is_first = place.eqNullSafe(F.col("first"))
-    return parts.join(seen, ["high", "low"]).select(
-        "doc_id", "start", "length", "n_words", is_first.alias("is_first"), "across"
+    is_first = (F.col("row") == F.col("first.row")) & (F.col("start") == F.col("first.start"))
+    return (
+        parts.join(seen, ["high", "low"])
+        .withColumn("is_first", is_first)
+        .withColumn("partner", F.when(F.col("is_first"), F.col("last")).otherwise(F.col("first")).dropFields("doc_id"))
+        .select("doc_id", "row", "start", "length", "n_words", "is_first", "across", "partner")
     )
 
 
-def passages(repeated: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Runs of neighbouring repeated chunks: doc_id, start, length, n_words, first_words
-    (words of chunks kept as first places), across_words (words that other documents have)
-    and repeats, the spans of later places."""
-    order = Window.partitionBy("doc_id").orderBy("start")
+def anchors(repeated: DataFrame) -> DataFrame:
+    """Runs of neighbouring repeated chunks: doc_id, row, start, end, n_words, first_words
+    (words of chunks kept as first places), across_words (words that other documents have),
+    repeats (the spans of later places), the outer chunks, and the bytes free to both sides."""
+    order = Window.partitionBy("row").orderBy("start")
     new = F.coalesce(F.lag(F.col("start") + F.col("length")).over(order) != F.col("start"), F.lit(True))
     runs = repeated.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(order))
+    chunk = F.struct("partner", "is_first", "across")
     return (
-        runs.groupBy("doc_id", "run")
+        runs.groupBy("row", "run")
         .agg(
+            F.first("doc_id").alias("doc_id"),
             F.min("start").alias("start"),
-            F.sum("length").alias("length"),
+            F.max(F.col("start") + F.col("length")).alias("end"),
             F.sum("n_words").alias("n_words"),
             F.sum(F.when(F.col("is_first"), F.col("n_words")).otherwise(0)).alias("first_words"),
             F.sum(F.when(F.col("across"), F.col("n_words")).otherwise(0)).alias("across_words"),
-            F.collect_list(F.when(~F.col("is_first"), F.struct("start", "length"))).alias("repeats"),
+            F.collect_list(F.when(~F.col("is_first"), F.struct("start", (F.col("start") + F.col("length")).alias("end")))).alias("repeats"),
+            F.min_by(chunk, "start").alias("left"),
+            F.max_by(chunk, "start").alias("right"),
         )
-        .where(F.col("n_words") >= min_words)
+        .withColumn("room_left", F.col("start") - F.coalesce(F.lag("end").over(order), F.lit(0)))
+        .withColumn("room_right", F.coalesce(F.lead("start").over(order) - F.col("end"), F.lit(CONTEXT)))
         .drop("run")
     )
 
 
-def documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """Documents that hold repeated passages: their number, the most words of one that
-    other documents share, all their words, the words to be removed as later places, and
-    the byte spans to remove, in order."""
-    found = passages(repeated_chunks(chunks(df, doc_id, text)), min_words)
-    return found.groupBy("doc_id").agg(
-        F.count("*").alias("n_passages"),
-        F.max("across_words").alias("longest_shared"),
-        F.sum("n_words").alias("repeated_words"),
-        F.sum(F.col("n_words") - F.col("first_words")).alias("removed_words"),
-        F.array_sort(F.flatten(F.collect_list("repeats"))).alias("removed_spans"),
+def _sides(runs: DataFrame) -> DataFrame:
+    """A row for each side of a run that has room: its place and its partner's."""
+
+    def side(name: str, at: str, other) -> DataFrame:
+        return runs.where(f"room_{name} > 0").select(
+            "row", "start", F.lit(name == "left").alias("left"), F.col(at).alias("at"), F.col(f"room_{name}").alias("room"),
+            F.col(f"{name}.partner.row").alias("other_row"), other.alias("other_at"),
+        )
+
+    partner = F.col("right.partner.start") + F.col("right.partner.length")
+    return side("left", "start", F.col("left.partner.start")).unionByName(side("right", "end", partner))
+
+
+def _contexts(texts: DataFrame, sides: DataFrame) -> DataFrame:
+    """row, at, left and the whole words within CONTEXT bytes to that side, as bytes."""
+    wanted = sides.select("row", "at", "left").unionByName(
+        sides.select(F.col("other_row").alias("row"), F.col("other_at").alias("at"), "left")
+    )
+    wanted = wanted.distinct().groupBy("row").agg(F.collect_list(F.struct("at", "left")).alias("places"))
+
+    def cut(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                out: list[tuple] = []
+                for row, text, places in zip(*(c.to_pylist() for c in part.columns)):
+                    raw = text.encode("utf-8", "surrogatepass")
+                    for place in places:
+                        at = place["at"]
+                        out.append((row, at, place["left"], context(raw, at, place["left"])))
+                kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+                columns = list(zip(*out)) or [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["row", "at", "left", "context"])
+
+    return texts.join(wanted, "row").select("row", "text", "places").mapInArrow(
+        cut, "row bigint, at bigint, left boolean, context binary"
+    )
+
+
+def context(raw: bytes, at: int, left: bool) -> bytes:
+    """The bytes to one side of a place, without a word that CONTEXT cuts."""
+    if left:
+        start = max(0, at - CONTEXT)
+        while 0 < start < at and not _SPACE[raw[start - 1]]:
+            start += 1
+        return raw[start:at]
+    end = min(len(raw), at + CONTEXT)
+    while at < end < len(raw) and not _SPACE[raw[end]]:
+        end -= 1
+    return raw[at:end]
+
+
+def equal_words(own: bytes, other: bytes, left: bool) -> list[tuple[int, int]]:
+    """Begins and ends in ``own`` of the words equal to those of ``other``, going on from
+    the side at which both meet."""
+    mine = [m.span() for m in WORD.finditer(own)]
+    theirs = other.split()
+    if left:
+        mine, theirs = mine[::-1], theirs[::-1]
+    n = 0
+    while n < min(len(mine), len(theirs)) and own[slice(*mine[n])] == theirs[n]:
+        n += 1
+    return sorted(mine[:n])
+
+
+def _extensions(texts: DataFrame, sides: DataFrame) -> DataFrame:
+    """row, start, left and the equal words, begin and end, to that side of a run."""
+    known = stored(_contexts(texts, sides), "contexts")
+    both = sides.join(known.withColumnRenamed("context", "own"), ["row", "at", "left"]).join(
+        known.withColumnsRenamed({"row": "other_row", "at": "other_at", "context": "other"}), ["other_row", "other_at", "left"]
+    )
+
+    def match(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for row, start, left, at, room, own, other in zip(*(c.to_pylist() for c in batch.columns)):
+                own = (own[-room:] if left else own[:room]) if room < len(own) else own
+                begin = at - len(own) if left else at
+                words = [{"begin": begin + a, "end": begin + b} for a, b in equal_words(own, other, left)]
+                # An equal side reaches what lies next, over white space.
+                reached = len(words) == len(own.split()) and len(own) == room
+                out.append((row, start, left, words, reached))
+            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])), pa.bool_()]
+            columns = list(zip(*out)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["row", "start", "left", "words", "reached"]
+            )
+
+    return both.select("row", "start", "left", "at", "room", "own", "other").mapInArrow(
+        match, "row bigint, start bigint, left boolean, words array<struct<begin: bigint, end: bigint>>, reached boolean"
+    )
+
+
+def passages_of(runs: list[dict]) -> list[dict]:
+    """The extended runs of one document, joined where they meet: the words of each that
+    are there, shared with other documents, and kept, and the spans to remove."""
+    out: list[dict] = []
+    words: dict[int, tuple[bool, bool]] = {}
+    reach = -1
+    for run in sorted(runs, key=lambda r: r["start"]):
+        left, right = run["left"], run["right"]
+        begin = min([run["start"], *(w["begin"] for w in left["words"])])
+        if not out or not (begin <= reach or left["reached"]):
+            words = {}
+            out.append({"n_words": 0, "first_words": 0, "across_words": 0, "spans": []})
+        last = out[-1]
+        for name in ("n_words", "first_words", "across_words"):
+            last[name] += run[name]
+        last["spans"] += [(x["start"], x["end"]) for x in run["repeats"]]
+        for side in (left, right):
+            for w in side["words"]:
+                before = words.get(w["begin"])
+                now = (side["is_first"], side["across"])
+                if before:
+                    now = (now[0] and before[0], now[1] or before[1])
+                last["n_words"] += before is None
+                last["first_words"] += now[0] - (before[0] if before else 0)
+                last["across_words"] += now[1] - (before[1] if before else 0)
+                words[w["begin"]] = now
+            if side["words"] and not side["is_first"]:
+                ends = [w["end"] for w in side["words"]]
+                last["spans"].append(
+                    (begin, run["start"]) if side is left else (run["end"], max(ends))
+                )
+        reach = max([run["end"], *(w["end"] for w in right["words"])])
+        if right["reached"]:
+            reach = run["end"] + run["room_right"]
+    return out
+
+
+def joined_spans(spans: list[tuple[int, int]]) -> list[dict]:
+    """Spans in order, as start and length, those that meet as one."""
+    out: list[list[int]] = []
+    for begin, end in sorted(spans):
+        if out and begin <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([begin, end])
+    return [{"start": a, "length": b - a} for a, b in out]
+
+
+def documents(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, row: str | None = None
+) -> DataFrame:
+    """Documents that hold repeated passages: doc_id, row, the number of passages, the most
+    words of one that other documents share, all their words, the words to be removed as
+    later places, and the byte spans to remove, in order."""
+    texts = numbered(df, doc_id, text, row)
+    runs = stored(anchors(repeated_chunks(chunks(texts))), "anchors")
+    found = _extensions(texts, _sides(runs))
+    found = found.groupBy("row", "start").agg(
+        *(F.max(F.when(F.col("left") == (name == "left"), F.struct("words", "reached"))).alias(f"more_{name}") for name in ("left", "right"))
+    )
+
+    def side(name: str):
+        return F.struct(
+            F.coalesce(f"more_{name}.words", F.array().cast("array<struct<begin: bigint, end: bigint>>")).alias("words"),
+            F.coalesce(f"more_{name}.reached", F.lit(False)).alias("reached"), f"{name}.is_first", f"{name}.across",
+        ).alias(name)
+
+    run = F.struct("start", "end", "n_words", "first_words", "across_words", "repeats", "room_right", side("left"), side("right"))
+    by_row = runs.join(found, ["row", "start"], "left").groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.collect_list(run).alias("runs"))
+
+    def total(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for number, name, mine in zip(*(c.to_pylist() for c in batch.columns)):
+                kept = [p for p in passages_of(mine) if p["n_words"] >= min_words]
+                if kept:
+                    n, first = sum(p["n_words"] for p in kept), sum(p["first_words"] for p in kept)
+                    shared = max(p["across_words"] for p in kept)
+                    rows.append((name, number, len(kept), shared, n, n - first, joined_spans([x for p in kept for x in p["spans"]])))
+            kinds = [*[pa.int64()] * 6, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))]
+            columns = list(zip(*rows)) or [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], FOUND)
+
+    return by_row.select("row", "doc_id", "runs").mapInArrow(
+        total, ", ".join(f"{c} bigint" for c in FOUND[:-1]) + ", removed_spans array<struct<start: bigint, length: bigint>>"
     )
 
 
-def without_repeats(df: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with the later places of repeated passages cut out of its texts."""
+FOUND = ["doc_id", "row", "n_passages", "longest_shared", "repeated_words", "removed_words", "removed_spans"]
+
+
+def without_repeats(
+    df: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None
+) -> DataFrame:
+    """``df`` with the later places of repeated passages cut out of its texts; ``found``
+    are its documents(), numbered in the same way."""
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
         for value, removed in zip(texts.to_pylist(), spans.to_pylist()):
             if value is not None and removed:
-                raw, at, kept = value.encode(), 0, []
+                raw, at, kept = value.encode("utf-8", "surrogatepass"), 0, []
                 for span in removed:
                     kept.append(raw[at : span["start"]])
                     at = span["start"] + span["length"]
@@ -174,6 +381,7 @@ def without_repeats(df: DataFrame, found: DataFrame, doc_id: str = "doc_id", tex
             out.append(value)
         return pa.array(out, pa.string())
 
-    spans = found.select(F.col("doc_id").alias("_doc"), F.col("removed_spans").alias("_spans"))
-    joined = df.join(spans, F.col(doc_id).eqNullSafe(F.col("_doc")), "left")
+    spans = found.select(F.col("row").alias("_row"), F.col("removed_spans").alias("_spans"))
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    joined = df.withColumn("_number", number.cast("bigint")).join(spans, F.col("_number") == F.col("_row"), "left")
     return joined.withColumn(text, cut(F.col(text), F.col("_spans"))).select(*df.columns)

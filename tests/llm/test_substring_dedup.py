@@ -58,5 +58,37 @@ def test_first_places_and_within_document_repeats(spark):
     assert [r.doc_id for r in got] == [1] and got[0].longest_shared == 0 and 60 <= got[0].removed_words <= 122
 
 
+def test_passages_shared_by_just_two_documents(spark):
+    rng = random.Random(25)
+    rows = []
+    for k in range(300):
+        passage = prose(rng, 51 + k % 10)
+        for i in (2 * k, 2 * k + 1):
+            words = prose(rng, rng.randint(0, 120)).split()
+            at = rng.randint(0, len(words))
+            rows.append((i, " ".join([*words[:at], passage, *words[at:]]), None, None, None))
+    df = documents(spark, rows)
+    found = substring_dedup.documents(df).cache()
+    got = {r.doc_id: r for r in found.collect()}
+    assert all(51 <= got[i].longest_shared <= 62 for i in range(600))
+    # A neighbouring chunk of a word or two may stand elsewhere as well.
+    assert [k for k in range(300) if got[2 * k].removed_words > 3 or got[2 * k + 1].removed_words < 51] == []
+    cut = {r.doc_id: r.text for r in substring_dedup.without_repeats(df, found).collect()}
+    assert all(len(r[1].split()) - len(cut[r[0]].split()) == got[r[0]].removed_words for r in rows)
+
+
+def test_equal_and_null_ids_are_documents_of_their_own(spark):
+    rng = random.Random(26)
+    rows = []
+    for i in (7, None):
+        passage = prose(rng, 80)
+        rows += [(i, f"{prose(rng, 30)} {passage} {prose(rng, 30)}", None, None, None) for _ in range(2)]
+    df = documents(spark, rows)
+    found = substring_dedup.documents(df).cache()
+    got = found.collect()
+    assert len(got) == 4 and all(r.longest_shared >= 80 for r in got)
+    assert sorted(r.removed_words >= 80 for r in got) == [False, False, True, True]
+
+
 def test_empty_table(spark):
     assert substring_dedup.documents(documents(spark, [])).count() == 0
