@@ -78,11 +78,11 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents that hold a passage found in other documents as well."""
-    found = substring_dedup.documents(read_table(spark, folder, "documents"))
-    return found.where(F.col("longest_shared") >= substring_dedup.MIN_WORDS).select(
-        "doc_id", "n_passages", "longest_shared", "repeated_words", "removed_words"
-    )
+    """The documents that hold a repeated passage, their own or one of other documents."""
+    return substring_dedup.documents(read_table(spark, folder, "documents")).select(
+        "doc_id", "n_passages", "longest_shared", "repeated_words", "removed_words",
+        F.xxhash64("removed_spans").alias("removed_spans_hash"),
+    )
 
 
 def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:

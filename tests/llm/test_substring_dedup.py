@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from shelfmark.llm import substring_dedup
+from shelfmark.llm import queries, substring_dedup
 from tests.llm.cases import awkward_rows, documents, prose, with_clashes
 
 
@@ -90,5 +90,14 @@ def test_equal_and_null_ids_are_documents_of_their_own(spark):
     assert sorted(r.removed_words >= 80 for r in got) == [False, False, True, True]
 
 
+def test_query_returns_repeats_within_a_document(spark, tmp_path):
+    rng = random.Random(27)
+    passage = prose(rng, 120)
+    rows = [(1, f"{passage} {prose(rng, 10)} {passage}", None, None, None), (2, prose(rng, 100), None, None, None)]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op10_substring_dedup(spark, str(tmp_path)).collect()
+    assert [(r.doc_id, r.longest_shared) for r in got] == [(1, 0)] and got[0].removed_words >= 100
+
+
 def test_empty_table(spark):
     assert substring_dedup.documents(documents(spark, [])).count() == 0
