@@ -9,8 +9,8 @@ grows with the corpus, and no task holds the model.  One trusted document in fiv
 trained on; a document is kept if its perplexity is at most the ``QUANTILE`` of these in
 its language, times ``MARGIN``.
 
-At most ``TRUSTED`` trusted ids, those with the smallest hashes, are used for training;
-they are sent to all tasks.  All documents are scored, on whole texts.
+All trusted documents are counted or held out, joined by id.  All documents are scored,
+on whole texts.
 
 Null and empty texts have no perplexity and are not kept.  Documents without a language,
 or in one without held-out trusted documents, go by the quantile over all held-out ones,
@@ -37,7 +37,6 @@ START = 2  # symbol before a text
 OTHER = 0xFFFE  # stands for all characters beyond the first 2 ** BITS
 SHARD_ROWS = 2400
 SHARD_CHARS = 8_000_000  # a shard is closed at this size, too
-TRUSTED = 200_000
 QUANTILE = 0.995
 MARGIN = 1.1
 
@@ -250,15 +249,14 @@ def judge(
     ``trusted_ids`` has one column with the ids of trusted documents."""
     name = trusted_ids.columns[0]
     ids = trusted_ids.select(F.col(name).cast("bigint").alias("_id")).where("_id IS NOT NULL").distinct()
-    ids = stored(ids.orderBy(F.xxhash64("_id"), "_id").limit(TRUSTED), "trusted")
+    ids = stored(ids, "trusted")
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    # At most TRUSTED ids.
-    trusted = docs.join(F.broadcast(ids), docs["doc_id"] == ids["_id"], "left_semi")
+    trusted = docs.join(ids, docs["doc_id"] == ids["_id"], "left_semi")
     top = stored(counts(trusted.where("text IS NOT NULL").where(~held_out(F.col("doc_id")))), "counts")
     numbered = docs.withColumn("row", F.monotonically_increasing_id())
     scores = stored(perplexities(numbered, tables(top)), "perplexities")
     rows = numbered.select("row", "doc_id", "lang").join(scores, "row")
-    rows = rows.join(F.broadcast(ids.withColumn("trusted", F.lit(True))), F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    rows = rows.join(ids.withColumn("trusted", F.lit(True)), F.col("doc_id") == F.col("_id"), "left").drop("_id")
     rows = stored(rows, "scored")
     marked = rows.where("trusted AND perplexity IS NOT NULL")
     limit = F.percentile_approx("perplexity", QUANTILE, 10_000) * MARGIN

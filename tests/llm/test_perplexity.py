@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -95,6 +96,16 @@ def test_verdicts(spark):
     assert got[103].threshold == got[104].threshold  # of all trusted documents
 
 
+def test_all_trusted_documents_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(perplexity, "TRUSTED", 5, raising=False)  # a limit there once was
+    rng = random.Random(28)
+    rows = [(i, prose(rng, 40), "en", None, None) for i in range(40)]
+    model = KneserNey([r[1] for r in rows if zlib.crc32(str(r[0]).encode()) % 5])
+    trusted = spark.createDataFrame([(i,) for i in range(40)], "doc_id long")
+    for row in perplexity.judge(documents(spark, rows), trusted).collect():
+        assert row.perplexity == pytest.approx(model.perplexity(rows[row.doc_id][1]), rel=1e-4)
+
+
 def test_no_trusted_text_and_empty_table(spark):
     nobody = spark.createDataFrame([], "doc_id long")
     got = perplexity.judge(documents(spark), nobody).collect()
