@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
+    byte_bpe,
     decontamination,
     language_id,
     near_dedup,
@@ -100,6 +101,10 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.round_trip(read_table(spark, folder, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_files": op2_token_files,
@@ -111,5 +116,6 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 SQL: dict[str, str] = {}
