@@ -140,17 +140,20 @@ def _pieces(chunks: DataFrame) -> DataFrame:
     cuts = found.select(
         "row", "chunk", F.coalesce("spaced", F.when(last_sure > last_loose, F.col("other"))).alias("cut")
     )
-    dealt = (
-        marked.select("doc_id", "row", "chunk", "text")
+    # Everything about stitches is settled before any text is fetched.
+    plan = (
+        marked.select("row", "chunk")
         .join(cuts, ["row", "chunk"], "left")
         .withColumn("next_cut", F.lead("cut").over(in_order))
         .withColumn("piece", F.count("cut").over(in_order))
+        .withColumn("parts", F.count("*").over(Window.partitionBy("row", "piece")))
     )
     # Without a stitch, what both chunks hold belongs to the first.
     start = F.when(F.col("chunk") == 0, 0).otherwise(F.coalesce("cut", F.lit(OVERLAP)))
     end = F.coalesce(F.col("next_cut") + (CHUNK - OVERLAP), F.length("text"))
     part = F.substring(F.col("text"), start + 1, end - start)
-    return dealt.select("doc_id", "row", "piece", "chunk", part.alias("text"))
+    dealt = marked.select("doc_id", "row", "chunk", "text").join(plan, ["row", "chunk"])
+    return dealt.select("doc_id", "row", "piece", "chunk", part.alias("text"), (F.col("parts") == 1).alias("alone"))
 
 
 def _parts(df: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -160,12 +163,13 @@ def _parts(df: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]
     )
     long = F.coalesce(F.length("text") > CHUNK, F.lit(False))
     short = numbered.where(~long).select("doc_id", "row", F.lit(0).cast("bigint").alias("piece"), "text")
-    pieces = _pieces(stored(_chunks(numbered.where(long)), "chunks"))
-    return short, (
-        pieces.repartition(partitions(df.sparkSession), "row", "piece")
+    pieces = _pieces(_chunks(numbered.where(long)))
+    torn = (
+        pieces.where("NOT alone")
+        .repartition(partitions(df.sparkSession), "row", "piece")
         .sortWithinPartitions("row", "piece", "chunk")
-        .select(*short.columns)
     )
+    return short, pieces.where("alone").select(*short.columns).unionByName(torn.select(*short.columns))
 
 
 def encode(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -227,16 +231,22 @@ def round_trip(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "te
     """Every text encoded and decoded again: doc_id, n_tokens, and the SHA-256 of its ids
     and of its decoded bytes.
 
-    The pieces of a long text pass in order through running hashes, so that it need not
-    stand in a task again."""
+    The ids of a long text's pieces are decoded in order and pass through running hashes,
+    so that it need not stand in a task again."""
     short, long = _parts(df, doc_id, text)
     whole = decode(_encoded(short, path), path).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
-    pieces = decode(stored(_encoded(long, path), "encoded"), path)
+    pieces = (
+        _encoded(long, path)
+        .repartition(partitions(df.sparkSession), "row")
+        .sortWithinPartitions("row", "piece")
+        .select("doc_id", "row", "n_tokens", "ids")
+    )
     names = whole.columns
 
     def scan(batches) -> Iterator[pa.RecordBatch]:
+        core = encoding(path)
         at, kind = None, pa.null()
 
         def made() -> pa.RecordBatch:
@@ -246,18 +256,15 @@ def round_trip(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "te
 
         for batch in batches:
             kind = batch.schema.field(0).type
-            for doc_id_, row, count, encoded, decoded in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id_, row, count, encoded in zip(*(c.to_pylist() for c in batch.columns)):
                 if row != at:
                     if at is not None:
                         yield made()
                     doc, at, n, ids, data = doc_id_, row, 0, hashlib.sha256(), hashlib.sha256()
                 n += count
                 ids.update(encoded)
-                data.update(decoded)
+                data.update(core.decode_bytes(np.frombuffer(encoded, "<u4").tolist()))
         if at is not None:
             yield made()
 
-    in_order = pieces.repartition(partitions(df.sparkSession), "row").sortWithinPartitions("row", "piece")
-    return whole.unionByName(
-        in_order.select("doc_id", "row", "n_tokens", "ids", "decoded").mapInArrow(scan, _ddl(whole))
-    )
+    return whole.unionByName(pieces.mapInArrow(scan, _ddl(whole)))
