@@ -17,6 +17,7 @@ from shelfmark.llm import (
     repair_files,
     substring_dedup,
     toxicity,
+    whitening,
 )
 from shelfmark.llm.common import held_out, read_table, working_path
 
@@ -101,6 +102,10 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, folder, "embeddings"))
+
+
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(read_table(spark, folder, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
 
@@ -116,6 +121,7 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_whitening": op12_whitening,
     "op13_byte_bpe": op13_byte_bpe,
 }
 SQL: dict[str, str] = {}
