@@ -278,7 +278,7 @@ def _nodes(items: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
     swept = stored(_swept(reduce(DataFrame.unionByName, small)), "swept")
     nodes = [swept.where("round IS NULL").select(*FOUND)]
-    roots = swept.where("round IS NOT NULL").drop("parent_conv_id")
+    roots = swept.where("round IS NOT NULL").drop("conv_id", "parent_conv_id")
     heads = roots.where(F.col("round") == len(bursts))
     for number in range(len(bursts) - 1, -1, -1):
         found, own = _added_up(*bursts[number], heads)

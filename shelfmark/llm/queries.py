@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm import (
     byte_bpe,
+    conversation_trie,
     decontamination,
     language_id,
     near_dedup,
@@ -102,6 +103,10 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.conversation_trie(read_table(spark, folder, "conversations"))
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(read_table(spark, folder, "embeddings"))
 
@@ -121,7 +126,69 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_whitening": op12_whitening,
     "op13_byte_bpe": op13_byte_bpe,
 }
-SQL: dict[str, str] = {}
+# A statement for a table of CRC-32 remainders; DuckDB has no such function.
+_CRC_TABLE = """
+crc_steps(byte, step, value) AS (
+    SELECT i, 0, i FROM range(256) t(i)
+    UNION ALL
+    SELECT byte, step + 1, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END
+    FROM crc_steps WHERE step < 8
+),
+crc_table AS (SELECT list(value ORDER BY byte) AS entries FROM crc_steps WHERE step = 8)
+"""
+
+OP11 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+own AS (
+    SELECT conv_id, role, text, sha256(concat(strlen(role), ':', role, text))[:32] AS id,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               sha256(concat(strlen(role), ':', role, text))) AS place
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+          FROM conversations WHERE conv_id IS NOT NULL)
+),
+members AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS head, xor(list_reduce(
+        list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+        lambda crc, byte: xor(crc >> 8, entries[(xor(crc, byte) & 255) + 1]), 4294967295), 4294967295) % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM own), crc_table
+),
+rebuilt AS (
+    SELECT m.conv_id, 0 AS part, o.place, o.id, length(o.text) AS chars
+    FROM members m JOIN own o ON o.conv_id = m.head AND o.place <= m.h
+    UNION ALL
+    SELECT m.conv_id, 1, o.place, o.id, length(o.text) FROM members m JOIN own o ON o.conv_id = m.conv_id AND o.place > m.h
+),
+paths AS (
+    SELECT conv_id, chars, row_number() OVER w AS depth, string_agg(id, '') OVER w AS path
+    FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)
+    UNION ALL
+    SELECT conv_id, 0, 0, '' FROM members
+),
+lasts AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+nodes AS (
+    SELECT path, any_value(p.depth) AS depth, min(p.conv_id) AS conv_id, count(*) AS n_convs,
+           (count(*) - 1) * any_value(chars) AS saved,
+           sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (p.depth = l.depth), '')) AS ends_sha256
+    FROM paths p JOIN lasts l ON l.conv_id = p.conv_id GROUP BY path
+),
+counted AS (
+    SELECT n.*, up.conv_id AS parent_conv_id,
+           (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.path[:32 * n.depth] = n.path) AS n_children
+    FROM nodes n LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.path = n.path[:32 * (n.depth - 1)]
+),
+ancestors AS (
+    SELECT path[:32 * d] AS path, saved, n_children FROM counted, LATERAL (SELECT unnest(range(depth + 1)) AS d)
+),
+subtrees AS (
+    SELECT path, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+    FROM ancestors GROUP BY path
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM counted JOIN subtrees USING (path)
+"""
+
+SQL: dict[str, str] = {"op11_conversation_trie": OP11}
