@@ -17,7 +17,7 @@ from .bronze import Bronze, as_landed
 
 # Day the derived data is looked at: some order dates lie after it.
 AS_OF = dt.date(2001, 6, 30)
-_LOADED = dt.datetime(2001, 1, 1)
+LOADED = dt.datetime(2001, 1, 1)
 
 CATEGORY_OF_TYPE = {
     "STANDARD": "Fantasia",
@@ -144,7 +144,7 @@ def raw_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) ->
                 _day_text(born, "yyyy-MM-dd"),
             ],
         ).alias("birth_date"),
-        F.timestamp_seconds(F.unix_seconds(F.lit(_LOADED)) + seconds + delay).alias("created_at"),
+        F.timestamp_seconds(F.unix_seconds(F.lit(LOADED)) + seconds + delay).alias("created_at"),
     )
     return as_landed(df, "raw_customers")
 
@@ -206,7 +206,7 @@ def raw_books(part: DataFrame) -> DataFrame:
             )
         )
         .alias("rating"),
-        F.lit(_LOADED).alias("created_at"),
+        F.lit(LOADED).alias("created_at"),
     )
     return as_landed(df, "raw_books")
 
@@ -260,7 +260,7 @@ def raw_orders(orders: DataFrame) -> DataFrame:
         F.when(_every(key, 19), F.lit("x"))
         .otherwise(F.pmod(key, F.lit(7)).cast("string"))
         .alias("discount_applied"),
-        F.lit(_LOADED).alias("created_at"),
+        F.lit(LOADED).alias("created_at"),
     )
     return as_landed(df, "raw_orders")
 
@@ -304,7 +304,7 @@ def raw_order_items(lineitem: DataFrame) -> DataFrame:
         F.when(_every(mark, 59), F.lit("n/a"))
         .otherwise(_money_text("line_total"))
         .alias("subtotal"),
-        F.lit(_LOADED).alias("created_at"),
+        F.lit(LOADED).alias("created_at"),
     )
     return as_landed(df, "raw_order_items")
 
@@ -336,7 +336,7 @@ def raw_reviews(events: DataFrame) -> DataFrame:
         .when(_every(key, 29), F.lit(""))
         .otherwise(F.pmod(key, F.lit(60)).cast("string"))
         .alias("helpful_count"),
-        F.lit(_LOADED).alias("created_at"),
+        F.lit(LOADED).alias("created_at"),
     )
     return as_landed(df, "raw_reviews")
 

@@ -7,6 +7,7 @@ Where the cluster names no such folder they are views over the raw feeds.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -24,7 +25,7 @@ from shelfmark.sources import commerce
 from shelfmark.sources.bronze import Bronze
 from shelfmark.sources.commerce import AS_OF, bronze_from, read_table
 from shelfmark.sources.layers import PathLayers
-from shelfmark.streaming import ingest
+from shelfmark.streaming import ingest, merge
 
 c = F.col
 _LAYERS: dict[tuple, Silver] = {}
@@ -366,20 +367,57 @@ register("dq_row_reconciliation", lambda x: quality.row_reconciliation(x.silver)
 # --- streams ------------------------------------------------------------------------------
 
 
-def _streamed(x: Context, table: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Run a stream over one given table to its end and read what it wrote."""
+def _arriving(x: Context, table: str, path: str | None = None) -> DataFrame:
+    schema = read_table(x.spark, x.folder, table).schema
+    # As a pattern the path may be one file or a folder of part files.
+    return ingest.read_stream(x.spark, schema, path or f"{x.folder}/{table}.parque[t]", "parquet")
+
+
+def _stream_folder(x: Context) -> str:
     shared = shared_folder(x.spark)
     if shared is None:
         raise RuntimeError("streams need spark.checkpoint.dir")
-    schema = read_table(x.spark, x.folder, table).schema
-    # As a pattern the path may be one file or a folder of part files.
-    arriving = ingest.read_stream(x.spark, schema, f"{x.folder}/{table}.parque[t]", "parquet")
-    run = f"{shared}/streams/{uuid.uuid4()}"
-    stream = build(arriving)
+    return f"{shared}/streams/{uuid.uuid4()}"
+
+
+def _streamed(x: Context, table: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run a stream over one given table to its end and read what it wrote."""
+    run = _stream_folder(x)
+    stream = build(_arriving(x, table))
     ingest.append_available(stream, f"{run}/table", f"{run}/progress")
     return x.spark.read.schema(stream.schema).parquet(f"{run}/table")
 
 
+def _merged_customers(x: Context) -> DataFrame:
+    """Customers arriving in two deliveries, the later copies of a customer first."""
+    run = _stream_folder(x)
+    raw = commerce.raw_customers(*(read_table(x.spark, x.folder, t) for t in ("customer", "nation", "region")))
+    later = F.col("created_at") >= F.date_add(F.lit(commerce.LOADED), 1)
+    for delivery in (later, ~later):
+        raw.where(delivery).write.mode("append").parquet(f"{run}/inbox")
+        stream = ingest.arriving_customers(ingest.read_stream(x.spark, raw.schema, f"{run}/inbox"), AS_OF)
+        merge.merge_available(stream, f"{run}/dim_customers", f"{run}/progress", "customer_id", ["arrival"], 16)
+    return merge.read_merged(x.spark, f"{run}/dim_customers", stream.schema).drop("arrival")
+
+
+def _daily_events(x: Context) -> DataFrame:
+    """Events in two deliveries, with a restart in between; some events of the first one's
+    last day arrive with the second, within the allowed lateness."""
+    run = _stream_folder(x)
+    events = read_table(x.spark, x.folder, "events")
+    cut = F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
+    at = F.col("ts").cast("timestamp_ntz")
+    second = (at >= cut) | ((F.col("event_id") % 7 == 0) & (at >= cut - F.expr("INTERVAL 1 DAY")))
+    table = f"{run}/daily"
+    for delivery in (~F.coalesce(second, F.lit(False)), second):
+        events.where(delivery).write.mode("append").parquet(f"{run}/inbox")
+        arriving = _arriving(x, "events", f"{run}/inbox").withColumn("ts", F.col("ts").cast("timestamp"))
+        ingest.keep_daily_totals(arriving, "2 days", table, f"{run}/progress")
+    return merge.read_merged(x.spark, table, ingest.DAILY_SCHEMA).drop("order", "last_event")
+
+
+register("stream_dim_customers", _merged_customers)
+register("stream_daily_metrics", _daily_events)
 register(
     "stream_raw_reviews",
     lambda x: _streamed(x, "events", commerce.raw_reviews).drop("created_at"),

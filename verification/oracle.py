@@ -759,3 +759,11 @@ SQL["stream_fact_reviews"] = SQL["fact_reviews"]
 SQL["stream_customer_keys"] = compose(
     "first_customers", "SELECT customer_id FROM first_customers"
 )
+
+# Streams merged over several deliveries give what one batch over everything gives.
+SQL["stream_dim_customers"] = SQL["dim_customers"]
+SQL["stream_daily_metrics"] = f"""
+SELECT ts::DATE::VARCHAR AS metric_date, count(*) AS total_events,
+  count(*) FILTER (event_type = 'purchase') AS purchases,
+  {units('sum(round(value * 100)::BIGINT)')} AS total_value
+FROM events WHERE ts IS NOT NULL GROUP BY ts::DATE"""
