@@ -13,14 +13,20 @@ filters, and the Jaccard similarity of the whole sets decides.
 * Similar classes that share no cold value in these lists share hot ones.  Both then have
   many: three quarters of their values where sets are kept whole, and otherwise, up to 5
   standard deviations, HOT of SKETCH.  No other class enters the hot lists.  Those that do
-  form large groups.  There, a class stands in the lists of its HOT_LISTED smallest hot
-  values, of which a similar one shares three quarters or more.  Members are first compared
-  with a few centres per list, round by round, which ties most of a group together with a
-  number of comparisons proportional to its size.  What is left outside the largest
-  component of its list is then compared, on whole sets, with all members of the list in
-  other components: blocks of members pass by the left-over ones inside tasks, and only
-  links come out.  So nothing is dropped, and pairs that are already connected are not
-  compared again.
+  form large groups.  There, a class stands in the lists of HOT_LISTED of its hot values, of
+  which a similar one shares three quarters or more.
+* Members of a hot list are first compared with its centres: those whose values are held
+  by most classes on average, as the text is from which the others were made.  This ties most of
+  a group together with a number of comparisons proportional to its size.
+* What is left in several components of a list is peeled: a class can only be similar to one
+  of another component if three quarters of its whole set occur in other components, which
+  counts of shingles tell.  So classes that share but a passage, or were edited too much,
+  drop out without being paired.  Classes dropped can give others the same end, so
+  this is done PEELS times.
+* The rest is compared on whole sets, those outside a list's largest component with all of
+  it, in tiles of at most TILE shingles a side.  Only links come out of a tile, one for each
+  class and component.  So nothing is dropped, and pairs that are connected already
+  are not compared again.
 
 Null texts, empty texts and texts of white space have an empty set and are linked with
 nothing.  A document with fewer than five words has its whole sequence as one shingle.
@@ -53,8 +59,10 @@ LEAST_ESTIMATE = 0.45  # 5.5 standard deviations below 0.75 for SKETCH values
 HOT_LISTED = 13  # smallest hot values of a class whose lists it enters
 STAR_LISTED = 4  # of these, the lists in which it is compared with centres
 CENTRES = 2
-ROUNDS = 4
-BLOCK = 128  # members of a list that are compared at once
+ROUNDS = 2
+PEELS = 3
+TILE = 1 << 18  # shingles of the members on one side of a tile
+CHUNK = 1024  # members and shingles that a task multiplies at once
 PARTNERS = 64  # partners of one document that follow it in a task
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -213,12 +221,11 @@ def _left_over(members: DataFrame) -> DataFrame:
 def _centre_pairs(left: DataFrame, number: int) -> DataFrame:
     """Pairs of members with a few centres of their list, the same for a whole list:
     from its main component for the others, and from the others for all."""
-    order = F.xxhash64("node", F.lit(number))
-    slot = F.pmod(F.xxhash64("node", F.lit(number), F.lit(1)), F.lit(CENTRES))
+    slot = F.pmod(F.xxhash64("node", F.lit(number)), F.lit(CENTRES))
     centres = (
         left.withColumn("slot", slot)
         .groupBy("value", "main", "slot")
-        .agg(F.min_by(F.struct("node", "component"), order).alias("centre"))
+        .agg(F.max_by(F.struct("node", "component"), F.struct("popularity", "node")).alias("centre"))
         .select("value", "centre.*", F.col("main").alias("centre_main"))
         .withColumnsRenamed({"node": "centre", "component": "centre_component"})
     )
@@ -226,44 +233,142 @@ def _centre_pairs(left: DataFrame, number: int) -> DataFrame:
     return pairs.select(F.least("node", "centre").alias("b"), F.greatest("node", "centre").alias("a")).distinct()
 
 
+def _sets(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """node, component, n and the whole set, as bytes, of each node (node, component)."""
+
+    def scan(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                sets = [shingle_set(v.as_py()) for v in part.column(2)]
+                columns = [
+                    part.column(0),
+                    part.column(1),
+                    pa.array([len(x) for x in sets], pa.int64()),
+                    pa.array([x.tobytes() for x in sets], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "component", "n", "shingles"])
+
+    return nodes.join(texts, "node").select("node", "component", "text").mapInArrow(
+        scan, "node bigint, component bigint, n bigint, shingles binary"
+    )
+
+
+def _peeled(sets: DataFrame) -> DataFrame:
+    """The sets of which PERCENT of the shingles or more occur in other components."""
+
+    def scan(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                values = [np.frombuffer(v.as_py(), np.int64) for v in part.column(2)]
+                sizes = [len(v) for v in values]
+                columns = [np.repeat(part.column(i).to_numpy(), sizes) for i in (0, 1)]
+                columns.append(np.concatenate(values))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "component", "shingle"])
+
+    each = sets.select("node", "component", "shingles").mapInArrow(
+        scan, "node bigint, component bigint, shingle bigint"
+    )
+    spread = each.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    spread = spread.where("low <> high").select("shingle")
+    held = each.select("node", "shingle").join(spread, "shingle").groupBy("node").agg(F.count("*").alias("held"))
+    return sets.join(held, "node").where(F.col("held") * 100 >= F.col("n") * PERCENT).drop("held")
+
+
+def _joined(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All values of the sets in a row, and the set each belongs to."""
+    return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+
+
+def common_counts(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set with each other set."""
+    (a, a_row), (b, b_row) = _joined(one), _joined(other)
+    words = np.intersect1d(a, b)
+    keep_a, keep_b = np.isin(a, words), np.isin(b, words)
+    a, a_row = np.searchsorted(words, a[keep_a]), a_row[keep_a]
+    b, b_row = np.searchsorted(words, b[keep_b]), b_row[keep_b]
+    order_a, order_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
+    a, a_row, b, b_row = a[order_a], a_row[order_a], b[order_b], b_row[order_b]
+    counts = np.zeros((len(one), len(other)), np.float32)
+    for start in range(0, len(words), CHUNK):
+        sides = []
+        for value, row, n in ((a, a_row, len(one)), (b, b_row, len(other))):
+            low, high = np.searchsorted(value, [start, start + CHUNK])
+            side = np.zeros((n, min(CHUNK, len(words) - start)), np.float32)
+            side[row[low:high], value[low:high] - start] = 1
+            sides.append(side)
+        counts += sides[0] @ sides[1].T
+    return counts
+
+
+def tile_links(visitors: list[tuple], members: list[tuple]) -> list[tuple[int, int]]:
+    """For (node, component, set) on both sides: a similar member of each other component."""
+    found: list[tuple[int, int]] = []
+    for i in range(0, len(visitors), CHUNK):
+        left = visitors[i : i + CHUNK]
+        for j in range(0, len(members), CHUNK):
+            right = members[j : j + CHUNK]
+            common = common_counts([x[2] for x in left], [x[2] for x in right]).astype(np.int64)
+            sizes = np.add.outer([len(x[2]) for x in left], [len(x[2]) for x in right])
+            apart = np.not_equal.outer([x[1] for x in left], [x[1] for x in right])
+            near = (100 * common >= PERCENT * (sizes - common)) & apart
+            components_ = np.array([x[1] for x in right])
+            for row in np.nonzero(near.any(axis=1))[0].tolist():
+                at = np.nonzero(near[row])[0]
+                _, first = np.unique(components_[at], return_index=True)
+                found += [(left[row][0], right[k][0]) for k in at[first].tolist()]
+    return found
+
+
 def _residual_links(left: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between left-over members and all members of other components in a list.
+    """Links between members of a list that are in different components.
 
-    The members of a list stand in blocks; every left-over one visits every block, and a
-    task compares one block at a time on whole sets."""
+    Members outside the main component visit all members, block by block on both sides."""
     spark = left.sparkSession
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("bigint")
-    sized = left.join(left.groupBy("value").agg(F.count("*").alias("members")), "value").withColumn("blocks", blocks)
-    standing = sized.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("visits", F.lit(False))
-    visiting = sized.where(~F.col("main")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    ).withColumn("visits", F.lit(True))
-    columns = ["value", "block", "visits", "node", "component"]
-    rows = standing.select(columns).unionByName(visiting.select(columns)).join(texts, "node")
+    sets = stored(_sets(left.select("node", "component").distinct(), texts), "sets")
+    for number in range(PEELS):
+        sets = stored(_peeled(sets), f"peeled-{number}")
+    members = stored(_left_over(left.drop("main").join(sets.select("node", "n"), "node")), "peeled-lists")
+    sizes = members.groupBy("value").agg(
+        F.ceil(F.sum("n") / TILE).alias("blocks"),
+        F.greatest(F.lit(1), F.ceil(F.sum(F.when(~F.col("main"), F.col("n"))) / TILE)).alias("visitor_blocks"),
+    )
+    sized = members.join(sizes, "value")
+
+    def block(count: str):
+        return F.pmod(F.xxhash64("node", F.lit(7)), F.col(count)).cast("bigint")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count).cast("bigint") - 1))
+
+    standing = sized.select("value", every("visitor_blocks").alias("i"), block("blocks").alias("j"), F.lit(False).alias("visits"), "node")
+    visiting = sized.where(~F.col("main")).select(
+        "value", block("visitor_blocks").alias("i"), every("blocks").alias("j"), F.lit(True).alias("visits"), "node"
+    )
+    rows = standing.unionByName(visiting).join(sets, "node")
 
     def compare(batches) -> Iterator[pa.RecordBatch]:
-        at, block = None, []
-        for batch in batches:
-            found: list[tuple[int, int]] = []
-            for row in batch.to_pylist():
-                if (row["value"], row["block"]) != at:
-                    at, block = (row["value"], row["block"]), []
-                own = shingle_set(row["text"])
-                if not row["visits"]:
-                    block.append((row["node"], row["component"], own))
-                    continue
-                linked = set()
-                for node, component, theirs in block:
-                    if component != row["component"] and component not in linked and similar(own, theirs):
-                        linked.add(component)
-                        found.append((row["node"], node))
-            yield pa.RecordBatch.from_arrays(
+        at, sides = None, ([], [])
+
+        def made() -> pa.RecordBatch:
+            found = tile_links(sides[1], sides[0]) if sides[1] and sides[0] else []
+            return pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"]
             )
 
+        for batch in batches:
+            for value, i, j, visits, node, component, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if (value, i, j) != at:
+                    yield made()
+                    at, sides = (value, i, j), ([], [])
+                sides[visits].append((node, component, np.frombuffer(data, np.int64)))
+        yield made()
+
     return (
-        rows.repartition(partitions(spark), "value", "block")
-        .sortWithinPartitions("value", "block", "visits")
+        rows.repartition(partitions(spark), "value", "i", "j")
+        .sortWithinPartitions("value", "i", "j")
+        .select("value", "i", "j", "visits", "node", "component", "shingles")
         .mapInArrow(compare, "a bigint, b bigint")
     )
 
@@ -318,7 +423,7 @@ def _links(df: DataFrame, classes: DataFrame, text: str, row: str) -> DataFrame:
     every class is in its component."""
     values = classes.select("node", "n", F.posexplode("sketch").alias("place", "value"))
     counts = values.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
-    lists = stored(values.join(counts, "value").select("value", "node", "n", "place", (F.col("size") > COLD).alias("hot")), "lists")
+    lists = stored(values.join(counts, "value").select("value", "node", "n", "place", "size", (F.col("size") > COLD).alias("hot")), "lists")
 
     cold = lists.where(f"NOT hot AND (place < {LISTED} OR n <= {SKETCH})").select("value", "node")
     pairs = (
@@ -330,13 +435,19 @@ def _links(df: DataFrame, classes: DataFrame, text: str, row: str) -> DataFrame:
     pairs = stored(_estimated(pairs, classes), "cold-pairs")
 
     enough = F.when(F.col("n") <= WHOLE, 100 * F.col("n_hot") >= PERCENT * F.col("n")).otherwise(F.col("n_hot") >= HOT)
-    hot_nodes = lists.where("hot").groupBy("node", "n").agg(F.count("*").alias("n_hot")).where(enough).select("node")
+    hot_nodes = (
+        lists.where("hot")
+        .groupBy("node", "n")
+        .agg(F.count("*").alias("n_hot"), F.sum("size").alias("sum"))
+        .where(enough)
+        .select("node", (F.col("sum") / F.least("n", F.lit(SKETCH))).alias("popularity"))
+    )
     members = stored(
         lists.where("hot")
         .join(hot_nodes, "node")
         .withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("place")))
         .where(f"rank <= {HOT_LISTED}")
-        .select("value", "node", "rank"),
+        .select("value", "node", "rank", "popularity"),
         "hot-members",
     )
     wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).unionByName(

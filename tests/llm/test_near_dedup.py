@@ -74,7 +74,8 @@ def test_groups_of_near_copies_and_shared_passages(spark, monkeypatch, cold):
     """With few members to a cold list the groups go through the hot lists."""
     monkeypatch.setattr(near_dedup, "COLD", cold)
     monkeypatch.setattr(near_dedup, "ROUNDS", 1)
-    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "TILE", 900)
+    monkeypatch.setattr(near_dedup, "CHUNK", 8)
     monkeypatch.setattr(near_dedup, "PARTNERS", 4)
     rng = random.Random(7)
     texts = copies(rng, prose(rng, 120), 60, 9)  # similarities on both sides of the limit
@@ -86,6 +87,28 @@ def test_groups_of_near_copies_and_shared_passages(spark, monkeypatch, cold):
     check(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
 
 
+def test_large_groups_with_production_constants(spark):
+    """Several hundred unlike edits of one text, and a passage in a third of the rows."""
+    rng = random.Random(11)
+    texts = copies(rng, prose(rng, 150), 260, 14)
+    passage = prose(rng, 70)
+    texts += [f"{prose(rng, rng.randint(15, 60))} {passage} {prose(rng, 10)}" for _ in range(200)]
+    texts += [prose(rng, 60) for _ in range(140)]
+    rng.shuffle(texts)
+    check(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+
+
+def test_tiles_find_a_link_to_each_component(monkeypatch):
+    monkeypatch.setattr(near_dedup, "CHUNK", 5)
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.choice(60, rng.integers(38, 60), replace=False)) for _ in range(40)]
+    rows = [(k, k % 7, s) for k, s in enumerate(sets)]
+    found = near_dedup.tile_links(rows, rows)
+    linked = {(a[0], b[1]) for a in rows for b in rows if a[1] != b[1] and near_dedup.similar(a[2], b[2])}
+    assert linked and {(a, b % 7) for a, b in found} == linked
+    assert all(near_dedup.similar(sets[a], sets[b]) for a, b in found)
+
+
 def test_near_copies_under_equal_and_null_ids(spark):
     rng = random.Random(24)
     rows = []
