@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from . import fixed_values as fixed
 from .dates import AsOf, order_date, review_date
-from .numbers import MONEY, review_rating, signed_money_or_zero, to_count, to_decimal
+from .numbers import MONEY, review_rating, signed_money_or_zero, to_count, to_decimal, too_wide
 from .text import has_text
 
 
@@ -21,8 +21,9 @@ def _certain(condition: Column) -> Column:
 
 
 def is_available(stock: Column, price: Column, lenient: bool = False) -> Column:
-    """In stock and priced above zero."""
-    return _certain((to_count(stock) > 0) & (to_decimal(price, lenient=lenient) > 0))
+    """In stock and priced above zero; a stock too wide for its column is one."""
+    stocked = _certain(to_count(stock) > 0) | _certain(too_wide(stock))
+    return stocked & _certain(to_decimal(price, lenient=lenient) > 0)
 
 
 def has_positive_amount(total: Column, lenient: bool = False) -> Column:
@@ -45,8 +46,9 @@ def is_valid_order(total: Column, date: Column, as_of: AsOf, lenient: bool = Fal
 
 
 def calculated_subtotal(quantity: Column, price: Column, lenient: bool = False) -> Column:
-    """Quantity times price; a written zero quantity stays zero here."""
-    count = F.coalesce(to_count(quantity), F.lit(1))
+    """Quantity times price; a written zero quantity stays zero here, and one too wide for
+    its column has no subtotal."""
+    count = F.when(~_certain(too_wide(quantity)), F.coalesce(to_count(quantity), F.lit(1)))
     amount = to_decimal(price, lenient=lenient)
     amount = F.when(amount >= 0, amount).otherwise(F.lit(0).cast(MONEY))
     return (count * amount).try_cast(MONEY)

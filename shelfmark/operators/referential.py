@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def keep_referenced(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -15,6 +18,24 @@ def keep_referenced(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key), key, "left_semi")
 
 
+STATUS, KEPT, REJECTED = "status", "kept", "rejected"
+
+
+def flag_referenced(child: DataFrame, parents: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """All child rows, with ``missing`` (the keys without a parent row) and ``status``.
+
+    A parent row counts once however often its key occurs, so no child row multiplies."""
+    flagged, missing = child, []
+    for number, (parent, key) in enumerate(parents):
+        known = parent.select(key).where(F.col(key).isNotNull()).distinct().withColumn(f"_known{number}", F.lit(True))
+        flagged = flagged.join(known, key, "left")
+        missing.append(F.when(F.col(f"_known{number}").isNull(), F.lit(key)))
+    lost = F.array_compact(F.array(*missing))
+    return flagged.select(
+        *child.columns, lost.alias("missing"), F.when(F.size(lost) == 0, KEPT).otherwise(REJECTED).alias(STATUS)
+    )
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose key is missing from the parent."""
     return child.join(parent.select(key), key, "left_anti")

@@ -43,6 +43,26 @@ def with_surrogate_key(df: DataFrame, name: str, key: str, buckets: int = 65536)
     return _number_within(hashed, "_bucket", [F.col(key), *ties], name)
 
 
+def with_position_key(stored: DataFrame, name: str) -> DataFrame:
+    """Number the rows of a stored Parquet table 1..N by their places in its files.
+
+    A row's number is its place in its file plus the rows of the files before it, so no row
+    is shuffled; only the files' row counts are gathered, which Parquet keeps.  Where the
+    table was written sorted (``order_by``), the numbers follow that order."""
+    file = F.col("_metadata.file_path")
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = (
+        stored.groupBy(file.alias("_file"))
+        .agg(F.count("*").alias("_rows"))
+        .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    )
+    return (
+        stored.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_place"))
+        .join(files, "_file")
+        .select((F.col("_before") + F.col("_place") + 1).alias(name), *stored.columns)
+    )
+
+
 def with_ordered_key(df: DataFrame, name: str, order: Sequence[Column]) -> DataFrame:
     """Number rows 1..N in the stated order.
 

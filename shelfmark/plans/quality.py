@@ -183,6 +183,9 @@ def issue_rules(as_of: AsOf) -> dict[str, dict[str, Column]]:
     def unreadable(parsed: Column) -> Column:
         return parsed.isNull()
 
+    def wide(column: str) -> Column:
+        return numbers.too_wide(c(column))
+
     stocked = numbers.to_count(c("stock_quantity"))
     ordered = dates.parse_date(c("order_date"), fixed.ORDER_DATES)
     return {
@@ -201,7 +204,8 @@ def issue_rules(as_of: AsOf) -> dict[str, dict[str, Column]]:
         "books": {
             "negative_price": flag(numbers.to_decimal(c("price")) < 0),
             "unreadable_price": unreadable(numbers.to_decimal(c("price"))),
-            "no_stock": flag(F.coalesce(stocked, F.lit(0)) == 0),
+            "no_stock": flag(F.coalesce(stocked, F.lit(0)) == 0) & ~flag(wide("stock_quantity")),
+            "stock_too_wide": flag(wide("stock_quantity")),
             "year_out_of_range": unreadable(numbers.valid_year(c("publication_year"), as_of)),
             "rating_out_of_range": unreadable(numbers.catalogue_rating(c("rating"))),
             "category_spelling": respelled(c("category"), canonical.category(c("category"))),
@@ -224,7 +228,9 @@ def issue_rules(as_of: AsOf) -> dict[str, dict[str, Column]]:
         "items": {
             "quantity_replaced": flag(
                 F.coalesce(numbers.to_count(c("quantity")), F.lit(0)) == 0
-            ),
+            )
+            & ~flag(wide("quantity")),
+            "quantity_too_wide": flag(wide("quantity")),
             "price_unusable": unreadable(numbers.non_negative_money(c("unit_price"))),
             "subtotal_mismatch": ~rules.subtotal_matches(
                 c("subtotal"), c("quantity"), c("unit_price")
@@ -261,6 +267,45 @@ def issue_profile(bronze: Bronze, as_of: AsOf) -> DataFrame:
     return labelled_union(_named(parts), "entidade")
 
 
+def issue_combinations(bronze: Bronze, as_of: AsOf) -> DataFrame:
+    """Rows of each raw table by the set of problems they have.
+
+    A row's problems are one number with a bit for each rule, by which rows are counted in
+    one pass; whatever is asked about rules alone or together follows from these few rows."""
+    parts = {}
+    for name, found in issue_rules(as_of).items():
+        bits = [F.when(problem, F.lit(1 << k)).otherwise(F.lit(0)) for k, problem in enumerate(found.values())]
+        mask = bits[0]
+        for bit in bits[1:]:
+            mask = mask.bitwiseOR(bit)
+        names = F.array(*[F.when(F.col("mask").bitwiseAND(F.lit(1 << k)) != 0, F.lit(r)) for k, r in enumerate(found)])
+        counted = bronze.tables()[name].groupBy(mask.alias("mask")).agg(F.count("*").alias("total"))
+        parts[name] = counted.select(F.array_join(F.array_compact(names), ",").alias("problems"), "total")
+    return labelled_union(_named(parts), "entidade")
+
+
+def issue_summary(bronze: Bronze, as_of: AsOf) -> DataFrame:
+    """Rows of each raw table, those with any problem, their share, and the rows that only
+    repeat the id of another one."""
+    with_any = F.sum(F.when(F.col("problems") != "", F.col("total")).otherwise(0))
+    rows = issue_combinations(bronze, as_of).groupBy("entidade").agg(
+        F.sum("total").alias("total"), with_any.alias("with_problem")
+    )
+    repeated = labelled_union(
+        _named(
+            {
+                name: duplicate_keys(df, ID[name]).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("repeated"))
+                for name, df in bronze.tables().items()
+            }
+        ),
+        "entidade",
+    )
+    share = ratio((F.col("with_problem") * 100).cast("decimal(20,0)"), F.col("total"), 2)
+    return rows.join(repeated, "entidade").select(
+        "entidade", "total", "with_problem", share.alias("problem_percentage"), F.col("repeated").alias("repeated_ids")
+    )
+
+
 def value_variants(raw: DataFrame, column: str, cleaned: Column) -> DataFrame:
     """How many spellings and rows each canonical value has."""
     return (

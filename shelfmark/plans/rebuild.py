@@ -11,11 +11,13 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from ..functions.dates import AsOf
+from ..operators.surrogate import with_position_key
+from ..schemas import KEYS
 from ..session import sized_shuffles
 from ..sources.bronze import Bronze
 from ..sources.layers import CatalogLayers, PathLayers, publish_views, stamped
 from . import gold
-from .silver import STORED_AS, Silver, keyed
+from .silver import STORED_AS, Silver
 
 
 def gold_views(silver: dict[str, DataFrame], as_of: AsOf) -> dict[str, DataFrame]:
@@ -54,9 +56,10 @@ def rebuild(
     lenient: bool = False,
     input_bytes: int = 0,
 ) -> dict[str, DataFrame]:
-    """Write Silver (keyed and stamped) and the Gold tables, publish the views.
+    """Write Silver (stamped, in the order of its keys) and the Gold tables, publish the views.
 
-    Cleaned tables are staged first: numbering rows reads its input twice.
+    Each table is written once.  Its rows are numbered by their places in the stored files
+    whenever it is read with its key, in a catalog by the view ``<table>_keyed``.
     ``input_bytes``, the stored size of the raw tables, sizes the shuffles.
     """
     with sized_shuffles(layers.spark, input_bytes):
@@ -73,11 +76,12 @@ def _written(
     layers: PathLayers | CatalogLayers,
     lenient: bool,
 ) -> dict[str, DataFrame]:
-    staged = Silver(bronze, as_of, layers, layer="staging", lenient=lenient)
-    stored = {
-        name: layers.write("silver", name, keyed(name, getattr(staged, short), run_time))
-        for short, name in STORED_AS.items()
-    }
+    silver = Silver(bronze, as_of, layers, lenient=lenient, run_time=run_time)
+    stored = {}
+    for short, name in STORED_AS.items():
+        stored[name] = with_position_key(getattr(silver, short), KEYS[name][0])
+        if isinstance(layers, CatalogLayers):
+            layers.publish_keyed("silver", name, KEYS[name][0])
     for name, df in gold_tables(stored).items():
         stored[name] = layers.write("gold", name, stamped(df, run_time))
     return stored

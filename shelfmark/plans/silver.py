@@ -200,9 +200,15 @@ class Silver:
     layer: str = "silver"
     lenient: bool = False
     strict_review_dates: bool = False
+    # With a run time, tables are stored for good: sorted by business key and stamped.
+    run_time: dt.datetime | None = None
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
-        return df if self.layers is None else self.layers.write(self.layer, name, df)
+        if self.layers is None:
+            return df
+        if self.run_time is None:
+            return self.layers.write(self.layer, name, df)
+        return self.layers.write(self.layer, name, stamped(df, self.run_time), order_by=[KEYS[name][1]])
 
     @cached_property
     def customers(self) -> DataFrame:

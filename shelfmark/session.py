@@ -65,6 +65,17 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs started inside; the caller's value returns."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """``size_shuffles`` for the jobs started inside; the caller's value returns."""

@@ -187,6 +187,7 @@ def raw_books(part: DataFrame) -> DataFrame:
         .otherwise(price)
         .alias("price"),
         F.when(_every(key, 37), F.lit("none"))
+        .when(_every(key, 113), F.lit("3000000000"))
         .otherwise(F.pmod(key * 7, F.lit(300)).cast("string"))
         .alias("stock_quantity"),
         F.when(_every(key, 47), F.lit("0"))
@@ -295,6 +296,7 @@ def raw_order_items(lineitem: DataFrame) -> DataFrame:
         F.when(_every(mark, 37), F.lit("0"))
         .when(_every(mark, 41), F.lit("two"))
         .when(_every(mark, 43), F.lit(None).cast("string"))
+        .when(_every(mark, 61), F.lit("99999999999"))
         .otherwise(F.col("count").cast("string"))
         .alias("quantity"),
         F.when(_every(mark, 47), F.concat(F.lit("-"), "unit_text"))

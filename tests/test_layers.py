@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.plans import gold
+from shelfmark.operators.surrogate import with_position_key
+from shelfmark.plans import gold, monthly
 from shelfmark.plans.rebuild import rebuild
 from shelfmark.plans.silver import Silver, keyed
 from shelfmark.schemas import KEYS, RAW, SILVER
 from shelfmark.sources import bronze
 from shelfmark.sources.layers import CatalogLayers, PathLayers, conform, publish_views, stamped
+from shelfmark.sources.quarantine import Quarantine
 
 from . import fixture_rows as rows
 
@@ -117,6 +120,96 @@ def test_keyed_table_has_dense_keys_and_audit_columns(spark):
         assert done.select("created_at", "updated_at").distinct().collect() == [(run_time, run_time)]
 
 
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_follow_file_positions_without_moving_rows(spark, tmp_path):
+    ids = [(f"O{k:03d}", k) for k in (5, 3, 9, 1, 7, 2, 8, 4, 6, 0) for _ in range(1 + (k == 4))]
+    df = spark.createDataFrame(ids, "order_id string, n int").repartition(4)
+    stored = PathLayers(spark, str(tmp_path)).write("silver", "t", df, order_by=["order_id"])
+    numbered = with_position_key(stored, "order_key")
+    assert numbered.columns == ["order_key", "order_id", "n"]
+    got = sorted(numbered.collect())
+    assert [r.order_key for r in got] == list(range(1, 12))
+    assert [r.order_id for r in got] == sorted(k for k, _ in ids)
+    scan, _, _ = plan_of(numbered).partition("BroadcastExchange")
+    assert "Exchange" not in scan and "Sort" not in scan
+    assert with_position_key(stored.limit(0), "k").count() == 0
+
+
+def test_another_session_reads_keyed_tables(spark):
+    raw = small_bronze(spark)
+    rebuild(raw, rows.AS_OF, dt.datetime(2025, 6, 30, 2), CatalogLayers(spark, "keyed_{layer}"))
+    other = spark.newSession()
+    got = other.table("keyed_silver.dim_customers_keyed").orderBy("customer_key").collect()
+    assert [r.customer_key for r in got] == list(range(1, 11))
+    assert [r.customer_id for r in got] == sorted(r.customer_id for r in got)
+    assert other.table("keyed_silver.fact_orders_keyed").columns[0] == "order_key"
+    assert "keyed_staging.fact_orders" not in {f"keyed_staging.{t.name}" for t in spark.catalog.listTables("keyed_staging")}
+
+
+def files_by_month(root: str) -> dict[str, set[str]]:
+    found: dict[str, set[str]] = {}
+    for path in glob.glob(f"{root}/order_month=*/*.parquet"):
+        found.setdefault(path.split("order_month=")[1].split("/")[0], set()).add(path)
+    return found
+
+
+def test_a_month_is_run_again_alone(spark, tmp_path):
+    silver = Silver(small_bronze(spark), rows.AS_OF)
+    layers = PathLayers(spark, str(tmp_path))
+    orders, daily = monthly.run_months(silver.orders, silver.items, layers)
+    before = {t: files_by_month(layers.location(*t)) for t in (("silver", monthly.ORDERS), ("gold", monthly.DAILY))}
+    months = set(before["silver", monthly.ORDERS])
+    assert "2024-06" in months and monthly.UNDATED in months
+    assert all(len(files) == 1 for files in before["silver", monthly.ORDERS].values())
+    again, daily_again = monthly.run_months(silver.orders, silver.items, layers, ["2024-06"])
+    for table, old in before.items():
+        new = files_by_month(layers.location(*table))
+        assert set(new) == set(old)
+        assert {m for m in old if old[m] != new[m]} == {"2024-06"}
+    assert again.drop(monthly.MONTH).exceptAll(silver.orders).isEmpty() and again.count() == silver.orders.count()
+    whole = gold.daily_metrics(silver.orders, silver.items)
+    assert daily_again.drop(monthly.MONTH).exceptAll(whole).isEmpty() and daily_again.count() == whole.count()
+    found = monthly.delivered_orders(again, "2024-06")
+    assert found.exceptAll(gold.delivered_orders(silver.orders, "2024-06")).isEmpty()
+    assert "PartitionFilters: [isnotnull(order_month" in plan_of(found)
+
+
+def test_months_of_a_catalog_table(spark):
+    silver = Silver(small_bronze(spark), rows.AS_OF)
+    layers = CatalogLayers(spark, "monthly_{layer}")
+    monthly.run_months(silver.orders, silver.items, layers)
+    by_month, _ = monthly.run_months(silver.orders, silver.items, layers, ["2024-06"])
+    assert by_month.count() == silver.orders.count()
+
+
+def test_quarantined_rows_are_admitted_once_their_parents_arrive(spark, tmp_path):
+    schema = "order_id string, customer_id string, book_id string"
+    orders = spark.createDataFrame([("O1", "C1", "B1"), ("O2", "C2", "B1"), ("O3", "C1", "B9"), ("O4", None, "B1")], schema)
+    place = Quarantine(spark, str(tmp_path / "q"), orders.schema)
+    assert place.kept().count() == place.rejected().count() == 0
+    books = spark.createDataFrame([("B1",), ("B1",), (None,)], "book_id string")
+
+    def deliver(df, customers, number):
+        known = spark.createDataFrame([(c,) for c in customers], "customer_id string")
+        place.deliver(df, [(known, "customer_id"), (books, "book_id")], number)
+        return (
+            sorted(r.order_id for r in place.kept().collect()),
+            sorted((r.order_id, *r.missing) for r in place.rejected().collect()),
+        )
+
+    first = (["O1"], [("O2", "customer_id"), ("O3", "book_id"), ("O4", "customer_id")])
+    assert deliver(orders, ["C1"], 0) == first
+    assert deliver(orders, ["C1"], 0) == first  # the same delivery again
+    more = spark.createDataFrame([("O5", "C7", "B9")], schema)
+    for _ in range(2):
+        kept, rejected = deliver(more, ["C1", "C2"], 1)
+        assert kept == ["O1", "O2"]
+        assert rejected == [("O3", "book_id"), ("O4", "customer_id"), ("O5", "customer_id", "book_id")]
+
+
 def test_catalog_tables_partitioned_and_bucketed(spark):
     silver = Silver(small_bronze(spark), rows.AS_OF)
     catalog = CatalogLayers(spark, "test_{layer}")

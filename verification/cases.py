@@ -18,13 +18,14 @@ from pyspark.sql import types as T
 
 from shelfmark.functions import canonical, dates, numbers, rules, scores, segments, text
 from shelfmark.operators import aggregates, dedup, ranking, surrogate
-from shelfmark.plans import gold, gold_by_grain, originals, quality
+from shelfmark.plans import gold, gold_by_grain, monthly, originals, quality
 from shelfmark.plans.silver import Silver
 from shelfmark.session import configure, listing, shared_folder, size_shuffles
 from shelfmark.sources import commerce
 from shelfmark.sources.bronze import Bronze
 from shelfmark.sources.commerce import AS_OF, bronze_from, read_table
 from shelfmark.sources.layers import PathLayers
+from shelfmark.sources.quarantine import Quarantine
 from shelfmark.streaming import ingest, merge
 
 c = F.col
@@ -157,8 +158,19 @@ register("fact_order_items", lambda x: x.silver.items)
 register("fact_reviews", lambda x: x.silver.reviews)
 
 
-def _key_summary(x: Context) -> DataFrame:
-    """Surrogate keys are dense: 1..N, each once."""
+def _own_layers(x: Context) -> PathLayers:
+    """A new place for the tables of one call."""
+    return PathLayers(x.spark, f"{_stream_folder(x)}/layers")
+
+
+def _keys_by_position(x: Context) -> DataFrame:
+    """Every order's key, by its place in files written in the order of the ids."""
+    stored = _own_layers(x).write("silver", "fact_orders", x.silver.orders, order_by=["order_id"])
+    return surrogate.with_position_key(stored, "order_key").select("order_id", "order_key")
+
+
+def _hashed_keys(x: Context) -> DataFrame:
+    """Keys by buckets of the id are dense as well: 1..N, each once."""
     keyed = surrogate.with_surrogate_key(x.silver.orders.select("order_id"), "order_key", "order_id")
     return keyed.agg(
         F.count("*").alias("total_rows"),
@@ -168,7 +180,35 @@ def _key_summary(x: Context) -> DataFrame:
     )
 
 
-register("surrogate_keys", _key_summary)
+register("surrogate_keys", _keys_by_position)
+register("hashed_surrogate_keys", _hashed_keys)
+
+
+def _monthly(x: Context) -> tuple[DataFrame, DataFrame]:
+    """All months at first, and two of them once more."""
+    layers = _own_layers(x)
+    monthly.run_months(x.silver.orders, x.silver.items, layers)
+    return monthly.run_months(x.silver.orders, x.silver.items, layers, ["1999-03", "2001-05"])
+
+
+register("delivered_orders_by_month", lambda x: monthly.delivered_orders(_monthly(x)[0], "2001-05"))
+register("daily_metrics_by_month", lambda x: _monthly(x)[1].drop(monthly.MONTH))
+
+
+def _quarantine(x: Context) -> DataFrame:
+    """Orders delivered before some of their customers; the second delivery brings these."""
+    orders, customers = x.bronze.orders, x.silver.customers.select("customer_id")
+    early = customers.where(F.pmod(F.xxhash64("customer_id"), F.lit(3)) > 0)
+    place = Quarantine(x.spark, f"{_stream_folder(x)}/orders", orders.schema)
+    place.deliver(orders, [(early, "customer_id")], 0)
+    place.deliver(orders.limit(0), [(customers, "customer_id")], 1)
+    columns = ("order_id", "customer_id")
+    kept = place.kept().select(*columns, F.lit("kept").alias("status"), F.lit("").alias("missing"))
+    rejected = place.rejected().select(*columns, F.lit("rejected").alias("status"), F.array_join("missing", ",").alias("missing"))
+    return kept.unionByName(rejected)
+
+
+register("order_quarantine", _quarantine)
 
 # --- Gold ----------------------------------------------------------------------------
 
@@ -349,6 +389,8 @@ register("dq_duplicate_keys", lambda x: quality.repeated_keys(x.bronze.tables())
 register("dq_silver_duplicate_keys", lambda x: quality.repeated_keys(x.silver.tables()))
 register("dq_orphans", lambda x: quality.bronze_orphans(x.silver))
 register("dq_issue_profile", lambda x: quality.issue_profile(x.bronze, AS_OF))
+register("dq_issue_combinations", lambda x: quality.issue_combinations(x.bronze, AS_OF))
+register("dq_issue_summary", lambda x: quality.issue_summary(x.bronze, AS_OF))
 register(
     "dq_value_variants",
     lambda x: quality.value_variants(

@@ -41,7 +41,7 @@ _RULES = {
             "canonical_language": b.LANGUAGE_OF,
             "valid_year": b.YEAR,
             "money_or_null": units(b.PRICE),
-            "count_or_zero": f"coalesce({b.whole('stock_quantity')}, 0)",
+            "count_or_zero": b.STOCK,
             "positive_pages": f"CASE WHEN {b.whole('pages')} > 0 THEN {b.whole('pages')} END",
             "catalogue_rating": f"{b.RATING10}::DOUBLE / 10",
             "availability": b.AVAILABLE,
@@ -115,6 +115,15 @@ SQL["fact_reviews"] = compose(
     "fact_reviews", "SELECT * REPLACE (review_date::VARCHAR AS review_date) FROM fact_reviews"
 )
 SQL["surrogate_keys"] = compose(
+    "fact_orders", "SELECT order_id, row_number() OVER (ORDER BY order_id) AS order_key FROM fact_orders"
+)
+SQL["order_quarantine"] = compose(
+    "raw_orders dim_customers",
+    """SELECT order_id, o.customer_id, CASE WHEN c.customer_id IS NULL THEN 'rejected' ELSE 'kept' END AS status,
+    CASE WHEN c.customer_id IS NULL THEN 'customer_id' ELSE '' END AS missing
+    FROM raw_orders o LEFT JOIN dim_customers c ON c.customer_id = o.customer_id""",
+)
+SQL["hashed_surrogate_keys"] = compose(
     "fact_orders",
     """SELECT count(*) AS total_rows, count(*) AS distinct_keys, 1::BIGINT AS lowest_key,
     count(*) AS highest_key FROM fact_orders""",
@@ -685,7 +694,8 @@ _ISSUES = {
     "books": {
         "negative_price": f"coalesce({b.cents('price')} < 0, false)",
         "unreadable_price": f"{b.cents('price')} IS NULL",
-        "no_stock": f"coalesce({b.whole('stock_quantity')}, 0) = 0",
+        "no_stock": f"coalesce({b.STOCK} = 0, false)",
+        "stock_too_wide": b.wide("stock_quantity"),
         "year_out_of_range": f"{b.YEAR} IS NULL",
         "rating_out_of_range": f"{b.RATING10} IS NULL",
         "category_spelling": _differs("category", b.CATEGORY_OF),
@@ -700,7 +710,8 @@ _ISSUES = {
         "payment_spelling": _differs("payment_method", b.PAYMENT_OF),
     },
     "items": {
-        "quantity_replaced": f"coalesce({b.whole('quantity')}, 0) = 0",
+        "quantity_replaced": f"coalesce({b.whole('quantity')}, 0) = 0 AND NOT {b.wide('quantity')}",
+        "quantity_too_wide": b.wide("quantity"),
         "price_unusable": f"{b.UNIT} IS NULL",
         "subtotal_mismatch": f"NOT {b.MATCHES}",
     },
@@ -726,6 +737,31 @@ SQL["dq_issue_profile"] = compose(
     )
     + ")",
 )
+_PROBLEMS = {
+    t: "concat_ws(',', " + ", ".join(f"CASE WHEN {cond} THEN '{rule}' END" for rule, cond in found.items()) + ")"
+    for t, found in _ISSUES.items()
+}
+SQL["dq_issue_combinations"] = compose(
+    _RAW,
+    union(
+        [
+            f"SELECT '{_LABELS[t]}' AS entidade, {found} AS problems, count(*) AS total FROM raw_{t} GROUP BY problems"
+            for t, found in _PROBLEMS.items()
+        ]
+    ),
+)
+SQL["dq_issue_summary"] = compose(
+    _RAW,
+    f"SELECT *, {rounded('100 * with_problem', 'total', 2)} AS problem_percentage FROM ("
+    + union(
+        [
+            f"SELECT '{_LABELS[t]}' AS entidade, count(*) AS total, count(*) FILTER ({found} <> '') AS with_problem,"
+            f" count({_IDS[t]}) - count(DISTINCT {_IDS[t]}) AS repeated_ids FROM raw_{t}"
+            for t, found in _PROBLEMS.items()
+        ]
+    )
+    + ")",
+)
 SQL["dq_value_variants"] = compose(
     "raw_books",
     f"""SELECT {b.CATEGORY_OF} AS canonical, count(DISTINCT category) AS variants, count(*) AS total_rows
@@ -767,3 +803,5 @@ SELECT ts::DATE::VARCHAR AS metric_date, count(*) AS total_events,
   count(*) FILTER (event_type = 'purchase') AS purchases,
   {units('sum(round(value * 100)::BIGINT)')} AS total_value
 FROM events WHERE ts IS NOT NULL GROUP BY ts::DATE"""
+SQL["delivered_orders_by_month"] = SQL["delivered_orders"]
+SQL["daily_metrics_by_month"] = SQL["daily_metrics"]
