@@ -7,7 +7,9 @@ language whose prototype has the largest cosine.
 
 Null texts and texts without letters are ``und`` with score 0.  Empty tables give empty
 results; with no training rows every text is ``und``.  Texts are read whole, in pieces,
-so their length doesn't matter.  Ties go to the alphabetically first language.
+so their length doesn't matter.  Ties go to the alphabetically first language.  A column
+with the name asked for the result is replaced.  Prototypes take one vector for each
+distinct language of the training rows, which the driver holds.
 """
 
 from __future__ import annotations
@@ -21,7 +23,10 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import BLOCK_CHARS, blocks, code_points
 
-DIMENSIONS = 1024
+DIMENSIONS = 4096
+# Cosines of unrelated texts scatter around zero by one over the root of the dimensions.
+# From five times that a text is like its language rather than like none.
+LEAST_SCORE = 5 / DIMENSIONS**0.5
 UNDETERMINED = "und"
 SPACE = 32
 DENSE = 1 << 22  # n-gram codes up to which a table is used instead of sorting

@@ -44,6 +44,21 @@ def test_unseen_texts_get_their_language(spark, prototypes):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_foreign_scripts_and_gibberish_score_as_noise(spark, prototypes):
+    rng = random.Random(4)
+
+    def noise(low: int, high: int, length: int) -> str:
+        return "".join(" " if rng.random() < 0.15 else chr(rng.randint(low, high)) for _ in range(length))
+
+    scripts = [(0x3B1, 0x3C9), (0x430, 0x44F), (0xAC00, 0xD7A3), (0x627, 0x64A), (0x4E00, 0x9FA5)]
+    rows = [(0, noise(*scripts[i % 5], 20 + 8 * i), None, None, 1) for i in range(100)]
+    rows += [(1, noise(97, 122, 300), None, None, 1) for _ in range(50)]
+    rows += [(2, prose(rng, 3 + i % 30, "de" if i % 2 else "en"), None, None, 1) for i in range(100)]
+    got = language_id.identify(documents(spark, rows), prototypes).select("doc_id", "language.score").collect()
+    kept = [sum(r.score >= language_id.LEAST_SCORE for r in got if r.doc_id == k) for k in range(3)]
+    assert kept[0] == 0 and kept[1] <= 5 and kept[2] == 100
+
+
 def test_awkward_rows(spark, prototypes):
     df = with_clashes(documents(spark))
     got = language_id.identify(df, prototypes, to="found").select("doc_id", "text", "found.*").collect()
