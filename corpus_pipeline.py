@@ -15,9 +15,6 @@ from shelfmark.llm import decontamination, language_id, near_dedup, packing, per
 from shelfmark.llm.common import make_importable, read_table, stored
 from shelfmark.llm.queries import SEQUENCE, SEQUENCE_END, tokenizer_path
 
-LEAST_SCORE = 0.02  # cosine with the nearest language from which a text is kept
-
-
 def _new_name(name: str, columns: list[str]) -> str:
     """``name``, made longer until no column has it; Spark ignores case."""
     taken = {c.lower() for c in columns}
@@ -27,15 +24,15 @@ def _new_name(name: str, columns: list[str]) -> str:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages that the labelled documents are in.  Without
-    any label there is nothing to judge by and all stay."""
+    """Documents in one of the languages that the labelled documents are in, by more than
+    the noise of the method.  Without any label there is nothing to judge by and all stay."""
     make_importable(spark)
     prototypes = language_id.fit(docs)
     if not prototypes:
         return docs
     to = _new_name("language", docs.columns)
     found = language_id.identify(docs, prototypes, to=to)
-    known = (F.col(to)["lang_pred"] != language_id.UNDETERMINED) & (F.col(to)["score"] >= LEAST_SCORE)
+    known = (F.col(to)["lang_pred"] != language_id.UNDETERMINED) & (F.col(to)["score"] >= language_id.LEAST_SCORE)
     return found.where(known).select(*docs.columns)
 
 
