@@ -15,7 +15,7 @@ filters, and the Jaccard similarity of the whole sets decides.
   standard deviations, HOT of SKETCH.  No other class enters the hot lists.  Those that do
   form large groups.  There, a class stands in the lists of HOT_LISTED of its hot values, of
   which a similar one shares three quarters or more.
-* Members of a hot list are first compared with its centres: those whose values are held
+* Members of a hot list are first (ROUNDS times) compared with its centres: those whose values are held
   by most classes on average, as the text is from which the others were made.  This ties most of
   a group together with a number of comparisons proportional to its size.
 * What is left in several components of a list is peeled: a class can only be similar to one
@@ -42,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import partitions, stored
@@ -59,8 +59,8 @@ LEAST_ESTIMATE = 0.45  # 5.5 standard deviations below 0.75 for SKETCH values
 HOT_LISTED = 13  # smallest hot values of a class whose lists it enters
 STAR_LISTED = 4  # of these, the lists in which it is compared with centres
 CENTRES = 2
-ROUNDS = 2
-PEELS = 3
+ROUNDS = 1
+PEELS = 2
 TILE = 1 << 18  # shingles of the members on one side of a tile
 CHUNK = 1024  # members and shingles that a task multiplies at once
 PARTNERS = 64  # partners of one document that follow it in a task
@@ -434,20 +434,21 @@ def _links(df: DataFrame, classes: DataFrame, text: str, row: str) -> DataFrame:
     )
     pairs = stored(_estimated(pairs, classes), "cold-pairs")
 
-    enough = F.when(F.col("n") <= WHOLE, 100 * F.col("n_hot") >= PERCENT * F.col("n")).otherwise(F.col("n_hot") >= HOT)
-    hot_nodes = (
+    # A class's values, at most SKETCH, meet in one row, so no join brings them together again.
+    n_hot = F.size("hot")
+    enough = F.when(F.col("n") <= WHOLE, 100 * n_hot >= PERCENT * F.col("n")).otherwise(n_hot >= HOT)
+    sizes = F.aggregate("hot", F.lit(0).cast("bigint"), lambda total, x: total + x["size"])
+    members = stored(
         lists.where("hot")
         .groupBy("node", "n")
-        .agg(F.count("*").alias("n_hot"), F.sum("size").alias("sum"))
+        .agg(F.array_sort(F.collect_list(F.struct("place", "value", "size"))).alias("hot"))
         .where(enough)
-        .select("node", (F.col("sum") / F.least("n", F.lit(SKETCH))).alias("popularity"))
-    )
-    members = stored(
-        lists.where("hot")
-        .join(hot_nodes, "node")
-        .withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("place")))
-        .where(f"rank <= {HOT_LISTED}")
-        .select("value", "node", "rank", "popularity"),
+        .select(
+            "node",
+            F.posexplode(F.slice("hot", 1, HOT_LISTED)).alias("rank", "member"),
+            (sizes / F.least("n", F.lit(SKETCH))).alias("popularity"),
+        )
+        .select("member.value", "node", (F.col("rank") + 1).alias("rank"), "popularity"),
         "hot-members",
     )
     wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).unionByName(
