@@ -38,11 +38,13 @@ def text_schema(table: str) -> T.StructType:
     return T.StructType([f for f in RAW[table].fields if f.name != "created_at"])
 
 
-def as_landed(df: DataFrame, table: str, load_time: dt.datetime | None = None) -> DataFrame:
+def as_landed(
+    df: DataFrame, table: str, load_time: dt.datetime | None = None, also: Sequence[str] = ()
+) -> DataFrame:
     """Any source as a raw table: missing columns null, the rest cast to text.
 
     ``load_time`` stamps the rows; without it the source's own ``created_at``
-    is kept.
+    is kept.  Columns named in ``also`` come along behind the others.
     """
     present = set(df.columns)
     text = [
@@ -50,7 +52,7 @@ def as_landed(df: DataFrame, table: str, load_time: dt.datetime | None = None) -
         for c in text_schema(table).names
     ]
     stamp = F.col("created_at") if load_time is None else F.lit(load_time)
-    return df.select(*text, stamp.cast("timestamp").alias("created_at"))
+    return df.select(*text, stamp.cast("timestamp").alias("created_at"), *also)
 
 
 def read_raw(
@@ -59,6 +61,7 @@ def read_raw(
     path: str,
     load_time: dt.datetime,
     format: str = "csv",
+    raw_line: str | None = None,
     **options: str,
 ) -> DataFrame:
     """Read delivered files (csv, json, parquet, orc) as a raw table.
@@ -68,12 +71,23 @@ def read_raw(
     null and others are left out.  Without a header the declared order counts.
     Rows that are too short end in nulls, and what is beyond the last column of
     a row that is too long is left out; no row is rejected.
+
+    With ``raw_line``, delimited and json files keep such lines: the column of that
+    name has the line as delivered where it did not fit the columns or could not be
+    read, so nothing of it is lost, and is null where it did.
     """
     reader = spark.read.format(format).options(**options)
     named = format == "csv" and options.get("header", "false").lower() == "true"
     if format in ("csv", "json", "text") and not named:
         reader = reader.schema(text_schema(table))
-    return as_landed(reader.load(path), table, load_time)
+    if raw_line is None or format not in ("csv", "json"):
+        return as_landed(reader.load(path), table, load_time)
+    columns = reader.load(path).columns if named else text_schema(table).names
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, raw_line]])
+    # Fields are only counted where all columns are parsed, whichever are asked for.
+    reader = reader.schema(schema).option("columnNameOfCorruptRecord", raw_line).option("columnPruning", "false")
+    whole = reader.load(path)
+    return as_landed(whole, table, load_time, also=[raw_line])
 
 
 def rows_as_raw(

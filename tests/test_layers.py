@@ -249,6 +249,26 @@ def test_conform_and_stamp(spark):
     assert done.columns == ["a", "b", "created_at", "updated_at"]
 
 
+def test_lines_that_do_not_fit_are_kept_whole(spark, tmp_path):
+    lines = ["O1,I1,2", "O2,I2,3,beyond,more", "O3", 'O4,"I4, quoted",5', ""]
+    (tmp_path / "a.csv").write_text("order_id,order_item_id,quantity\n" + "\n".join(lines))
+    landed = bronze.read_raw(
+        spark, "raw_order_items", str(tmp_path / "a.csv"), LOADED, "csv", raw_line="line", header="true"
+    )
+    assert landed.columns == [*RAW["raw_order_items"].names, "line"]
+    got = {r.order_id: (r.order_item_id, r.quantity, r.line) for r in landed.collect()}
+    assert got == {
+        "O1": ("I1", "2", None),
+        "O2": ("I2", "3", lines[1]),
+        "O3": (None, None, "O3"),
+        "O4": ("I4, quoted", "5", None),
+    }
+    (tmp_path / "b.json").write_text('{"order_id": "O1", "quantity": 2}\n{"order_id": broken\n')
+    landed = bronze.read_raw(spark, "raw_order_items", str(tmp_path / "b.json"), LOADED, "json", raw_line="line")
+    got = [(r.order_id, r.quantity, r.line) for r in landed.collect()]
+    assert got == [("O1", "2", None), (None, None, '{"order_id": broken')]
+
+
 def test_delimited_files_land_by_column_name(spark, tmp_path):
     """Another column order, a missing and an unknown column, short and over-long rows."""
     (tmp_path / "items.csv").write_text(

@@ -24,6 +24,12 @@ def test_every_statement_belongs_to_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def test_every_query_of_tables_has_a_statement():
+    from verification.cases import QUERIES
+
+    assert set(QUERIES) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(set(contract.oracle_sql()) - set(contract.TEXT_SQL)))
 def test_query_equals_its_sql(spark, oracle, name):
     assert difference(spark, oracle, name, FOLDER) is None

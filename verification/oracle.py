@@ -17,6 +17,20 @@ SQL["raw_customers"] = compose("raw_customers", "SELECT * EXCLUDE (created_at) F
 for _t in ("books", "orders", "items", "reviews"):
     SQL[f"raw_{_t}"] = compose(f"raw_{_t}", f"SELECT * FROM raw_{_t}")
 
+_FIELDS = [
+    f"coalesce({f}, '')"
+    for f in "order_id customer_id order_date total_amount payment_method order_status shipping_cost discount_applied".split()
+]
+SQL["raw_lines_kept"] = compose(
+    "raw_orders",
+    f"""SELECT order_id, CASE WHEN NOT short THEN nullif(total_amount, '') END AS total_amount,
+    CASE WHEN NOT short THEN nullif(payment_method, '') END AS payment_method,
+    CASE WHEN long THEN concat_ws(',', {', '.join(_FIELDS)}, 'beyond')
+         WHEN short THEN concat_ws(',', {', '.join(_FIELDS[:3])}) END AS raw_line
+    FROM (SELECT *, k % 7 = 0 AS long, k % 7 <> 0 AND k % 11 = 0 AS short
+          FROM (SELECT *, order_id[2:]::BIGINT AS k FROM raw_orders))""",
+)
+
 _RULES = {
     "customers": (
         "customer_id",
