@@ -34,15 +34,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import partitions, stored
+from shelfmark.llm.tokens import PATTERN
 
 CHUNK = 16_384  # characters from which a text is cut
 OVERLAP = 512
 CHUNKS = 64  # that are cut off a text at a time
 BATCH_CHARS = 4_000_000  # characters of texts in one batch of results
 
-# How the rank files' texts are split before merging; a fixed value.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
 _encodings: dict[str, object] = {}
 _matcher = regex.compile(PATTERN)
 

@@ -45,7 +45,7 @@ def pieces(df: DataFrame, tokenizer: str, end: int, capacity: int, doc_id: str =
             done = 0
             for texts in blocks(x.as_py() for x in batch.column(1)):
                 rows: list[tuple] = []
-                for name, found in zip(names[done:], encoder(tokenizer, "spaced").encode(texts)):
+                for name, found in zip(names[done:], encoder(tokenizer, "bytes").encode(texts)):
                     ids = np.concatenate([found, tail]).astype("<u4")
                     first = (len(ids) - 1) % capacity + 1
                     starts = [0, *range(first, len(ids), capacity)]

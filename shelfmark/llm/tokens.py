@@ -1,14 +1,17 @@
-"""Token ids of whole texts from a public tokenizer, remembering the ids of text chunks.
+"""Token ids of whole texts from a public tokenizer's file.
 
-The library encodes every distinct chunk once per process; a text's ids are those of its
-chunks in a row.  Texts are cut only where the tokenizer's own splitting always cuts, so
-the ids equal those of the whole text, which the tests check.
+``ChunkEncoder``, for tokenizers that drop white space, has the library encode every
+distinct chunk once per process; a text's ids are those of its chunks in a row.  Texts are
+cut only where the tokenizer's own splitting always cuts.  ``ByteEncoder``, for byte-level
+ones, has a faster library merge by the same file's ranks.  The ids equal those that the
+file's own library gives whole texts, which the tests check.
 """
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Callable
+import re
 from itertools import chain
 
 import numpy as np
@@ -17,7 +20,10 @@ from shelfmark.llm.common import ragged
 
 REMEMBERED = 1_000_000  # chunks, after which a process starts anew
 
-_encoders: dict[tuple[str, str], ChunkEncoder] = {}
+# How byte-level tokenizers split texts before merging; a fixed value.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+_encoders: dict[tuple[str, str], ChunkEncoder | ByteEncoder] = {}
 
 
 def word_chunks(text: str) -> list[str]:
@@ -25,46 +31,19 @@ def word_chunks(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-def spaced_chunks(text: str) -> list[str]:
-    """For byte-level tokenizers whose tokens take the space before a word along.
-
-    A single space or line end between other characters always begins a token, a line
-    end stands alone, and the word after it has no space of its own.  Texts with other
-    white space are left whole."""
-    if text.split() != text.replace("\n", " ").split(" "):
-        return [text]
-    pieces = text.replace("\n", " \n ").split(" ")
-    chunks = [" " + p for p in pieces]
-    chunks[0] = pieces[0]
-    if "\n" in text:
-        for i, piece in enumerate(pieces):
-            if piece == "\n":
-                chunks[i] = piece
-                chunks[i + 1] = pieces[i + 1]
-    return chunks
-
-
-CHUNKERS: dict[str, Callable[[str], list[str]]] = {"words": word_chunks, "spaced": spaced_chunks}
-
-
 def lower_word(chunk: str) -> str:
     """For tokenizers that ignore case: plain letters may be lowered beforehand."""
     return chunk.lower() if chunk.isascii() and chunk.isalpha() else chunk
 
 
-PLAIN: dict[str, Callable[[str], str]] = {"words": lower_word, "spaced": str}
-
-
 class ChunkEncoder:
     """Ids of texts by way of their chunks."""
 
-    def __init__(self, path: str, kind: str) -> None:
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks = CHUNKERS[kind]
-        self.plain = PLAIN[kind]
         self._forget()
 
     def _forget(self) -> None:
@@ -79,9 +58,9 @@ class ChunkEncoder:
         the mark, so its ids are put together from both parts' ids."""
         split = {}
         for chunk in chunks:
-            if chunk[-1:] in (".", ",") and chunk[:-1].removeprefix(" ").isalpha():
-                split[chunk] = (self.plain(chunk[:-1]), chunk[-1])
-            elif (plain := self.plain(chunk)) != chunk:
+            if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
+                split[chunk] = (lower_word(chunk[:-1]), chunk[-1])
+            elif (plain := lower_word(chunk)) != chunk:
                 split[chunk] = (plain, "")
         needed = {part for parts in split.values() for part in parts}
         needed.update(c for c in chunks if c not in split)
@@ -117,7 +96,7 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""
-        parts = [self.chunks(t) for t in texts]
+        parts = [word_chunks(t) for t in texts]
         wanted = set().union(*parts)
         if len(self.index) + len(wanted) > REMEMBERED:
             self._forget()
@@ -131,8 +110,50 @@ class ChunkEncoder:
         return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
-def encoder(path: str, kind: str) -> ChunkEncoder:
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes
+    stand for themselves, the others for letters from 256 on, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+class ByteEncoder:
+    """Ids of texts by a byte-level vocabulary, in which a token's id is its rank."""
+
+    def __init__(self, path: str) -> None:
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        added = {t["content"]: t["id"] for t in content["added_tokens"]}
+        letters = byte_letters()
+        ranks = {
+            bytes(letters[c] for c in token): rank
+            for token, rank in content["model"]["vocab"].items()
+            if token not in added
+        }
+        self.added = added
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self.plain = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def _ids(self, text: str) -> list[int]:
+        if self.cut is None or self.cut.search(text) is None:
+            return self.plain(text)
+        # A special token's text is that token, wherever it stands.
+        parts = self.cut.split(text)
+        return [i for p in parts for i in ([self.added[p]] if p in self.added else self.plain(p))]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, as unsigned 32-bit integers."""
+        return [np.array(self._ids(t), np.uint32) for t in texts]
+
+
+ENCODERS = {"words": ChunkEncoder, "bytes": ByteEncoder}
+
+
+def encoder(path: str, kind: str) -> ChunkEncoder | ByteEncoder:
     """This process's encoder for a tokenizer file."""
     if (path, kind) not in _encoders:
-        _encoders[path, kind] = ChunkEncoder(path, kind)
+        _encoders[path, kind] = ENCODERS[kind](path)
     return _encoders[path, kind]
