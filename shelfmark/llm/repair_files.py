@@ -1,8 +1,10 @@
 """Token files compressed by grammar (Re-Pair).
 
 Documents are encoded in ascending order of their ids and written in shards, each a row
-range of the order.  A shard is a series of segments; in a segment, frequent pairs of
-neighbouring symbols are replaced by new symbols again and again.  A segment stores its
+range of the order and as large as ``SHARD_BYTES`` of text, however many tasks there
+are.  A shard is a series of segments; in a segment, repeated pairs of neighbouring
+symbols, of a symbol with itself too, are replaced by new symbols again and again, as long
+as a rule costs less than it saves.  A segment stores its
 rules (two symbols each), the length each rule expands to, the remaining symbols, and
 where each document begins among them.  No rule spans the end of a document, so any
 document can be decoded alone.
@@ -23,11 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import blocks, partitions, ragged
+from shelfmark.llm.common import blocks, ragged
 from shelfmark.llm.tokens import encoder
 
 SEGMENT_IDS = 1_000_000  # a segment is closed when it holds so many ids
-LEAST_COUNT = 400  # a pair gets a rule from so many occurrences in a segment
+LEAST_COUNT = 4  # from so many occurrences a rule's three numbers cost less than they save
+SHARD_BYTES = 8_000_000  # of text, some two segments
 RULES_A_ROUND = 4096
 
 SCHEMA = """shard int, segment int, n_tokens bigint, base bigint, rules binary, lengths binary,
@@ -45,13 +48,14 @@ def _frequent_pairs(codes: np.ndarray, least: int) -> np.ndarray:
 
 
 def _disjoint(pairs: np.ndarray) -> np.ndarray:
-    """Pairs of which no two can overlap: no symbol is a left and a right part."""
+    """Pairs of which no two can overlap: no symbol is a left and a right part, but that a
+    symbol paired with itself is in no other pair."""
     lefts: set[int] = set()
     rights: set[int] = set()
     chosen = []
     for code in pairs.tolist():
         a, b = code >> 32, code & 0xFFFFFFFF
-        if a != b and a not in rights and b not in lefts:
+        if a not in rights and b not in lefts and (a != b or a not in lefts):
             lefts.add(a)
             rights.add(b)
             chosen.append(code)
@@ -60,6 +64,15 @@ def _disjoint(pairs: np.ndarray) -> np.ndarray:
     return np.array(sorted(chosen), np.uint64)
 
 
+def _left_to_right(symbols: np.ndarray, places: np.ndarray, rule: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the second of every two neighbouring places in a run of one symbol."""
+    starts = np.ones(len(places), bool)
+    starts[1:] = places[1:] != places[:-1] + 1
+    within = np.arange(len(places)) - np.flatnonzero(starts)[np.cumsum(starts) - 1]
+    keep = (symbols[places] != symbols[places + 1]) | (within % 2 == 0)
+    return places[keep], rule[keep]
+
+
 def compress(ids: np.ndarray, end: int, base: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """The remaining symbols and the rules; rule k stands for symbol base + k."""
     symbols = ids.astype(np.uint32)
@@ -76,9 +89,9 @@ def compress(ids: np.ndarray, end: int, base: int, least: int = LEAST_COUNT) ->
         at = np.searchsorted(chosen, codes)
         at[at == len(chosen)] = 0
         hit = chosen[at] == codes
-        places = open_[hit]
+        places, rule = _left_to_right(symbols, open_[hit], at[hit])
         symbols = symbols.copy()
-        symbols[places] = (base + made + at[hit]).astype(np.uint32)
+        symbols[places] = (base + made + rule).astype(np.uint32)
         keep = np.ones(len(symbols), bool)
         keep[places + 1] = False
         symbols = symbols[keep]
@@ -127,8 +140,6 @@ class Decoder:
 
 def write(df: DataFrame, path: str, tokenizer: str, end: int, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encode all texts and write them as token files below ``path``."""
-    spark = df.sparkSession
-
     def segments(batches):
         base = encoder(tokenizer, "words").tokenizer.get_vocab_size(with_added_tokens=True)
         shard = TaskContext.get().partitionId()
@@ -174,7 +185,8 @@ def write(df: DataFrame, path: str, tokenizer: str, end: int, doc_id: str = "doc
 
     chosen = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = ["doc_id", F.xxhash64("text")]
-    chosen.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).mapInArrow(
+    size = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chosen.repartitionByRange(max(1, -(-size // SHARD_BYTES)), *order).sortWithinPartitions(*order).mapInArrow(
         segments, SCHEMA
     ).write.parquet(path)
 

@@ -4,27 +4,28 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
 from shelfmark.llm import repair_files
 from shelfmark.llm.common import working_path
 from shelfmark.llm.queries import tokenizer_path
-from shelfmark.llm.tokens import ChunkEncoder
+from shelfmark.llm.tokens import ENCODERS, encoder
 from tests.llm.cases import awkward_rows, documents, with_clashes
 
 PARTS = ["a", "É", "é", " ", " ", "\n", "́", "'s", "'", " 's", "\t", "12", "!", "<|endoftext|>", "中", "\x1c",
          "\x85", "Σ", "İ", "\0", "..", "\r\n", "x\n", "\nT", "\xa0", " ", "Word, ", "word.", "x,y"]
 
 
-@pytest.mark.parametrize(("name", "kind"), [("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "spaced")])
+@pytest.mark.parametrize(("name", "kind"), [("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "bytes")])
 def test_chunked_ids_equal_those_of_whole_texts(name, kind, monkeypatch):
     rng = random.Random(4)
     texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
     texts += [r[1] or "" for r in awkward_rows() if len(r[1] or "") < 50_000]
     plain = Tokenizer.from_file(tokenizer_path(name))
     monkeypatch.setattr("shelfmark.llm.tokens.REMEMBERED", 500)  # forgets again and again
-    encoder = ChunkEncoder(tokenizer_path(name), kind)
+    encoder = ENCODERS[kind](tokenizer_path(name))
     for start in range(0, len(texts), 100):
         part = texts[start : start + 100]
         for text, ids in zip(part, encoder.encode(part)):
@@ -45,9 +46,30 @@ def test_grammar_round_trip_and_lengths():
 
 
 def test_pairs_of_a_round_do_not_overlap():
-    pairs = np.array([(1 << 32) | 2, (2 << 32) | 3, (4 << 32) | 1, (5 << 32) | 5, (1 << 32) | 6], np.uint64)
+    pairs = np.array(
+        [(1 << 32) | 2, (2 << 32) | 3, (4 << 32) | 1, (5 << 32) | 5, (1 << 32) | 6, (5 << 32) | 9, (2 << 32) | 2], np.uint64
+    )
     chosen = {(int(c) >> 32, int(c) & 0xFFFFFFFF) for c in repair_files._disjoint(pairs)}
-    assert chosen == {(1, 2), (1, 6)}
+    assert chosen == {(1, 2), (1, 6), (5, 5)}
+
+
+def test_runs_of_one_symbol_are_paired_left_to_right():
+    ids = np.array([7] * 9 + [1] + [7] * 8 + [5, 7, 7, 5, 7, 7], np.uint32)
+    symbols, rules = repair_files.compress(ids, end=1, base=100, least=3)
+    assert rules.tolist()[0] == [7, 7]
+    lengths = repair_files.expansion_lengths(rules, 100)
+    assert np.array_equal(repair_files.Decoder(rules, lengths, 100).expand(symbols), ids)
+
+
+def test_production_parameters_save_a_third_and_more():
+    """Whole texts of a given table in one segment, with the constants as they are."""
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    words = encoder(tokenizer_path("word_bpe_49k.json"), "words")
+    ids = np.concatenate([np.append(x, np.uint32(1)) for x in words.encode([t or "" for t in texts])])
+    symbols, rules = repair_files.compress(ids, end=1, base=49_408)
+    assert len(symbols) < len(ids) * 2 / 3 and len(symbols) + 3 * len(rules) < len(ids) * 0.75
+    lengths = repair_files.expansion_lengths(rules, 49_408)
+    assert np.array_equal(repair_files.Decoder(rules, lengths, 49_408).expand(symbols), ids)
 
 
 @pytest.mark.parametrize("segment", [1_000_000, 50])
