@@ -251,7 +251,8 @@ def judge(
     ids = trusted_ids.select(F.col(name).cast("bigint").alias("_id")).where("_id IS NOT NULL").distinct()
     ids = stored(ids, "trusted")
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    trusted = docs.join(ids, docs["doc_id"] == ids["_id"], "left_semi")
+    # Joined by id at every size: what is moved then grows as the documents do.
+    trusted = docs.join(ids.hint("merge"), docs["doc_id"] == ids["_id"], "left_semi")
     top = stored(counts(trusted.where("text IS NOT NULL").where(~held_out(F.col("doc_id")))), "counts")
     numbered = docs.withColumn("row", F.monotonically_increasing_id())
     scores = stored(perplexities(numbered, tables(top)), "perplexities")
