@@ -135,16 +135,17 @@ def repeated_chunks(parts: DataFrame) -> DataFrame:
     ``across`` where more than one document has the digest, and ``partner``, the first
     place or, for that, the last.
 
-    Digests meet as one pre-aggregated row per task; only digests seen twice are joined
-    back, and a frequent digest's chunks are split among tasks by the skew join."""
+    Digests are counted alone first, a row for each and task; only chunks of digests seen
+    twice go on, a frequent digest's split among tasks by the skew join, and only these
+    are looked through for the first and last place."""
     place = F.struct("doc_id", "row", "start", "length")
-    seen = parts.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last"))
-    seen = seen.where("n > 1").select(
-        "high", "low", "first", "last", (F.col("first.row") != F.col("last.row")).alias("across")
-    )
+    seen = parts.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low")
+    repeats = stored(parts.join(seen, ["high", "low"], "left_semi"), "repeated-chunks")
+    places = repeats.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    places = places.withColumn("across", F.col("first.row") != F.col("last.row"))
     is_first = (F.col("row") == F.col("first.row")) & (F.col("start") == F.col("first.start"))
     return (
-        parts.join(seen, ["high", "low"])
+        repeats.join(places, ["high", "low"])
         .withColumn("is_first", is_first)
         .withColumn("partner", F.when(F.col("is_first"), F.col("last")).otherwise(F.col("first")).dropFields("doc_id"))
         .select("doc_id", "row", "start", "length", "n_words", "is_first", "across", "partner")
