@@ -16,7 +16,7 @@ from ..schemas import KEYS
 from ..session import sized_shuffles
 from ..sources.bronze import Bronze
 from ..sources.layers import CatalogLayers, PathLayers, publish_views, stamped
-from . import gold
+from . import gold, view_sql
 from .silver import STORED_AS, Silver
 
 
@@ -59,13 +59,16 @@ def rebuild(
     """Write Silver (stamped, in the order of its keys) and the Gold tables, publish the views.
 
     Each table is written once.  Its rows are numbered by their places in the stored files
-    whenever it is read with its key, in a catalog by the view ``<table>_keyed``.
+    whenever it is read with its key, in a catalog by the view ``<table>_keyed``.  A catalog
+    keeps the views as well.
     ``input_bytes``, the stored size of the raw tables, sizes the shuffles.
     """
     with sized_shuffles(layers.spark, input_bytes):
         stored = _written(bronze, as_of, run_time, layers, lenient)
     views = gold_views({name: stored[name] for name in STORED_AS.values()}, as_of)
     publish_views(views)
+    if isinstance(layers, CatalogLayers):
+        layers.store_views("gold", view_sql.statements(layers.database("silver"), as_of))
     return stored | views
 
 

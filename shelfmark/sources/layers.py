@@ -76,13 +76,16 @@ class PathLayers:
 
 
 class CatalogLayers:
-    """Tables in one catalog database per layer, e.g. ``silver_layer.fact_orders``."""
+    """Tables in one catalog database per layer, e.g. ``silver_layer.fact_orders``.
 
-    def __init__(self, spark: SparkSession, naming: str = "{layer}_layer"):
+    New databases are kept in the warehouse, or each in a folder below ``location``."""
+
+    def __init__(self, spark: SparkSession, naming: str = "{layer}_layer", location: str | None = None):
         self.spark = spark
         self.naming = naming
         for layer in LAYERS:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {naming.format(layer=layer)}")
+            place = f" LOCATION '{location}/{layer}'" if location else ""
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}{place}")
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.naming.format(layer=layer)}.{table}"
@@ -121,6 +124,14 @@ class CatalogLayers:
             rows.write.format("parquet").partitionBy(month).saveAsTable(name)
         return self.read(layer, table)
 
+    def store_views(self, layer: str, statements: Mapping[str, str]) -> None:
+        """Keep views in the layer's database, where every session finds them."""
+        for view, statement in statements.items():
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, view)} AS {statement}")
+
+    def database(self, layer: str) -> str:
+        return self.naming.format(layer=layer)
+
     def publish_keyed(self, layer: str, table: str, key: str) -> None:
         """A stored view ``<table>_keyed`` that numbers the table's rows by their places in
         its files; every session sees it."""

@@ -149,6 +149,19 @@ def test_another_session_reads_keyed_tables(spark):
     assert "keyed_staging.fact_orders" not in {f"keyed_staging.{t.name}" for t in spark.catalog.listTables("keyed_staging")}
 
 
+def test_another_session_reads_the_views(spark):
+    layers = CatalogLayers(spark, "views_{layer}")
+    stored = rebuild(small_bronze(spark), rows.AS_OF, dt.datetime(2025, 6, 30, 2), layers)
+    other = spark.newSession()
+    names = [name for name in stored if name.startswith("vw_")]
+    assert len(names) == 7
+    for name in names:
+        kept, built = other.table(f"views_gold.{name}"), stored[name]
+        assert kept.dtypes == built.dtypes, name
+        assert sorted(map(repr, kept.collect())) == sorted(map(repr, built.collect())), name
+    assert "CREATE" in other.sql("SHOW CREATE TABLE views_gold.vw_payment_analysis").first()[0]
+
+
 def files_by_month(root: str) -> dict[str, set[str]]:
     found: dict[str, set[str]] = {}
     for path in glob.glob(f"{root}/order_month=*/*.parquet"):

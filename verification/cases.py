@@ -18,13 +18,13 @@ from pyspark.sql import types as T
 
 from shelfmark.functions import canonical, dates, numbers, rules, scores, segments, text
 from shelfmark.operators import aggregates, dedup, ranking, surrogate
-from shelfmark.plans import gold, gold_by_grain, monthly, originals, quality
+from shelfmark.plans import gold, gold_by_grain, monthly, originals, quality, view_sql
 from shelfmark.plans.silver import Silver
 from shelfmark.session import configure, listing, shared_folder, size_shuffles
 from shelfmark.sources import bronze, commerce
 from shelfmark.sources.bronze import Bronze
 from shelfmark.sources.commerce import AS_OF, bronze_from, read_table
-from shelfmark.sources.layers import PathLayers
+from shelfmark.sources.layers import CatalogLayers, PathLayers
 from shelfmark.sources.quarantine import Quarantine
 from shelfmark.streaming import ingest, merge
 
@@ -300,6 +300,32 @@ register("at_risk_customers", lambda x: gold.at_risk_customers(_customer_analyti
 register("premium_catalogue", lambda x: gold.premium_catalogue(_reviewed(x), 2))
 register("delivered_orders", lambda x: gold.delivered_orders(x.silver.orders, "2001-05"))
 
+
+
+def _through_catalog(view: str) -> Callable[[Context], DataFrame]:
+    """A stored view, read by another session than the one that stored it."""
+
+    def build(x: Context) -> DataFrame:
+        layers = CatalogLayers(x.spark, f"case_{uuid.uuid4().hex[:12]}_{{layer}}", _stream_folder(x))
+        tables = (("dim_customers", "customers"), ("dim_books", "books"), ("fact_orders", "orders"),
+                  ("fact_order_items", "items"), ("fact_reviews", "reviews"))
+        statement = view_sql.statements(layers.database("silver"), AS_OF)[view]
+        for table, short in tables:
+            if table in statement:
+                layers.write("silver", table, getattr(x.silver, short))
+        layers.store_views("gold", {view: statement})
+        found = x.spark.newSession().table(layers.name("gold", view))
+        return x.spark.table(layers.name("gold", view)).select(found.columns)
+
+    return build
+
+
+for _name in (
+    "sales_by_category", "top_selling_books", "customer_analytics", "sales_over_time",
+    "payment_analysis", "geographic_analysis", "review_analytics",
+):
+    register(f"stored_view_{_name}", _through_catalog(f"vw_{_name}"))
+
 # --- Gold without multiplied sums ----------------------------------------------------
 register(
     "top_selling_books_grain_safe",

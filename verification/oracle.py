@@ -819,3 +819,8 @@ SELECT ts::DATE::VARCHAR AS metric_date, count(*) AS total_events,
 FROM events WHERE ts IS NOT NULL GROUP BY ts::DATE"""
 SQL["delivered_orders_by_month"] = SQL["delivered_orders"]
 SQL["daily_metrics_by_month"] = SQL["daily_metrics"]
+for _view in (
+    "sales_by_category", "top_selling_books", "customer_analytics", "sales_over_time",
+    "payment_analysis", "geographic_analysis", "review_analytics",
+):
+    SQL[f"stored_view_{_view}"] = SQL[_view]
