@@ -168,6 +168,8 @@ def test_item_rules(spark):
         (None, "1.50"): D("1.50"),
         ("2", "-1"): D("0.00"),
         ("2", ""): D("0.00"),
+        ("3000000000", "1.50"): None,
+        ("9" * 40, "1.50"): None,
     }
     assert evaluate(spark, ["q", "p"], rules.calculated_subtotal, computed) == computed
     matching = {
@@ -207,6 +209,9 @@ def test_availability(spark):
         ("none", "1"): False,
         ("1", "abc"): False,
         (None, None): False,
+        ("3000000000", "1"): True,
+        ("9" * 40, "1"): True,
+        ("3000000000", "0"): False,
     }
     assert evaluate(spark, ["s", "p"], rules.is_available, cases) == cases
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions import canonical, dates, numbers, rules, scores, segments, text
-from shelfmark.operators import aggregates, dedup, ranking, surrogate
+from shelfmark.operators import aggregates, bitmaps, dedup, mapping, ranking, surrogate
 from shelfmark.plans import gold, gold_by_grain, monthly, originals, quality, view_sql
 from shelfmark.plans.silver import Silver
 from shelfmark.session import configure, listing, shared_folder, size_shuffles
@@ -163,6 +163,20 @@ for _name, _table, _key, _build in [
 ]:
     cleaned(_name, _table, _key, _build)
 
+for _name, _table, _key, _field in [
+    ("canonical_country", "customers", "customer_id", "country"),
+    ("canonical_category", "books", "book_id", "category"),
+    ("canonical_status", "orders", "order_id", "order_status"),
+    ("canonical_language", "books", "book_id", "language_code"),
+    ("canonical_payment", "orders", "order_id", "payment_method"),
+]:
+    register(
+        f"mapped_{_name}",
+        lambda x, n=_name, t=_table, k=_key, f=_field: mapping.with_canonical(
+            x.bronze.tables()[t].select(k, f), mapping.known_spellings(x.spark), f, n
+        ).select(k, n),
+    )
+
 # --- Silver ------------------------------------------------------------------------
 register(
     "dedup_customers",
@@ -200,6 +214,20 @@ def _hashed_keys(x: Context) -> DataFrame:
 
 
 register("surrogate_keys", _keys_by_position)
+
+
+def _monthly_customers(x: Context) -> DataFrame:
+    """Different customers of each month's completed sales, from sets kept by day."""
+    layers = _own_layers(x)
+    customers = surrogate.with_position_key(
+        layers.write("silver", "dim_customers", x.silver.customers, order_by=["customer_id"]), "customer_key"
+    )
+    sales = gold.completed_sales(x.silver.orders).join(customers.select("customer_id", "customer_key"), "customer_id")
+    daily = layers.write("gold", "customers_by_day", bitmaps.key_sets(sales, "customer_key", "order_date"))
+    return bitmaps.distinct_keys(daily, "unique_customers", dates.year_month(c("order_date")).alias("yearmonth"))
+
+
+register("monthly_customers", _monthly_customers)
 register("hashed_surrogate_keys", _hashed_keys)
 
 

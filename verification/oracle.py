@@ -824,3 +824,11 @@ for _view in (
     "payment_analysis", "geographic_analysis", "review_analytics",
 ):
     SQL[f"stored_view_{_view}"] = SQL[_view]
+
+for _name in ("country", "category", "status", "language", "payment"):
+    SQL[f"mapped_canonical_{_name}"] = SQL[f"canonical_{_name}"]
+SQL["monthly_customers"] = compose(
+    "fact_orders",
+    f"""SELECT strftime(order_date, '%Y-%m') AS yearmonth, count(DISTINCT customer_id) AS unique_customers
+    FROM fact_orders WHERE {_COMPLETED} GROUP BY yearmonth""",
+)
