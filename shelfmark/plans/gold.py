@@ -178,13 +178,34 @@ def spend_per_customer(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def _books_per_customer(orders: DataFrame, items: DataFrame) -> DataFrame:
-    bought = items.select("order_id", "book_id").join(
-        valid_orders(orders).select("order_id", "customer_id"), "order_id"
-    )
-    return bought.groupBy("customer_id").agg(
-        F.countDistinct("book_id").alias("unique_books_purchased")
+def purchases_per_customer(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Per customer: amounts of valid orders once for each item, quantity and books.
+
+    Orders meet items once.  The joined rows fold into (customer, book), which counts each
+    book once, and those into customers; orders are counted without their items.
+    """
+    valid = valid_orders(orders)
+    bought = (
+        valid.select("order_id", "customer_id", "total_amount", "order_date")
+        .join(items.select("order_id", "book_id", "quantity"), "order_id", "left")
+        .groupBy("customer_id", "book_id")
+        .agg(
+            total("total_amount").alias("spent"),
+            F.count("total_amount").alias("spent_rows"),
+            F.sum("quantity").alias("quantity"),
+            F.max("order_date").alias("last_order_date"),
+        )
+        .groupBy("customer_id")
+        .agg(
+            total("spent").alias("spent"),
+            F.sum("spent_rows").alias("spent_rows"),
+            F.sum("quantity").alias("quantity"),
+            F.max("last_order_date").alias("last_order_date"),
+            F.count("book_id").alias("unique_books_purchased"),
+        )
     )
+    counted = valid.groupBy("customer_id").agg(F.countDistinct("order_id").alias("total_orders"))
+    return bought.join(counted, "customer_id")
 
 
 def customer_analytics(
@@ -199,8 +220,7 @@ def customer_analytics(
     spent = times(F.col("spent"), repeats)
     joined = (
         customers.select(*_CUSTOMER_COLUMNS)
-        .join(spend_per_customer(orders, items), "customer_id")
-        .join(_books_per_customer(orders, items), "customer_id", "left")
+        .join(purchases_per_customer(orders, items), "customer_id")
         .join(reviews_per(reviews, "customer_id"), "customer_id", "left")
     )
     measured = joined.select(
@@ -209,7 +229,7 @@ def customer_analytics(
         spent.alias("total_spent"),
         ratio(F.col("spent"), F.col("spent_rows"), 2).alias("avg_order_value"),
         ratio(spent, F.col("total_orders"), 2).alias("avg_per_order"),
-        F.coalesce("unique_books_purchased", F.lit(0)).alias("unique_books_purchased"),
+        "unique_books_purchased",
         _or_zero(times(F.col("quantity"), repeats, WHOLE_TOTAL)).alias("total_books_quantity"),
         F.coalesce("total_reviews", F.lit(0)).alias("total_reviews_written"),
         mean_rating().alias("avg_rating_given"),

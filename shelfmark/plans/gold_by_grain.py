@@ -75,17 +75,27 @@ def _customer_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
 def customer_analytics(
     customers: DataFrame, orders: DataFrame, items: DataFrame, reviews: DataFrame, as_of: AsOf
 ) -> DataFrame:
+    valid = valid_orders(orders)
+    spent = valid.groupBy("customer_id").agg(
+        F.count("*").alias("total_orders"),
+        total("total_amount").alias("total_spent"),
+        mean(F.col("total_amount"), 2).alias("avg_order_value"),
+        F.max("order_date").alias("last_order_date"),
+    )
+    # Orders meet items once; folding by book first counts each book once.
     books_bought = (
-        items.select("order_id", "book_id")
-        .join(valid_orders(orders).select("order_id", "customer_id"), "order_id")
+        valid.select("order_id", "customer_id")
+        .join(items.select("order_id", "book_id", "quantity"), "order_id")
+        .groupBy("customer_id", "book_id")
+        .agg(F.sum("quantity").alias("quantity"))
         .groupBy("customer_id")
-        .agg(F.countDistinct("book_id").alias("unique_books_purchased"))
+        .agg(F.count("book_id").alias("unique_books_purchased"), F.sum("quantity").alias("quantity"))
     )
     measured = (
         customers.select(
             "customer_id", "full_name", "city", "state", "age", "registration_date"
         )
-        .join(_customer_orders(orders, items), "customer_id")
+        .join(spent, "customer_id")
         .join(books_bought, "customer_id", "left")
         .join(reviews_per(reviews, "customer_id"), "customer_id", "left")
         .select(
@@ -99,7 +109,7 @@ def customer_analytics(
             "total_spent",
             "avg_order_value",
             F.coalesce("unique_books_purchased", F.lit(0)).alias("unique_books_purchased"),
-            "total_books_quantity",
+            F.coalesce("quantity", F.lit(0)).alias("total_books_quantity"),
             F.coalesce("total_reviews", F.lit(0)).alias("total_reviews_written"),
             _rating_mean(1).alias("avg_rating_given"),
             "last_order_date",
