@@ -41,7 +41,7 @@ RARE_SHARE = 0.02  # words in at most this share of the segments are looked up f
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-case words without the punctuation around and between them."""
+    """Lower-case words without full stops and commas around and between them."""
     if not text:
         return []
     text = text.lower().replace(".", " ").replace(",", " ")

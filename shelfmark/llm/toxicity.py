@@ -246,7 +246,7 @@ def fit(texts: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def score(df: DataFrame, model: Model, text: str = "text", to: str = "score") -> DataFrame:
-    """``df`` with the score of each text, from 0 to 1."""
+    """``df`` with the score of each text, from 0 to 1; a column named ``to`` is replaced."""
 
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
