@@ -135,14 +135,16 @@ def repeated_chunks(parts: DataFrame) -> DataFrame:
     ``across`` where more than one document has the digest, and ``partner``, the first
     place or, for that, the last.
 
-    Digests are counted alone first, a row for each and task; only chunks of digests seen
-    twice go on, a frequent digest's split among tasks by the skew join, and only these
-    are looked through for the first and last place."""
+    Halves of digests are counted alone first, a row for each and task; only chunks of
+    halves seen twice go on, a frequent one's split among tasks by the skew join, and only
+    among these whole digests are compared and the first and last place looked for."""
     place = F.struct("doc_id", "row", "start", "length")
-    seen = parts.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low")
-    repeats = stored(parts.join(seen, ["high", "low"], "left_semi"), "repeated-chunks")
-    places = repeats.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    places = places.withColumn("across", F.col("first.row") != F.col("last.row"))
+    seen = parts.groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select("low")
+    repeats = stored(parts.join(seen, "low", "left_semi"), "repeated-chunks")
+    places = repeats.groupBy("high", "low").agg(
+        F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last")
+    )
+    places = places.where("n > 1").drop("n").withColumn("across", F.col("first.row") != F.col("last.row"))
     is_first = (F.col("row") == F.col("first.row")) & (F.col("start") == F.col("first.start"))
     return (
         repeats.join(places, ["high", "low"])
