@@ -114,3 +114,25 @@ def test_dates_as_text_or_date(spark):
 
     row = spark.range(1).select(day("2024-02-29").alias("a"), day(dt.date(2024, 2, 29)).alias("b")).first()
     assert row.a == row.b == dt.date(2024, 2, 29)
+
+
+def test_rows_are_kept_by_the_keys_that_are_lost(spark, tmp_path):
+    rows = [(1, "a"), (2, "a"), (2, "a"), (3, None), (4, "x"), (5, "x"), (6, "b"), (None, "b")]
+    child = spark.createDataFrame(rows, "id int, k string")
+    parent = spark.createDataFrame([("a",), ("a",), ("b",), (None,), ("unused",)], "k string")
+    written = []
+
+    def store(lost):
+        lost.write.parquet(f"{tmp_path}/lost{len(written)}")
+        written.append(spark.read.parquet(f"{tmp_path}/lost{len(written)}"))
+        return written[-1]
+
+    kept = referential.keep_unless_lost(child, parent, "k", store)
+    expected = referential.keep_referenced(child, parent, "k")
+    in_order = lambda df: sorted(df.select("id", "k").collect(), key=str)
+    assert in_order(kept) == in_order(expected) and kept.count() == 5
+    assert [r.k for r in written[0].collect()] == ["x"]
+    # Whole rows are not shuffled where few keys are lost.
+    assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    none = referential.keep_unless_lost(child, parent.where("k = 'none'"), "k", store)
+    assert none.count() == 0
