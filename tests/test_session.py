@@ -45,3 +45,22 @@ def test_a_cluster_without_a_folder_gets_none():
 def test_skew_handling_is_on(spark):
     for name, value in session.SETTINGS.items():
         assert spark.conf.get(name) == value
+
+
+def test_tasks_get_a_small_share_of_large_tables(spark):
+    for name, most in (("spark.sql.files.maxPartitionBytes", 32), ("spark.sql.adaptive.advisoryPartitionSizeInBytes", 16)):
+        assert spark.conf.get(name) == f"{most}m"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        session.size_shuffles(spark, 2**32, 16 * 2**20)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "256"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_rows_of_one_file_are_spread_over_the_cores(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/t")
+    spread = session.spread(spark.read.parquet(f"{tmp_path}/t"))
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in spread.collect()) == list(range(1000))
+    assert session.spread(spread) is spread
