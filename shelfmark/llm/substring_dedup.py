@@ -26,13 +26,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored
+from shelfmark.llm.common import blocks, ragged, stored
 
 RADIUS = 16  # bytes; chunks have twice as many on average
 MAX_CHUNK = 1024
 MIN_WORDS = 20  # of a passage; single repeated lines such as licences are shorter
 CONTEXT = 384  # bytes to each side in which an anchor is extended
 WINDOW = 32  # bytes that a 32-bit gear hash looks back on
+BLOCK_CHARS = 100_000  # of text cut together inside a task
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 GEAR = np.random.Generator(np.random.PCG64(271828)).integers(0, 1 << 32, 256, np.uint32)
@@ -40,9 +41,12 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
 
-def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """The rolling hash after each byte: the sum of GEAR[byte] << distance over WINDOW bytes."""
+def gear_hashes(data: np.ndarray, without: np.ndarray | None = None) -> np.ndarray:
+    """The rolling hash after each byte: the sum of GEAR[byte] << distance over WINDOW bytes,
+    to which the bytes at the places ``without`` add nothing."""
     hashes = GEAR[data]
+    if without is not None:
+        hashes[without] = 0
     reach = 1
     while reach < WINDOW:
         shifted = hashes.copy()
@@ -54,22 +58,43 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
 
 def chunk_ends(data: np.ndarray) -> list[int]:
     """Ends of the chunks of a text's bytes; each ends behind a white space or the text."""
-    if not len(data):
-        return []
-    spaces = np.flatnonzero(_SPACE[data]) + 1
-    marks = np.flatnonzero(_local_minima(gear_hashes(data))) + 1
-    at = np.searchsorted(spaces, marks)
-    moved = np.append(spaces, len(data))[at]
-    ends: list[int] = []
-    last = 0
-    for end in np.unique(np.append(moved, len(data))).tolist():
-        while end - last > MAX_CHUNK:  # text without a boundary for long
-            last = last + MAX_CHUNK
-            ends.append(last)
-        if end > last:
-            ends.append(end)
-            last = end
-    return ends
+    return _ends_of([data])[2].tolist()
+
+
+def _ends_of(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Chunks of some texts, found together: each one's text, start, end and number of words.
+
+    Between the texts are WINDOW bytes that add nothing to any hash and are no minima."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    begins = np.cumsum(sizes + WINDOW) - sizes - WINDOW
+    lasts = begins + sizes
+    gap = np.zeros(WINDOW, np.uint8)
+    data = np.concatenate([x for t in texts for x in (t, gap)])
+    between = ragged(lasts, np.full(len(texts), WINDOW))
+    hashes = gear_hashes(data, between)
+    hashes[between] = np.iinfo(hashes.dtype).max
+    marks = np.flatnonzero(_local_minima(hashes)) + 1
+    space = _SPACE[data]
+    stop = np.append(space, False)
+    stop[lasts[sizes > 0] - 1] = True
+    stops = np.flatnonzero(stop) + 1
+    keep = np.zeros(len(data) + 1, bool)
+    keep[stops[np.searchsorted(stops, marks)]] = True
+    keep[lasts[sizes > 0]] = True
+    ends = np.flatnonzero(keep)
+    text = np.searchsorted(lasts, ends)
+    starts = np.maximum(np.append(0, ends[:-1])[: len(ends)], begins[text])
+    pieces = -(-(ends - starts) // MAX_CHUNK)  # more than one in text without a boundary for long
+    if len(pieces) and pieces.max() > 1:
+        nth = ragged(np.zeros(len(pieces), np.int64), pieces)
+        text, final = np.repeat(text, pieces), np.repeat(ends, pieces)
+        starts = np.repeat(starts, pieces) + nth * MAX_CHUNK
+        ends = np.minimum(starts + MAX_CHUNK, final)
+    space[between] = True
+    first = ~space
+    first[1:] &= space[:-1]
+    words = np.append(0, np.cumsum(first))
+    return text, starts - begins[text], ends - begins[text], words[ends] - words[starts]
 
 
 def _local_minima(hashes: np.ndarray) -> np.ndarray:
@@ -90,56 +115,61 @@ def numbered(df: DataFrame, doc_id: str, text: str, row: str | None) -> DataFram
     return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), number.cast("bigint").alias("row"))
 
 
+def _cut(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
+    """Chunks of the texts of a column, by blocks of texts: each one's text, start, end,
+    number of words, and the high and low half of its digest."""
+    done = 0
+    for texts in blocks((x.as_py() for x in column), BLOCK_CHARS):
+        raws = [x.encode("utf-8", "surrogatepass") for x in texts]
+        text, starts, ends, words = _ends_of([np.frombuffer(raw, np.uint8) for raw in raws])
+        places = zip(text.tolist(), starts.tolist(), ends.tolist())
+        digests = b"".join([xxhash.xxh3_128_digest(raws[k][a:b].strip()) for k, a, b in places])
+        halves = (np.frombuffer(digests, ">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+        yield text + done, starts, ends, words, halves[::2], halves[1::2]
+        done += len(texts)
+
+
 def chunks(df: DataFrame) -> DataFrame:
     """All chunks of numbered texts: doc_id, row, start and length in bytes, n_words, and the digest's halves."""
 
     def cut(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in range(0, batch.num_rows, 256):
-                part = batch.slice(piece, 256)
-                rows: list[list] = [[] for _ in NAMES]
-                for name, value, number in zip(part.column(0).to_pylist(), part.column(1), part.column(2).to_pylist()):
-                    raw = (value.as_py() or "").encode("utf-8", "surrogatepass")
-                    data = np.frombuffer(raw, np.uint8)
-                    ends = chunk_ends(data)
-                    if not ends:
-                        continue
-                    space = _SPACE[data]
-                    begins_word = ~space
-                    begins_word[1:] &= space[:-1]
-                    words = np.concatenate([[0], np.cumsum(begins_word)])[ends]
-                    starts = [0, *ends[:-1]]
-                    digests = [xxhash.xxh3_128_intdigest(raw[a:b].strip()) for a, b in zip(starts, ends)]
-                    for column, values in zip(
-                        rows,
-                        (
-                            [name] * len(ends), [number] * len(ends), starts, np.diff([0, *ends]).tolist(),
-                            np.diff(words, prepend=0).tolist(),
-                            [(d >> 64) - (1 << 63) for d in digests], [(d & (1 << 64) - 1) - (1 << 63) for d in digests],
-                        ),
-                    ):
-                        column += values
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, TYPES)], NAMES)
+            for text, starts, ends, words, high, low in _cut(batch.column(1)):
+                own = [batch.column(c).take(pa.array(text)) for c in (0, 2)]
+                found = (starts, ends - starts, words, high, low)
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(x).cast(t) for x, t in zip(found, TYPES[2:]))], NAMES)
 
     return df.select("doc_id", "text", "row").mapInArrow(
         cut, "doc_id bigint, row bigint, start bigint, length int, n_words int, high bigint, low bigint"
     )
 
 
+def half_digests(df: DataFrame) -> DataFrame:
+    """The low halves alone of the digests of all chunks of numbered texts."""
+
+    def cut(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for found in _cut(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(found[-1])], ["low"])
+
+    return df.select("text").mapInArrow(cut, "low bigint")
+
+
 NAMES = ["doc_id", "row", "start", "length", "n_words", "high", "low"]
 TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
 
 
-def repeated_chunks(parts: DataFrame) -> DataFrame:
+def repeated_chunks(parts: DataFrame, halves: DataFrame | None = None) -> DataFrame:
     """The chunks whose digest occurs more than once, with ``is_first`` for the kept place,
     ``across`` where more than one document has the digest, and ``partner``, the first
     place or, for that, the last.
 
     Halves of digests are counted alone first, a row for each and task; only chunks of
     halves seen twice go on, a frequent one's split among tasks by the skew join, and only
-    among these whole digests are compared and the first and last place looked for."""
+    among these whole digests are compared and the first and last place looked for.
+    ``halves`` are the chunks' halves where they come cheaper than the chunks."""
     place = F.struct("doc_id", "row", "start", "length")
-    seen = parts.groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select("low")
+    seen = (parts if halves is None else halves).groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select("low")
     repeats = stored(parts.join(seen, "low", "left_semi"), "repeated-chunks")
     places = repeats.groupBy("high", "low").agg(
         F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last")
@@ -329,7 +359,7 @@ def documents(
     words of one that other documents share, all their words, the words to be removed as
     later places, and the byte spans to remove, in order."""
     texts = numbered(df, doc_id, text, row)
-    runs = stored(anchors(repeated_chunks(chunks(texts))), "anchors")
+    runs = stored(anchors(repeated_chunks(chunks(texts), half_digests(texts))), "anchors")
     found = _extensions(texts, _sides(runs))
     found = found.groupBy("row", "start").agg(
         *(F.max(F.when(F.col("left") == (name == "left"), F.struct("words", "reached"))).alias(f"more_{name}") for name in ("left", "right"))

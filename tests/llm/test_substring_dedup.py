@@ -101,3 +101,27 @@ def test_query_returns_repeats_within_a_document(spark, tmp_path):
 
 def test_empty_table(spark):
     assert substring_dedup.documents(documents(spark, [])).count() == 0
+
+
+def test_texts_cut_together_are_cut_as_alone():
+    rng = np.random.default_rng(3)
+    texts = [b"", b"a", b"  ", b"x" * 3000, b"word " * 40]
+    texts += [bytes(rng.choice(np.frombuffer(b"abcdefgh  \n", np.uint8), n)) for n in (5, 31, 33, 1000, 4000)]
+    texts += [bytes(rng.integers(97, 123, 5000, np.uint8)), b""]
+    number, starts, ends, words = substring_dedup._ends_of([np.frombuffer(t, np.uint8) for t in texts])
+    for k, raw in enumerate(texts):
+        mine = number == k
+        alone = substring_dedup.chunk_ends(np.frombuffer(raw, np.uint8))
+        assert ends[mine].tolist() == alone and starts[mine].tolist() == [0, *alone][: len(alone)]
+        assert b"".join(raw[a:b] for a, b in zip(starts[mine], ends[mine])) == raw
+        assert words[mine].sum() == len(raw.split())
+        assert all(b - a <= substring_dedup.MAX_CHUNK for a, b in zip(starts[mine], ends[mine]) if b"x" * 50 in raw)
+        assert all(raw[b - 1 : b].isspace() or b == len(raw) or b - a == substring_dedup.MAX_CHUNK for a, b in zip(starts[mine], ends[mine]))
+
+
+def test_half_digests_are_those_of_the_chunks(spark):
+    rows = [(1, "one two three " * 30), (2, None), (3, ""), (None, "é ü " * 500), (5, "y" * 2500)]
+    texts = substring_dedup.numbered(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", None)
+    parts = substring_dedup.chunks(texts).collect()
+    assert sorted(r.low for r in parts) == sorted(r.low for r in substring_dedup.half_digests(texts).collect())
+    assert {r.doc_id for r in parts} == {1, None, 5}
