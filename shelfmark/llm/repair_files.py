@@ -86,10 +86,16 @@ def compress(ids: np.ndarray, end: int, base: int, least: int = LEAST_COUNT) ->
         chosen = _disjoint(_frequent_pairs(codes, least))
         if not len(chosen):
             break
+        # Only pairs of a left and a right part can be chosen ones.
+        left, right = np.zeros((2, int(symbols.max()) + 1), bool)
+        left[chosen >> np.uint64(32)] = True
+        right[chosen & np.uint64(0xFFFFFFFF)] = True
+        maybe = np.flatnonzero(left[symbols[open_]] & right[symbols[open_ + 1]])
+        codes = codes[maybe]
         at = np.searchsorted(chosen, codes)
         at[at == len(chosen)] = 0
         hit = chosen[at] == codes
-        places, rule = _left_to_right(symbols, open_[hit], at[hit])
+        places, rule = _left_to_right(symbols, open_[maybe[hit]], at[hit])
         symbols = symbols.copy()
         symbols[places] = (base + made + rule).astype(np.uint32)
         keep = np.ones(len(symbols), bool)
