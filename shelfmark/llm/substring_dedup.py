@@ -117,7 +117,7 @@ def numbered(df: DataFrame, doc_id: str, text: str, row: str | None) -> DataFram
 
 def _cut(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
     """Chunks of the texts of a column, by blocks of texts: each one's text, start, end,
-    number of words, and the high and low half of its digest."""
+    number of words, and 32 bits of the high half and the low half of its digest."""
     done = 0
     for texts in blocks((x.as_py() for x in column), BLOCK_CHARS):
         raws = [x.encode("utf-8", "surrogatepass") for x in texts]
@@ -125,12 +125,13 @@ def _cut(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
         places = zip(text.tolist(), starts.tolist(), ends.tolist())
         digests = b"".join([xxhash.xxh3_128_digest(raws[k][a:b].strip()) for k, a, b in places])
         halves = (np.frombuffer(digests, ">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
-        yield text + done, starts, ends, words, halves[::2], halves[1::2]
+        yield text + done, starts, ends, words, halves[::2] >> 32, halves[1::2]
         done += len(texts)
 
 
 def chunks(df: DataFrame) -> DataFrame:
-    """All chunks of numbered texts: doc_id, row, start and length in bytes, n_words, and the digest's halves."""
+    """All chunks of numbered texts: doc_id, row, start and length in bytes, n_words, and 96 bits of the
+    digest, which any two of a billion different chunks share with a chance of about 1e-11."""
 
     def cut(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +141,7 @@ def chunks(df: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*own, *(pa.array(x).cast(t) for x, t in zip(found, TYPES[2:]))], NAMES)
 
     return df.select("doc_id", "text", "row").mapInArrow(
-        cut, "doc_id bigint, row bigint, start bigint, length int, n_words int, high bigint, low bigint"
+        cut, "doc_id bigint, row bigint, start bigint, length int, n_words int, high int, low bigint"
     )
 
 
@@ -156,7 +157,7 @@ def half_digests(df: DataFrame) -> DataFrame:
 
 
 NAMES = ["doc_id", "row", "start", "length", "n_words", "high", "low"]
-TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
 
 
 def repeated_chunks(parts: DataFrame, halves: DataFrame | None = None) -> DataFrame:
