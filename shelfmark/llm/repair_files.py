@@ -37,14 +37,34 @@ SCHEMA = """shard int, segment int, n_tokens bigint, base bigint, rules binary,
     symbols binary, doc_ids array<bigint>, doc_starts array<bigint>"""
 
 
-def _frequent_pairs(codes: np.ndarray, least: int) -> np.ndarray:
-    """Pair codes that occur ``least`` times or more, most frequent first."""
-    # Buckets of pairs first: most pairs are in none that is large enough.
-    bucket = (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
-    counts = np.bincount(bucket.astype(np.int64), minlength=1 << 16)
-    pairs, counts = np.unique(codes[counts[bucket] >= least], return_counts=True)
-    pairs, counts = pairs[counts >= least], counts[counts >= least]
-    return pairs[np.lexsort((pairs, -counts))]
+def _frequent_pairs(left: np.ndarray, right: np.ndarray, places: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Pairs that occur ``least`` times or more, as ascending codes, how often each does,
+    and where: the places of one pair after those of another, ascending."""
+    wide = int(max(left.max(initial=0), right.max(initial=0))).bit_length()
+    far = int(places.max(initial=0)).bit_length()
+    if 2 * wide + far <= 64:
+        # Both in one number, which sorts faster than an order is found.
+        both = left.astype(np.uint64)
+        both <<= np.uint64(wide)
+        both |= right
+        both <<= np.uint64(far)
+        both |= places.astype(np.uint64)
+        both.sort()
+        places, codes = both, both >> np.uint64(far)
+    else:
+        wide, far = 32, 63
+        codes = (left.astype(np.uint64) << np.uint64(32)) | right
+        order = np.argsort(codes, kind="stable")
+        places, codes = places[order].astype(np.uint64), codes[order]
+    first = np.ones(len(codes), bool)
+    first[1:] = codes[1:] != codes[:-1]
+    starts = np.flatnonzero(first)
+    counts = np.diff(starts, append=len(codes))
+    often = counts >= least
+    places = places[np.repeat(often, counts)] & np.uint64((1 << far) - 1)
+    pairs = codes[starts[often]]
+    pairs = ((pairs >> np.uint64(wide)) << np.uint64(32)) | (pairs & np.uint64((1 << wide) - 1))
+    return pairs, counts[often], places.astype(np.int64)
 
 
 def _disjoint(pairs: np.ndarray) -> np.ndarray:
@@ -74,33 +94,35 @@ def _left_to_right(symbols: np.ndarray, places: np.ndarray, rule: np.ndarray) ->
 
 
 def compress(ids: np.ndarray, end: int, base: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
-    """The remaining symbols and the rules; rule k stands for symbol base + k."""
+    """The remaining symbols and the rules; rule k stands for symbol base + k.
+
+    Symbols that stay become no new neighbours of each other, so a pair that is rare in one
+    round never is frequent later.  A round only looks at the places of the last round's
+    frequent pairs and at new symbols with their neighbours."""
     symbols = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
     made = 0
+    look = np.ones(len(symbols), bool)
     while len(symbols) > 1:
-        wide = symbols.astype(np.uint64)
-        codes = (wide[:-1] << np.uint64(32)) | wide[1:]
-        open_ = np.flatnonzero((symbols[:-1] != end) & (symbols[1:] != end))
-        codes = codes[open_]
-        chosen = _disjoint(_frequent_pairs(codes, least))
+        open_ = np.flatnonzero(look[:-1])
+        left, right = symbols[open_], symbols[open_ + 1]
+        inside = (left != end) & (right != end)
+        pairs, counts, places = _frequent_pairs(left[inside], right[inside], open_[inside], least)
+        chosen = _disjoint(pairs[np.argsort(-counts, kind="stable")])
         if not len(chosen):
             break
-        # Only pairs of a left and a right part can be chosen ones.
-        left, right = np.zeros((2, int(symbols.max()) + 1), bool)
-        left[chosen >> np.uint64(32)] = True
-        right[chosen & np.uint64(0xFFFFFFFF)] = True
-        maybe = np.flatnonzero(left[symbols[open_]] & right[symbols[open_ + 1]])
-        codes = codes[maybe]
-        at = np.searchsorted(chosen, codes)
-        at[at == len(chosen)] = 0
-        hit = chosen[at] == codes
-        places, rule = _left_to_right(symbols, open_[maybe[hit]], at[hit])
-        symbols = symbols.copy()
-        symbols[places] = (base + made + rule).astype(np.uint32)
+        look[:] = False
+        look[places] = True
+        taken = np.isin(pairs, chosen, assume_unique=True)
+        found = places[np.repeat(taken, counts)]
+        found, rule = _left_to_right(symbols, found, np.repeat(np.arange(len(chosen)), counts[taken]))
+        symbols[found] = (base + made + rule).astype(np.uint32)
         keep = np.ones(len(symbols), bool)
-        keep[places + 1] = False
-        symbols = symbols[keep]
+        keep[found + 1] = False
+        symbols, look = symbols[keep], look[keep]
+        new = np.flatnonzero(symbols >= base + made)
+        look[new] = True
+        look[np.maximum(new - 1, 0)] = True
         rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
         made += len(chosen)
     return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)

@@ -1,8 +1,9 @@
 """Token ids of whole texts from a public tokenizer's file.
 
 ``ChunkEncoder``, for tokenizers that drop white space, has the library encode every
-distinct chunk once per process; a text's ids are those of its chunks in a row.  Texts are
-cut only where the tokenizer's own splitting always cuts.  ``ByteEncoder``, for byte-level
+distinct chunk once per process, many in one call's text; a text's ids are those of its
+chunks in a row.  Texts are cut only where the tokenizer's own splitting always cuts.
+``ByteEncoder``, for byte-level
 ones, has a faster library merge by the same file's ranks.  The ids equal those that the
 file's own library gives whole texts, which the tests check.
 """
@@ -12,13 +13,21 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain
+import string
+import unicodedata
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from shelfmark.llm.common import ragged
 
 REMEMBERED = 1_000_000  # chunks, after which a process starts anew
+TOGETHER = 100  # chunks encoded as one text
+BETWEEN = "!"  # stands between them
+MARKS = string.punctuation  # what no letter composes with
 
 # How byte-level tokenizers split texts before merging; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -26,14 +35,38 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _encoders: dict[tuple[str, str], ChunkEncoder | ByteEncoder] = {}
 
 
-def word_chunks(text: str) -> list[str]:
+def word_chunks(texts: list[str]) -> pa.Array:
     """For tokenizers that drop white space: cut at spaces and line ends."""
-    return text.replace("\n", " ").split(" ")
+    return pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
 
 
-def lower_word(chunk: str) -> str:
-    """For tokenizers that ignore case: plain letters may be lowered beforehand."""
-    return chunk.lower() if chunk.isascii() and chunk.isalpha() else chunk
+def stays_letters(chunk: str) -> bool:
+    """Whether composing and lowering leaves letters alone; some letters fall into a
+    letter and a mark, which belongs to the marks behind it."""
+    if not chunk.isalpha():
+        return False
+    return chunk.isascii() or unicodedata.normalize("NFC", chunk).lower().isalpha()
+
+
+def without_marks(chunks: pa.Array) -> tuple[pa.Array, np.ndarray, list[str]]:
+    """The chunks without the marks behind words of letters, which are always cut from
+    these, and those marks with their chunks' places.  For tokenizers that ignore case:
+    plain letters may be lowered beforehand."""
+    stems = pc.utf8_rtrim(chunks, characters=MARKS)
+    plain = pc.ascii_is_alpha(stems).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(stems).to_numpy()
+    marked = pc.binary_length(chunks).to_numpy() > sizes
+    unsure = np.flatnonzero(marked & ~plain)
+    marked[unsure] = np.fromiter(map(stays_letters, _strings(stems.take(unsure))), bool, len(unsure))
+    stems = pc.if_else(plain | marked, stems, chunks)
+    stems = pc.if_else(plain, pc.ascii_lower(stems), stems)
+    marked = np.flatnonzero(marked)
+    whole = pc.cast(chunks.take(marked), pa.large_binary()).to_numpy(zero_copy_only=False)
+    return stems, marked, [chunk[size:].decode() for chunk, size in zip(whole.tolist(), sizes[marked].tolist())]
+
+
+def _strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
 
 
 class ChunkEncoder:
@@ -41,9 +74,17 @@ class ChunkEncoder:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+        # Plain lower-case words are one piece each, which the file's model alone encodes.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        for token, i in self.tokenizer.get_vocab().items() if suffix else ():
+            self.ends_word[i] = token.endswith(suffix)
         self._forget()
 
     def _forget(self) -> None:
@@ -53,34 +94,47 @@ class ChunkEncoder:
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode new chunks.  A letter word with a mark behind it is always cut before
-        the mark, so its ids are put together from both parts' ids."""
-        split = {}
-        for chunk in chunks:
-            if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
-                split[chunk] = (lower_word(chunk[:-1]), chunk[-1])
-            elif (plain := lower_word(chunk)) != chunk:
-                split[chunk] = (plain, "")
-        needed = {part for parts in split.values() for part in parts}
-        needed.update(c for c in chunks if c not in split)
-        fresh = [c for c in needed if c not in self.index]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+    @staticmethod
+    def _batch(library: Tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of all texts in a row, and how many each has."""
+        found = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self._add(fresh, lengths, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())))
-        for chunk, (word, mark) in split.items():
-            if not mark:
-                self.index[chunk] = self.index[word]
-        marked = [c for c, (_, mark) in split.items() if mark and c not in self.index]
-        parts = chain.from_iterable(split[c] for c in marked)
-        at = np.fromiter(map(self.index.__getitem__, parts), np.int64, 2 * len(marked))
-        self._add(marked, self.lengths[at].reshape(-1, 2).sum(axis=1), self._ids(at))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+
+    def _add_words(self, words: list[str]) -> None:
+        """Encode plain lower-case words, many at a time; each ends with an id that ends words."""
+        texts = [" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        ids, _ = self._batch(self.merges, texts)
+        ends = np.flatnonzero(self.ends_word[ids])
+        if len(ends) == len(words):
+            self._add(words, ids, np.diff(ends, prepend=-1))
+        else:  # a model without such ids
+            self._add(words, *self._batch(self.tokenizer, words))
+
+    def _add_others(self, chunks: list[str]) -> None:
+        """Encode chunks, many at a time, with a mark behind each that none of them holds."""
+        held = [c for c in chunks if BETWEEN in c]
+        self._add(held, *self._batch(self.tokenizer, held))
+        chunks = [c for c in chunks if BETWEEN not in c]
+        texts = [f" {BETWEEN} ".join([*chunks[i : i + TOGETHER], ""]) for i in range(0, len(chunks), TOGETHER)]
+        ids, _ = self._batch(self.tokenizer, texts)
+        ends = np.flatnonzero(ids == self.between[0]) if len(self.between) == 1 else []
+        if len(ends) == len(chunks):
+            self._add(chunks, np.delete(ids, ends), np.diff(ends, prepend=-1) - 1)
+        else:  # a tokenizer that uses the mark's id otherwise
+            self._add(chunks, *self._batch(self.tokenizer, chunks))
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode new chunks."""
+        words = [c.isascii() and c.isalpha() and c.islower() for c in chunks]
+        self._add_words(list(compress(chunks, words)))
+        self._add_others(list(compress(chunks, map(not_, words))))
 
     def _ids(self, at: np.ndarray) -> np.ndarray:
         """The ids of the chunks at these places, in a row."""
         return self.flat[ragged(self.starts[at], self.lengths[at])]
 
-    def _add(self, chunks: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+    def _add(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         n = self.known
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
@@ -96,17 +150,27 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""
-        parts = [word_chunks(t) for t in texts]
-        wanted = set().union(*parts)
+        parts = word_chunks(texts)
+        distinct = parts.flatten().dictionary_encode()
+        stems, marked, marks = without_marks(distinct.dictionary)
+        stems = stems.dictionary_encode()
+        wanted = [*_strings(stems.dictionary), "", *marks]
         if len(self.index) + len(wanted) > REMEMBERED:
             self._forget()
-        if missing := [c for c in wanted if c not in self.index]:
-            self._learn(missing)
-        places = [list(map(self.index.__getitem__, part)) for part in parts]
-        counts = np.fromiter(map(len, places), np.int64, len(places))
-        at = np.fromiter(chain.from_iterable(places), np.int64, int(counts.sum()))
-        ids = self._ids(at)
-        ends = np.concatenate([[0], np.cumsum(self.lengths[at])])[np.concatenate([[0], np.cumsum(counts)])]
+        places = list(map(self.index.get, wanted))
+        if missing := {c for c, place in zip(wanted, places) if place is None}:
+            self._learn(list(missing))
+            places = [self.index[c] if place is None else place for c, place in zip(wanted, places)]
+        places = np.array(places, np.int64)
+        # The distinct chunks' ids, each its stem's and its marks', then those of all chunks.
+        known = len(stems.dictionary)
+        at = np.full((len(distinct.dictionary), 2), places[known])
+        at[:, 0] = places[stems.indices.to_numpy()]
+        at[marked, 1] = places[known + 1 :]
+        flat, lengths = self._ids(at.ravel()), self.lengths[at].sum(axis=1)
+        chunks = distinct.indices.to_numpy()
+        ids = flat[ragged((np.cumsum(lengths) - lengths)[chunks], lengths[chunks])]
+        ends = np.concatenate([[0], np.cumsum(lengths[chunks])])[parts.offsets.to_numpy()]
         return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
