@@ -37,11 +37,15 @@ SCHEMA = """shard int, segment int, n_tokens bigint, base bigint, rules binary,
     symbols binary, doc_ids array<bigint>, doc_starts array<bigint>"""
 
 
-def _frequent_pairs(left: np.ndarray, right: np.ndarray, places: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """Pairs that occur ``least`` times or more, as ascending codes, how often each does,
-    and where: the places of one pair after those of another, ascending."""
-    wide = int(max(left.max(initial=0), right.max(initial=0))).bit_length()
-    far = int(places.max(initial=0)).bit_length()
+def _frequent_pairs(
+    symbols: np.ndarray, places: np.ndarray, end: int, least: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs without the end that begin at ``least`` or more of these places, as ascending
+    codes, how often each does, and where: the places of one pair after those of another,
+    ascending."""
+    left, right = symbols[places], symbols[places + 1]
+    wide = int(symbols.max()).bit_length()
+    far = len(symbols).bit_length()
     if 2 * wide + far <= 64:
         # Both in one number, which sorts faster than an order is found.
         both = left.astype(np.uint64)
@@ -60,11 +64,11 @@ def _frequent_pairs(left: np.ndarray, right: np.ndarray, places: np.ndarray, lea
     first[1:] = codes[1:] != codes[:-1]
     starts = np.flatnonzero(first)
     counts = np.diff(starts, append=len(codes))
-    often = counts >= least
-    places = places[np.repeat(often, counts)] & np.uint64((1 << far) - 1)
-    pairs = codes[starts[often]]
+    pairs = codes[starts]
     pairs = ((pairs >> np.uint64(wide)) << np.uint64(32)) | (pairs & np.uint64((1 << wide) - 1))
-    return pairs, counts[often], places.astype(np.int64)
+    often = (counts >= least) & (pairs >> np.uint64(32) != end) & (pairs & np.uint64(0xFFFFFFFF) != end)
+    places = places[np.repeat(often, counts)] & np.uint64((1 << far) - 1)
+    return pairs[often], counts[often], places.astype(np.int64)
 
 
 def _disjoint(pairs: np.ndarray) -> np.ndarray:
@@ -104,10 +108,7 @@ def compress(ids: np.ndarray, end: int, base: int, least: int = LEAST_COUNT) ->
     made = 0
     look = np.ones(len(symbols), bool)
     while len(symbols) > 1:
-        open_ = np.flatnonzero(look[:-1])
-        left, right = symbols[open_], symbols[open_ + 1]
-        inside = (left != end) & (right != end)
-        pairs, counts, places = _frequent_pairs(left[inside], right[inside], open_[inside], least)
+        pairs, counts, places = _frequent_pairs(symbols, np.flatnonzero(look[:-1]), end, least)
         chosen = _disjoint(pairs[np.argsort(-counts, kind="stable")])
         if not len(chosen):
             break
@@ -130,10 +131,30 @@ def compress(ids: np.ndarray, end: int, base: int, least: int = LEAST_COUNT) ->
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """How many ids each rule stands for; rules only use earlier ones."""
-    lengths: list[int] = []
-    for a, b in rules.tolist():
-        lengths.append((1 if a < base else lengths[a - base]) + (1 if b < base else lengths[b - base]))
-    return np.array(lengths, np.uint32)
+    lengths = np.zeros(len(rules) + 1, np.int64)  # the last stands for plain ids
+    parts = _parts(rules, base)
+    while True:
+        lengths[-1] = 1
+        longer = lengths[parts].sum(axis=1)
+        if np.array_equal(longer, lengths[:-1]):
+            return longer.astype(np.uint32)
+        lengths[:-1] = longer
+
+
+def _parts(rules: np.ndarray, base: int) -> np.ndarray:
+    """The rules that each rule's symbols stand for, and one more for plain ids."""
+    return np.where(rules < base, len(rules), rules.astype(np.int64) - base)
+
+
+def _levels(rules: np.ndarray, base: int) -> np.ndarray:
+    """How many rules lie within each other, for each rule."""
+    levels = np.zeros(len(rules) + 1, np.int64)
+    parts = _parts(rules, base)
+    while True:
+        higher = levels[parts].max(axis=1, initial=0) + 1
+        if np.array_equal(higher, levels[:-1]):
+            return higher
+        levels[:-1] = higher
 
 
 class Decoder:
@@ -144,16 +165,17 @@ class Decoder:
         self.lengths = lengths.astype(np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.zeros(int(self.lengths.sum()), np.uint32)
-        for k, (a, b) in enumerate(rules.tolist()):
-            at = int(self.starts[k])
-            for part in (a, b):
-                if part < base:
-                    self.flat[at] = part
-                    at += 1
-                else:
-                    start, length = self.starts[part - base], self.lengths[part - base]
-                    self.flat[at : at + length] = self.flat[start : start + length]
-                    at += int(length)
+        levels = _levels(rules, base)
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            here = np.flatnonzero(levels == level)
+            self.flat[ragged(self.starts[here], self.lengths[here])] = self.expand(rules[here].ravel())
+
+    def sizes(self, symbols: np.ndarray) -> np.ndarray:
+        """How many ids each symbol stands for."""
+        sizes = np.ones(len(symbols), np.int64)
+        ruled = symbols >= self.base
+        sizes[ruled] = self.lengths[symbols[ruled] - self.base]
+        return sizes
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         """The ids that a run of symbols stands for."""
@@ -233,9 +255,11 @@ def decoded(row: dict) -> Iterator[tuple[int | None, np.ndarray]]:
     symbols = np.frombuffer(row["symbols"], "<u4")
     rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
     decoder = Decoder(rules, np.frombuffer(row["lengths"], "<u4"), row["base"])
-    bounds = [*row["doc_starts"], len(symbols)]
+    ids = decoder.expand(symbols)
+    before = np.concatenate([[0], np.cumsum(decoder.sizes(symbols))])
+    bounds = before[[*row["doc_starts"], len(symbols)]].tolist()
     for name, start, stop in zip(row["doc_ids"], bounds, bounds[1:]):
-        yield name, decoder.expand(symbols[start:stop])
+        yield name, ids[start:stop]
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,7 @@ import os
 import re
 import string
 import unicodedata
-from itertools import chain, compress
+from itertools import chain, compress, repeat
 from operator import not_
 
 import numpy as np
@@ -28,6 +28,7 @@ REMEMBERED = 1_000_000  # chunks, after which a process starts anew
 TOGETHER = 100  # chunks encoded as one text
 BETWEEN = "!"  # stands between them
 MARKS = string.punctuation  # what no letter composes with
+PROBE = "naïve страница 漢字"
 
 # How byte-level tokenizers split texts before merging; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -40,12 +41,15 @@ def word_chunks(texts: list[str]) -> pa.Array:
     return pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
 
 
-def stays_letters(chunk: str) -> bool:
-    """Whether composing and lowering leaves letters alone; some letters fall into a
-    letter and a mark, which belongs to the marks behind it."""
+def plain_word(chunk: str) -> str:
+    """The word as composing and lowering leave it, or nothing unless it then is of letters
+    alone: some letters fall into a letter and a mark, which belongs to marks behind it."""
     if not chunk.isalpha():
-        return False
-    return chunk.isascii() or unicodedata.normalize("NFC", chunk).lower().isalpha()
+        return ""
+    if chunk.isascii():
+        return chunk.lower()
+    word = unicodedata.normalize("NFC", chunk).lower()
+    return word if word.isalpha() and "Σ" not in chunk else ""  # whose lower form has two shapes
 
 
 def without_marks(chunks: pa.Array) -> tuple[pa.Array, np.ndarray, list[str]]:
@@ -57,7 +61,7 @@ def without_marks(chunks: pa.Array) -> tuple[pa.Array, np.ndarray, list[str]]:
     sizes = pc.binary_length(stems).to_numpy()
     marked = pc.binary_length(chunks).to_numpy() > sizes
     unsure = np.flatnonzero(marked & ~plain)
-    marked[unsure] = np.fromiter(map(stays_letters, _strings(stems.take(unsure))), bool, len(unsure))
+    marked[unsure] = np.fromiter(map(bool, map(plain_word, _strings(stems.take(unsure)))), bool, len(unsure))
     stems = pc.if_else(plain | marked, stems, chunks)
     stems = pc.if_else(plain, pc.ascii_lower(stems), stems)
     marked = np.flatnonzero(marked)
@@ -78,12 +82,15 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
-        # Plain lower-case words are one piece each, which the file's model alone encodes.
+        # Plain words are one piece each, which the file's model encodes without more rules.
         self.merges = Tokenizer(self.tokenizer.model)
-        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        same = self.merges.encode(PROBE).ids == self.tokenizer.encode(PROBE, add_special_tokens=False).ids
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
-        for token, i in self.tokenizer.get_vocab().items() if suffix else ():
+        for token, i in self.tokenizer.get_vocab().items() if suffix and same else ():
             self.ends_word[i] = token.endswith(suffix)
         self._forget()
 
@@ -101,15 +108,15 @@ class ChunkEncoder:
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
 
-    def _add_words(self, words: list[str]) -> None:
-        """Encode plain lower-case words, many at a time; each ends with an id that ends words."""
+    def _add_words(self, chunks: list[str], words: list[str]) -> None:
+        """Encode chunks by their plain words, many at a time; each word's last id ends words."""
         texts = [" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
         ids, _ = self._batch(self.merges, texts)
         ends = np.flatnonzero(self.ends_word[ids])
         if len(ends) == len(words):
-            self._add(words, ids, np.diff(ends, prepend=-1))
+            self._add(chunks, ids, np.diff(ends, prepend=-1))
         else:  # a model without such ids
-            self._add(words, *self._batch(self.tokenizer, words))
+            self._add(chunks, *self._batch(self.tokenizer, chunks))
 
     def _add_others(self, chunks: list[str]) -> None:
         """Encode chunks, many at a time, with a mark behind each that none of them holds."""
@@ -126,10 +133,20 @@ class ChunkEncoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Encode new chunks."""
-        words = [c.isascii() and c.isalpha() and c.islower() for c in chunks]
-        self._add_words(list(compress(chunks, words)))
+        words = list(map(plain_word, chunks))
+        self._add_words(list(compress(chunks, words)), list(filter(None, words)))
         self._add_others(list(compress(chunks, map(not_, words))))
 
+    def _places(self, chunks: list[str]) -> np.ndarray:
+        """The places of the chunks' ids; new chunks are encoded first."""
+        places = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            missing = [chunks[i] for i in new.tolist()]
+            self._learn(list(dict.fromkeys(missing)))
+            places[new] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(missing))
+        return places
+
     def _ids(self, at: np.ndarray) -> np.ndarray:
         """The ids of the chunks at these places, in a row."""
         return self.flat[ragged(self.starts[at], self.lengths[at])]
@@ -157,11 +174,7 @@ class ChunkEncoder:
         wanted = [*_strings(stems.dictionary), "", *marks]
         if len(self.index) + len(wanted) > REMEMBERED:
             self._forget()
-        places = list(map(self.index.get, wanted))
-        if missing := {c for c, place in zip(wanted, places) if place is None}:
-            self._learn(list(missing))
-            places = [self.index[c] if place is None else place for c, place in zip(wanted, places)]
-        places = np.array(places, np.int64)
+        places = self._places(wanted)
         # The distinct chunks' ids, each its stem's and its marks', then those of all chunks.
         known = len(stems.dictionary)
         at = np.full((len(distinct.dictionary), 2), places[known])

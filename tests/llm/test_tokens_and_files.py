@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -97,3 +98,82 @@ def test_empty_files(spark):
     path = working_path(spark, "files")
     repair_files.write(documents(spark, []), path, tokenizer_path("word_bpe_49k.json"), 1)
     assert repair_files.read(spark, path).count() == 0
+
+
+def test_ids_of_every_letter_with_a_mark_behind():
+    """Some letters fall into a letter and a mark, which is one piece with marks behind it."""
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    texts = [" ".join(f"{c}. x{c}y, {c}'s" for c in letters[i : i + 100]) for i in range(0, len(letters), 100)]
+    path = tokenizer_path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)
+    for text, ids, whole in zip(texts, ENCODERS["words"](path).encode(texts), plain):
+        assert ids.tolist() == whole.ids, ascii(text)
+
+
+class Counting:
+    """A library's tokenizer that notes how many texts it is given."""
+
+    def __init__(self, library, seen):
+        self.library, self.seen = library, seen
+
+    def encode_batch_fast(self, texts, **settings):
+        self.seen.append(len(texts))
+        return self.library.encode_batch_fast(texts, **settings)
+
+
+def test_new_chunks_reach_the_library_many_at_a_time():
+    words = ENCODERS["words"](tokenizer_path("word_bpe_49k.json"))
+    seen = []
+    for name in ("tokenizer", "merges"):
+        if hasattr(words, name):
+            setattr(words, name, Counting(getattr(words, name), seen))
+    rng = random.Random(3)
+    chunks = ["".join(rng.choices("abcdefgé", k=8)) for _ in range(3000)] + [f"{n}-{n}" for n in range(3000)]
+    words.encode([" ".join(chunks)])
+    assert 0 < sum(seen) < len(set(chunks)) / 50
+
+
+def plain_grammar(ids, end, base, least):
+    """The same grammar by counting all pairs in every round."""
+    symbols, rules = list(ids), []
+    while True:
+        counts = Counter(p for p in zip(symbols, symbols[1:]) if end not in p)
+        often = sorted((p for p in counts if counts[p] >= least), key=lambda p: (-counts[p], p))
+        chosen = repair_files._disjoint(np.array([(a << 32) | b for a, b in often], np.uint64)).tolist()
+        if not chosen:
+            return symbols, rules
+        number = {(c >> 32, c & 0xFFFFFFFF): base + len(rules) + k for k, c in enumerate(chosen)}
+        left, symbols, at = symbols, [], 0
+        while at < len(left):
+            symbol = number.get(tuple(left[at : at + 2]))
+            symbols.append(left[at] if symbol is None else symbol)
+            at += 1 if symbol is None else 2
+        rules += [list(pair) for pair in number]
+
+
+@pytest.mark.parametrize("base", [100, 2**31])  # symbols too wide to be sorted together with their places
+def test_grammar_equals_that_of_counting_all_pairs(base):
+    rng = np.random.default_rng(8)
+    for case in range(60):
+        ids = rng.integers(1, rng.integers(3, 9), rng.integers(0, 500))
+        ids = np.repeat(ids, rng.integers(1, 5, len(ids))) if case % 3 == 0 else np.tile(ids, 1 + case % 4)
+        least = int(rng.integers(2, 6))
+        symbols, rules = repair_files.compress(ids, 1, base, least)
+        assert (symbols.tolist(), rules.tolist()) == plain_grammar(ids.tolist(), 1, base, least)
+        lengths = repair_files.expansion_lengths(rules, base)
+        assert np.array_equal(repair_files.Decoder(rules, lengths, base).expand(symbols), ids)
+
+
+def test_later_rounds_look_at_few_pairs(monkeypatch):
+    looked, find = [], repair_files._frequent_pairs
+
+    def noting(*given):
+        looked.append(len(given[1] if np.ndim(given[1]) else given[0]))
+        return find(*given)
+
+    monkeypatch.setattr(repair_files, "_frequent_pairs", noting)
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    words = encoder(tokenizer_path("word_bpe_49k.json"), "words")
+    ids = np.concatenate([np.append(x, np.uint32(1)) for x in words.encode([t or "" for t in texts])])
+    repair_files.compress(ids, end=1, base=49_408)
+    assert len(looked) > 8 and sum(looked[5:]) < len(ids) / 4
