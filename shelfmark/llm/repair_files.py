@@ -43,7 +43,10 @@ def _frequent_pairs(
     """Pairs without the end that begin at ``least`` or more of these places, as ascending
     codes, how often each does, and where: the places of one pair after those of another,
     ascending."""
-    left, right = symbols[places], symbols[places + 1]
+    if len(places) == len(symbols) - 1:
+        left, right = symbols[:-1], symbols[1:]
+    else:
+        left, right = symbols[places], symbols[places + 1]
     wide = int(symbols.max()).bit_length()
     far = len(symbols).bit_length()
     if 2 * wide + far <= 64:
@@ -88,12 +91,13 @@ def _disjoint(pairs: np.ndarray) -> np.ndarray:
     return np.array(sorted(chosen), np.uint64)
 
 
-def _left_to_right(symbols: np.ndarray, places: np.ndarray, rule: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Without the second of every two neighbouring places in a run of one symbol."""
+def _left_to_right(places: np.ndarray, rule: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the second of every two neighbouring places in a run of one symbol, which
+    is paired with itself."""
     starts = np.ones(len(places), bool)
     starts[1:] = places[1:] != places[:-1] + 1
     within = np.arange(len(places)) - np.flatnonzero(starts)[np.cumsum(starts) - 1]
-    keep = (symbols[places] != symbols[places + 1]) | (within % 2 == 0)
+    keep = within % 2 == 0
     return places[keep], rule[keep]
 
 
@@ -116,7 +120,12 @@ def compress(ids: np.ndarray, end: int, base: int, least: int = LEAST_COUNT) ->
         look[places] = True
         taken = np.isin(pairs, chosen, assume_unique=True)
         found = places[np.repeat(taken, counts)]
-        found, rule = _left_to_right(symbols, found, np.repeat(np.arange(len(chosen)), counts[taken]))
+        rule = np.repeat(np.arange(len(chosen)), counts[taken])
+        doubled = chosen >> np.uint64(32) == chosen & np.uint64(0xFFFFFFFF)
+        if doubled.any():  # only these overlap themselves
+            runs = doubled[rule]
+            kept, their = _left_to_right(found[runs], rule[runs])
+            found, rule = np.append(found[~runs], kept), np.append(rule[~runs], their)
         symbols[found] = (base + made + rule).astype(np.uint32)
         keep = np.ones(len(symbols), bool)
         keep[found + 1] = False
@@ -221,7 +230,8 @@ def write(df: DataFrame, path: str, tokenizer: str, end: int, doc_id: str = "doc
         for batch in batches:
             ids = batch.column(0).to_pylist()
             done = 0
-            for texts in blocks(x.as_py() for x in batch.column(1)):
+            # A shard's words are looked up together, each once.
+            for texts in blocks((x.as_py() for x in batch.column(1)), SHARD_BYTES):
                 for name, found in zip(ids[done:], encoder(tokenizer, "words").encode(texts)):
                     names.append(name)
                     parts.append(np.concatenate([found, tail]))
