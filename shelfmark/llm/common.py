@@ -14,6 +14,7 @@ from shelfmark.session import shared_folder
 
 FOLDS = 5
 BLOCK_CHARS = 1_000_000  # characters handled at once inside a task
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def make_importable(spark: SparkSession) -> None:
@@ -41,13 +42,21 @@ def working_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back: its lineage ends there,
-    so a lost executor costs no more than the tasks that run on it."""
+    so a lost executor costs no more than the tasks that run on it.  With ``tidy`` the
+    shuffle files go as soon as it is written, not when the driver collects its garbage."""
     spark = df.sparkSession
     make_importable(spark)
     path = working_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    if tidy:
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if tidy:
+            spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

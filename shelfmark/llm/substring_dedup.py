@@ -10,6 +10,10 @@ outer chunk (the last place, where it is the first itself), up to the next run o
 ``CONTEXT`` bytes.  Runs that meet are one.  Those of at least ``MIN_WORDS`` words are
 repeated passages.
 
+What is shuffled is kept small.  Chunks meet by digest as compressed columns, many at a time.
+Each carries a fingerprint of the words next to it, so texts are compared only at the sides
+where the next words may be equal.
+
 Null and empty texts have no chunks.  Rows are numbered and each is a document of its own,
 whether ids are equal or null; the smallest id comes first, null ids before all others.
 Texts are read whole and of any length.
@@ -18,6 +22,7 @@ Texts are read whole and of any length.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import blocks, ragged, stored
+from shelfmark.llm.common import blocks, partitions, ragged, stored
 
 RADIUS = 16  # bytes; chunks have twice as many on average
 MAX_CHUNK = 1024
@@ -34,6 +39,8 @@ MIN_WORDS = 20  # of a passage; single repeated lines such as licences are short
 CONTEXT = 384  # bytes to each side in which an anchor is extended
 WINDOW = 32  # bytes that a 32-bit gear hash looks back on
 BLOCK_CHARS = 100_000  # of text cut together inside a task
+PACKED_CHUNKS = 1_000_000  # sent together by a task
+FREQUENT = 64  # places of a digest among these; of more, only the first and the last meet others
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 GEAR = np.random.Generator(np.random.PCG64(271828)).integers(0, 1 << 32, 256, np.uint32)
@@ -61,10 +68,17 @@ def chunk_ends(data: np.ndarray) -> list[int]:
     return _ends_of([data])[2].tolist()
 
 
-def _ends_of(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Chunks of some texts, found together: each one's text, start, end and number of words.
+def _ends_of(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Chunks of some texts: each one's text, start, end and number of words."""
+    return _chunks_of(texts)[:4]
+
 
-    Between the texts are WINDOW bytes that add nothing to any hash and are no minima."""
+def _chunks_of(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Chunks of some texts, found together: each one's text, start, end, number of words, and
+    fingerprints of the last word before it and the first word behind it.
+
+    A fingerprint is 0 where the next chunk has no word, where there is none, or where a
+    chunk may have been ended inside a word.  Between the texts are WINDOW bytes that add nothing to any hash and are no minima."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     begins = np.cumsum(sizes + WINDOW) - sizes - WINDOW
     lasts = begins + sizes
@@ -85,16 +99,34 @@ def _ends_of(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     text = np.searchsorted(lasts, ends)
     starts = np.maximum(np.append(0, ends[:-1])[: len(ends)], begins[text])
     pieces = -(-(ends - starts) // MAX_CHUNK)  # more than one in text without a boundary for long
-    if len(pieces) and pieces.max() > 1:
+    cut = pieces > 1
+    if cut.any():
         nth = ragged(np.zeros(len(pieces), np.int64), pieces)
-        text, final = np.repeat(text, pieces), np.repeat(ends, pieces)
+        text, final, cut = (np.repeat(x, pieces) for x in (text, ends, cut))
         starts = np.repeat(starts, pieces) + nth * MAX_CHUNK
         ends = np.minimum(starts + MAX_CHUNK, final)
     space[between] = True
     first = ~space
     first[1:] &= space[:-1]
     words = np.append(0, np.cumsum(first))
-    return text, starts - begins[text], ends - begins[text], words[ends] - words[starts]
+    n_words = words[ends] - words[starts]
+    prints = _word_prints(data, space, first)
+    before, behind = np.zeros((2, len(ends)), np.uint8)
+    beside = (text[1:] == text[:-1]) & ~cut[1:] & ~cut[:-1]
+    at = np.flatnonzero(beside & (n_words[1:] > 0))
+    behind[at] = prints[words[ends[at]]]
+    at = np.flatnonzero(beside & (n_words[:-1] > 0)) + 1
+    before[at] = prints[words[starts[at]] - 1]
+    return text, starts - begins[text], ends - begins[text], n_words, before, behind
+
+
+def _word_prints(data: np.ndarray, space: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A number from 1 to 255 for each word, the same for equal words."""
+    values = GEAR[data].astype(np.uint64)
+    values[space] = 0
+    begins = np.flatnonzero(first)
+    sums = np.add.reduceat(values, begins) if len(begins) else values[:0]
+    return ((sums * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
 
 
 def _local_minima(hashes: np.ndarray) -> np.ndarray:
@@ -116,29 +148,45 @@ def numbered(df: DataFrame, doc_id: str, text: str, row: str | None) -> DataFram
 
 
 def _cut(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
-    """Chunks of the texts of a column, by blocks of texts: each one's text, start, end,
-    number of words, and 32 bits of the high half and the low half of its digest."""
+    """Chunks of the texts of a column, by blocks of texts: each one's text, start, end, number
+    of words, the fingerprints beside it, and 32 bits of the high half and the low half of its digest."""
     done = 0
     for texts in blocks((x.as_py() for x in column), BLOCK_CHARS):
         raws = [x.encode("utf-8", "surrogatepass") for x in texts]
-        text, starts, ends, words = _ends_of([np.frombuffer(raw, np.uint8) for raw in raws])
+        text, starts, ends, words, before, behind = _chunks_of([np.frombuffer(raw, np.uint8) for raw in raws])
         places = zip(text.tolist(), starts.tolist(), ends.tolist())
         digests = b"".join([xxhash.xxh3_128_digest(raws[k][a:b].strip()) for k, a, b in places])
         halves = (np.frombuffer(digests, ">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
-        yield text + done, starts, ends, words, halves[::2] >> 32, halves[1::2]
+        yield text + done, starts, ends, words, before, behind, halves[::2] >> 32, halves[1::2]
         done += len(texts)
 
 
+def _columns(batches) -> Iterator[dict[str, np.ndarray]]:
+    """The chunks of batches of numbered texts, by blocks of texts, as the columns of PACKED."""
+    for batch in batches:
+        known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+        ids, rows = batch.column(0).fill_null(0).to_numpy(), batch.column(2).to_numpy()
+        for text, starts, ends, words, before, behind, high, low in _cut(batch.column(1)):
+            found = (rows[text], ids[text], known[text], starts, ends - starts, words, high, low, before, behind, np.zeros(len(text)))
+            yield {name: x.astype(kind) for (name, kind), x in zip(PACKED.items(), found)}
+
+
+# A chunk: its document, place and number of words, 96 bits of its digest, which any two of a billion different
+# chunks share with a chance of about 1e-11, the fingerprints beside it, and which part it takes in repeated_chunks().
+PACKED = {
+    "row": np.int64, "doc_id": np.int64, "known": np.uint8, "start": np.int64, "length": np.int32, "n_words": np.int32,
+    "high": np.int32, "low": np.int64, "before": np.uint8, "behind": np.uint8, "part": np.uint8,
+}
+PLAIN, FRAME, BETWEEN = range(3)  # frames are the first and last places of frequent digests; the others are between
+
+
 def chunks(df: DataFrame) -> DataFrame:
-    """All chunks of numbered texts: doc_id, row, start and length in bytes, n_words, and 96 bits of the
-    digest, which any two of a billion different chunks share with a chance of about 1e-11."""
+    """All chunks of numbered texts, a row each: doc_id, row, start and length in bytes, n_words, and the digest."""
 
     def cut(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text, starts, ends, words, high, low in _cut(batch.column(1)):
-                own = [batch.column(c).take(pa.array(text)) for c in (0, 2)]
-                found = (starts, ends - starts, words, high, low)
-                yield pa.RecordBatch.from_arrays([*own, *(pa.array(x).cast(t) for x, t in zip(found, TYPES[2:]))], NAMES)
+        for found in _columns(batches):
+            ids = pa.array(found["doc_id"], mask=found["known"] == 0)
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(found[c]) for c in NAMES[1:])], NAMES)
 
     return df.select("doc_id", "text", "row").mapInArrow(
         cut, "doc_id bigint, row bigint, start bigint, length int, n_words int, high int, low bigint"
@@ -157,32 +205,147 @@ def half_digests(df: DataFrame) -> DataFrame:
 
 
 NAMES = ["doc_id", "row", "start", "length", "n_words", "high", "low"]
-TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-
-
-def repeated_chunks(parts: DataFrame, halves: DataFrame | None = None) -> DataFrame:
-    """The chunks whose digest occurs more than once, with ``is_first`` for the kept place,
-    ``across`` where more than one document has the digest, and ``partner``, the first
-    place or, for that, the last.
-
-    Halves of digests are counted alone first, a row for each and task; only chunks of
-    halves seen twice go on, a frequent one's split among tasks by the skew join, and only
-    among these whole digests are compared and the first and last place looked for.
-    ``halves`` are the chunks' halves where they come cheaper than the chunks."""
-    place = F.struct("doc_id", "row", "start", "length")
-    seen = (parts if halves is None else halves).groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select("low")
-    repeats = stored(parts.join(seen, "low", "left_semi"), "repeated-chunks")
-    places = repeats.groupBy("high", "low").agg(
-        F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last")
-    )
-    places = places.where("n > 1").drop("n").withColumn("across", F.col("first.row") != F.col("last.row"))
-    is_first = (F.col("row") == F.col("first.row")) & (F.col("start") == F.col("first.start"))
-    return (
-        repeats.join(places, ["high", "low"])
-        .withColumn("is_first", is_first)
-        .withColumn("partner", F.when(F.col("is_first"), F.col("last")).otherwise(F.col("first")).dropFields("doc_id"))
-        .select("doc_id", "row", "start", "length", "n_words", "is_first", "across", "partner")
+
+
+def _packed(found: dict[str, np.ndarray], buckets: int) -> pa.RecordBatch:
+    """Chunks as a row for each bucket of digests, whose columns are compressed by bytes of
+    equal place.  Those between a frequent digest's frames go to any bucket."""
+    part, low = found["part"], found["low"]
+    order = np.argsort(low)
+    edges = np.flatnonzero(np.diff(low[order], prepend=~low[order[0]], append=~low[order[-1]]))
+    for k in np.flatnonzero(np.diff(edges) > FREQUENT):
+        places = order[edges[k] : edges[k + 1]]
+        places = places[np.lexsort([found[c][places] for c in ("start", "row", "doc_id", "known")])]
+        for high in np.unique(found["high"][places]):
+            same = places[found["high"][places] == high]
+            if len(same) > 2:
+                part[same], part[same[1:-1]] = FRAME, BETWEEN
+    bucket = ((low.view(np.uint64) >> np.uint64(24)) % np.uint64(buckets)).astype(np.int32)
+    bucket[part == BETWEEN] = zlib.crc32(found["row"][:1].tobytes()) % buckets
+    order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets), "right")
+    sizes = np.diff(ends, prepend=0)
+    filled = np.flatnonzero(sizes)
+    codec = pa.Codec("zstd", compression_level=1)
+    out = [pa.array(filled, pa.int32()), pa.array(sizes[filled], pa.int32())]
+    for name, values in found.items():
+        values, packed = values[order], []
+        for k in filled:
+            own = values[ends[k] - sizes[k] : ends[k]]
+            if name in ("row", "doc_id"):
+                own = np.diff(own, prepend=own.dtype.type(0))
+            packed.append(codec.compress(own.view(np.uint8).reshape(len(own), -1).T.tobytes(), asbytes=True))
+        out.append(pa.array(packed, pa.binary()))
+    return pa.RecordBatch.from_arrays(out, ["bucket", "n", *found])
+
+
+def _unpacked(table: pa.Table) -> dict[str, np.ndarray]:
+    codec, sizes, found = pa.Codec("zstd"), table.column("n").to_pylist(), {}
+    for name, kind in PACKED.items():
+        width, parts = np.dtype(kind).itemsize, []
+        for n, packed in zip(sizes, table.column(name)):
+            planes = np.frombuffer(codec.decompress(packed.as_buffer(), n * width, asbytes=True), np.uint8)
+            values = np.ascontiguousarray(planes.reshape(width, n).T).view(kind)[:, 0]
+            parts.append(np.cumsum(values) if name in ("row", "doc_id") else values)
+        found[name] = np.concatenate(parts)
+    return found
+
+
+def _repeats(table: pa.Table) -> pa.Table:
+    """The repeated chunks of a bucket of digests, with ``partner``, whether the words beside
+    both may be equal, and ``across``.  Places between frames are without these and keep their
+    digests; the first place of a frequent digest is there once more for them, as a frame."""
+    found = _unpacked(table)
+    between = {c: x[found["part"] == BETWEEN] for c, x in found.items()}
+    own = np.flatnonzero(found["part"] != BETWEEN)
+    own = own[np.argsort(found["low"][own])]
+    same = np.diff(found["low"][own]) == 0
+    own = own[(np.append(same, False) | np.append(False, same))[: len(own)]]
+    own = own[np.lexsort([found[c][own] for c in ("start", "row", "doc_id", "known", "high", "low")])]
+    found = {c: x[own] for c, x in found.items()}
+    fresh = (np.diff(found["low"]) != 0) | (np.diff(found["high"]) != 0)
+    group = np.append(0, np.cumsum(fresh))[: len(own)]
+    sizes = np.bincount(group)
+    last = np.cumsum(sizes) - 1
+    first = last - sizes + 1
+    across = found["row"][first] != found["row"][last]
+    frequent = np.flatnonzero(np.bincount(group, found["part"] == FRAME))
+
+    def rows(part: int, chunk: dict[str, np.ndarray], **known: np.ndarray) -> pa.Table:
+        """``known`` and the places; digests and fingerprints unless the chunks are done with."""
+        n = len(chunk["row"])
+        columns = {c: chunk[c] for c in ("row", "start", "length", "n_words")} | known | {"part": np.full(n, part)}
+        if part != PLAIN:
+            columns |= {c: chunk[c] for c in ("high", "low", "before", "behind")}
+        out = {c: pa.array(x) for c, x in columns.items()} | {"doc_id": pa.array(chunk["doc_id"], mask=chunk["known"] == 0)}
+        return pa.table([out[f.name].cast(f.type) if f.name in out else pa.nulls(n, f.type) for f in REPEAT], REPEAT)
+
+    is_first = np.arange(len(own)) == first[group]
+    other = np.where(is_first, last[group], first[group])
+    partner = {f"partner_{c}": found[c][other] for c in ("row", "start", "length")}
+    meets = {
+        f"meets_{side}": (found[c] == 0) | (found[c][other] == 0) | (found[c] == found[c][other])
+        for side, c in (("left", "before"), ("right", "behind"))
+    }
+    known = {"is_first": is_first, "across": across[group], **partner, **meets}
+    many = sizes[group] > 1
+    frames = {c: x[first[frequent]] for c, x in found.items()}
+    return pa.concat_tables([
+        rows(PLAIN, {c: x[many] for c, x in found.items()}, **{c: x[many] for c, x in known.items()}),
+        rows(FRAME, frames, across=across[frequent]),
+        rows(BETWEEN, between),
+    ])
+
+
+REPEAT = pa.schema(
+    [(c, pa.int64()) for c in ("doc_id", "row", "start", "partner_row", "partner_start", "low")]
+    + [(c, pa.int32()) for c in ("length", "n_words", "partner_length", "high")]
+    + [(c, pa.bool_()) for c in ("is_first", "across", "meets_left", "meets_right")]
+    + [(c, pa.int16()) for c in ("before", "behind", "part")]
+)
+SQL_TYPES = {pa.int64(): "bigint", pa.int32(): "int", pa.int16(): "smallint", pa.bool_(): "boolean", pa.binary(): "binary"}
+
+
+def repeated_chunks(texts: DataFrame) -> DataFrame:
+    """The chunks of numbered texts whose digest occurs more than once, with ``is_first`` for the kept
+    place, ``across`` where more than one document has the digest, ``partner``, the first place or,
+    for that, the last, and ``meets_left`` and ``meets_right``, whether the next words may be equal.
+
+    All places of a digest meet in one task, but of a frequent one only the first and the last place
+    that a task has seen.  The places between then meet its first place, split by the skew join."""
+    buckets = partitions(texts.sparkSession)
+
+    def pack(batches) -> Iterator[pa.RecordBatch]:
+        some, n = [], 0
+        for found in _columns(batches):
+            some.append(found)
+            n += len(found["row"])
+            if n >= PACKED_CHUNKS:
+                yield _packed({c: np.concatenate([x[c] for x in some]) for c in PACKED}, buckets)
+                some, n = [], 0
+        if n:
+            yield _packed({c: np.concatenate([x[c] for x in some]) for c in PACKED}, buckets)
+
+    packed = texts.select("doc_id", "text", "row").mapInArrow(
+        pack, "bucket int, n int, " + ", ".join(f"{c} binary" for c in PACKED)
     )
+    schema = ", ".join(f"{f.name} {SQL_TYPES[f.type]}" for f in REPEAT)
+    met = stored(packed.groupBy("bucket").applyInArrow(_repeats, schema), "repeated-chunks", tidy=True)
+    partner = F.struct(*(F.col(f"partner_{c}").alias(c) for c in ("row", "start", "length"))).alias("partner")
+    names = ["doc_id", "row", "start", "length", "n_words", "is_first", "across", "partner", "meets_left", "meets_right"]
+    plain = met.where(F.col("part") == PLAIN).withColumn("partner", partner).select(*names)
+    frames = met.where(F.col("part") == FRAME).select(
+        "high", "low", "across", F.struct("row", "start", "length").alias("partner"),
+        F.col("before").alias("first_before"), F.col("behind").alias("first_behind"),
+    )
+
+    def meets(own: str):
+        return F.expr(f"{own} = 0 or first_{own} = 0 or {own} = first_{own}")
+
+    between = met.where(F.col("part") == BETWEEN).drop("across").join(frames, ["high", "low"]).withColumns(
+        {"is_first": F.lit(False), "meets_left": meets("before"), "meets_right": meets("behind")}
+    )
+    return plain.unionByName(between.select(*names))
 
 
 def anchors(repeated: DataFrame) -> DataFrame:
@@ -192,7 +355,7 @@ def anchors(repeated: DataFrame) -> DataFrame:
     order = Window.partitionBy("row").orderBy("start")
     new = F.coalesce(F.lag(F.col("start") + F.col("length")).over(order) != F.col("start"), F.lit(True))
     runs = repeated.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(order))
-    chunk = F.struct("partner", "is_first", "across")
+    chunk = F.struct("partner", "is_first", "across", "meets_left", "meets_right")
     return (
         runs.groupBy("row", "run")
         .agg(
@@ -213,10 +376,10 @@ def anchors(repeated: DataFrame) -> DataFrame:
 
 
 def _sides(runs: DataFrame) -> DataFrame:
-    """A row for each side of a run that has room: its place and its partner's."""
+    """A row for each side of a run that has room and may go on: its place and its partner's."""
 
     def side(name: str, at: str, other) -> DataFrame:
-        return runs.where(f"room_{name} > 0").select(
+        return runs.where(f"room_{name} > 0 and {name}.meets_{name}").select(
             "row", "start", F.lit(name == "left").alias("left"), F.col(at).alias("at"), F.col(f"room_{name}").alias("room"),
             F.col(f"{name}.partner.row").alias("other_row"), other.alias("other_at"),
         )
@@ -279,7 +442,7 @@ def equal_words(own: bytes, other: bytes, left: bool) -> list[tuple[int, int]]:
 
 def _extensions(texts: DataFrame, sides: DataFrame) -> DataFrame:
     """row, start, left and the equal words, begin and end, to that side of a run."""
-    known = stored(_contexts(texts, sides), "contexts")
+    known = stored(_contexts(texts, sides), "contexts", tidy=True)
     both = sides.join(known.withColumnRenamed("context", "own"), ["row", "at", "left"]).join(
         known.withColumnsRenamed({"row": "other_row", "at": "other_at", "context": "other"}), ["other_row", "other_at", "left"]
     )
@@ -360,8 +523,8 @@ def documents(
     words of one that other documents share, all their words, the words to be removed as
     later places, and the byte spans to remove, in order."""
     texts = numbered(df, doc_id, text, row)
-    runs = stored(anchors(repeated_chunks(chunks(texts), half_digests(texts))), "anchors")
-    found = _extensions(texts, _sides(runs))
+    runs = stored(anchors(repeated_chunks(texts)), "anchors", tidy=True)
+    found = stored(_extensions(texts, _sides(runs)), "extensions", tidy=True)
     found = found.groupBy("row", "start").agg(
         *(F.max(F.when(F.col("left") == (name == "left"), F.struct("words", "reached"))).alias(f"more_{name}") for name in ("left", "right"))
     )

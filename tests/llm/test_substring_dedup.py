@@ -1,10 +1,14 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from shelfmark.llm import queries, substring_dedup
+from shelfmark.llm.common import FREE_SHUFFLES, stored
 from tests.llm.cases import awkward_rows, documents, prose, with_clashes
 
 
@@ -125,3 +129,68 @@ def test_half_digests_are_those_of_the_chunks(spark):
     parts = substring_dedup.chunks(texts).collect()
     assert sorted(r.low for r in parts) == sorted(r.low for r in substring_dedup.half_digests(texts).collect())
     assert {r.doc_id for r in parts} == {1, None, 5}
+
+
+def _shuffled_bytes(spark) -> int:
+    """What the shuffles of this session keep on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(k) for k in range(files.size())]
+    return sum(f.length() for f in files if f.getName().startswith("shuffle_"))
+
+
+def test_shuffles_go_when_their_table_is_stored(spark):
+    before = _shuffled_bytes(spark)
+    df = spark.range(300_000).groupBy((F.col("id") % 100_003).alias("key")).count()
+    assert stored(df, "tidied", tidy=True).count() == 100_003
+    for _ in range(100):  # they are removed in the background
+        left = _shuffled_bytes(spark) - before
+        if left < 100_000:
+            break
+        time.sleep(0.1)
+    assert left < 100_000
+    assert spark.conf.get(FREE_SHUFFLES) == "false"
+
+
+def test_chunks_are_packed_small_and_whole():
+    rng = random.Random(32)
+    texts = [prose(rng, 200) for _ in range(400)] + [None, "", "y" * 2500]
+    ids = [None if i % 50 == 0 else i for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts), pa.array(range(len(texts)), pa.int64())], ["doc_id", "text", "row"])
+    parts = list(substring_dedup._columns([batch]))
+    found = {c: np.concatenate([x[c] for x in parts]) for c in substring_dedup.PACKED}
+    packed = substring_dedup._packed({c: x.copy() for c, x in found.items()}, 5)
+    n = len(found["row"])
+    assert packed.num_rows == 5 and packed.nbytes < 24 * n
+    back = substring_dedup._unpacked(pa.Table.from_batches([packed]))
+    names = [c for c in found if c != "part"]
+    assert sorted(zip(*(back[c].tolist() for c in names))) == sorted(zip(*(found[c].tolist() for c in names)))
+
+
+def test_repeated_chunks_by_brute_force(spark):
+    rng = random.Random(33)
+    line, rows = prose(rng, 60), []  # its chunks are more frequent than FREQUENT in a task
+    for i in range(700):
+        words = prose(rng, 40).split()
+        rows.append((None if i == 650 else i % 600, " ".join([*words[:20], *([line] * (1 + i % 2)), *words[20:]]), None, None, None))
+    df = documents(spark, rows).coalesce(2)
+    texts = stored(substring_dedup.numbered(df, "doc_id", "text", None), "numbered")
+    places = {}
+    for r in substring_dedup.chunks(texts).collect():
+        places.setdefault((r.high, r.low), []).append((r.doc_id is not None, r.doc_id or 0, r.row, r.start, r.length, r.n_words))
+    expected = set()
+    for same in filter(lambda p: len(p) > 1, map(sorted, places.values())):
+        for k, p in enumerate(same):
+            partner = same[0] if k else same[-1]
+            expected.add((*p, k == 0, same[0][2] != same[-1][2], *partner[2:5]))
+    assert max(map(len, places.values())) > 10 * substring_dedup.FREQUENT
+    got = substring_dedup.repeated_chunks(texts).collect()
+    assert len(got) == len(expected) and expected == {
+        (r.doc_id is not None, r.doc_id or 0, r.row, r.start, r.length, r.n_words, r.is_first, r.across, *r.partner) for r in got
+    }
+    text = {r.row: r.text.encode() for r in texts.collect()}
+    for r in got:  # sides that are left out have different words next to them
+        own, other = text[r.row], text[r.partner.row]
+        ends = (r.start + r.length, r.partner.start + r.partner.length)
+        assert r.meets_left or own[: r.start].split()[-1] != other[: r.partner.start].split()[-1]
+        assert r.meets_right or own[ends[0] :].split()[0] != other[ends[1] :].split()[0]
+    assert not all(r.meets_left for r in got) and not all(r.meets_right for r in got)
